@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.config import Config
+from riftspan.operators.skew import dealt_out
 from riftspan.plans.library import LibraryProperties
 
 CONTIGS = ["F", "O", "P"]
@@ -40,6 +41,8 @@ SELECT l_orderkey AS qname, {_TID} AS tid, {_CONTIG_OF_TID.format(_TID)} AS cont
        {_MTID} AS mtid, {_CONTIG_OF_TID.format(_MTID)} AS mcontig, l_orderkey * 8 + l_suppkey % 300 AS mpos,
        l_partkey % 1200 - 400 AS tlen, CAST({_LEFT} + {_MATCHED} + {_RIGHT} AS INTEGER) AS seq_len,
        {_LEFT} AS clip_left, {_RIGHT} AS clip_right, {_HARD} AS hard,
+       CASE WHEN {_HARD} THEN {_LEFT} ELSE 0 END AS left_hard, CASE WHEN {_HARD} THEN 0 ELSE {_LEFT} END AS left_soft,
+       CASE WHEN {_HARD} THEN {_RIGHT} ELSE 0 END AS right_hard, CASE WHEN {_HARD} THEN 0 ELSE {_RIGHT} END AS right_soft,
        CASE WHEN {_LEFT} > 0 THEN CAST({_LEFT} AS VARCHAR(20)) || CASE WHEN {_HARD} THEN 'H' ELSE 'S' END ELSE '' END
          || CAST({_MATCHED} AS VARCHAR(20)) || 'M'
          || CASE WHEN {_RIGHT} > 0 THEN CAST({_RIGHT} AS VARCHAR(20)) || CASE WHEN {_HARD} THEN 'H' ELSE 'S' END ELSE '' END
@@ -93,17 +96,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _view(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     query = _SOURCES[source].replace(f"FROM {source}", "FROM {given}")
-    return spark.sql(query, given=table(spark, sf_dir, source))
+    given = table(spark, sf_dir, source)
+    if source == "lineitem":
+        given = dealt_out(given, "l_orderkey")
+    return spark.sql(query, given=given)
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignment-shaped rows."""
-    return _view(spark, sf_dir, "lineitem")
+def _computed_once(rows: DataFrame) -> DataFrame:
+    """Keep the optimizer from copying the formulas of a view into every predicate on its columns.
+
+    A real table stores these columns. Here each copy of a formula bloats the generated code until
+    the JVM no longer compiles it. Predicates are not pushed below a generator, columns still are.
+    """
+    return rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("_r")).select("_r.*")
+
+
+def reads(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Alignment-shaped rows: the named columns, or all but the CIGAR text."""
+    rows = _view(spark, sf_dir, "lineitem")
+    return _computed_once(rows.select(*columns) if columns else rows.drop("cigar"))
 
 
 def svs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variant-shaped rows with the calls of their one sample."""
-    rows = _view(spark, sf_dir, "orders")
+    rows = _computed_once(_view(spark, sf_dir, "orders"))
     call = F.struct(
         F.col("sample"),
         F.when(F.col("row_id") % 3 == 0, "1-1").otherwise("0-1").alias("gt"),

@@ -15,12 +15,14 @@ from riftspan import bind
 from riftspan.bind import CONFIG, LIBRARY, with_cte
 from riftspan.config import ClusterSettings, DepthSettings
 from riftspan.functions import calls as cl
+from riftspan.functions import cigar as cg
 from riftspan.functions import interval as iv
 from riftspan.functions import reads as rd
 from riftspan.functions.flags import FIRST, has_flag
 from riftspan.operators.ordered import consecutive_runs, global_row_number
 from riftspan.operators.prefix import count_overlaps
 from riftspan.operators.quantiles import exact_quantiles
+from riftspan.operators.skew import dealt_out
 from riftspan.operators.statistics import median_abs_dev, summary, winsorize
 from riftspan.plans import annotate as an
 from riftspan.plans import cluster as cu
@@ -61,6 +63,20 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return enter
 
 
+@register(
+    "cigar_lengths",
+    with_cte(
+        """SELECT qname, contig, pos, cigar, left_hard, left_soft, right_hard, right_soft, stop,
+        CAST(1 + CASE WHEN clip_left > 0 THEN 1 ELSE 0 END + CASE WHEN clip_right > 0 THEN 1 ELSE 0 END AS BIGINT) AS n_ops FROM reads""",
+        "reads",
+    ),
+)
+def cigar_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clip lengths, reference end and number of operations of CIGAR strings."""
+    rows = bind.reads(spark, sf_dir, "qname", "contig", "pos", "cigar")
+    return rows.select("*", *[c.alias(n) for n, c in cg.clip_columns().items()], cg.end_position().alias("stop"), cg.operation_count().alias("n_ops"))
+
+
 # --- read predicates -------------------------------------------------------------------------
 
 _ALT = "(flag & 2304) <> 0"
@@ -132,7 +148,7 @@ def interesting_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mate_rescue_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads with evidence and all reads of the same templates."""
-    rows = bind.reads(spark, sf_dir).select("qname", "contig", "pos", "flag", "tid", "mtid", "tlen", "cigar", "ord")
+    rows = bind.reads(spark, sf_dir)
     return sc.with_mates(rows, sc.is_interesting(LIBRARY, CONFIG)).select("qname", "contig", "pos", "flag")
 
 
@@ -166,7 +182,7 @@ _OVERLAP = CONFIG.sliding_window_margin + LIBRARY.max_normal_isize + LIBRARY.max
 )
 def scan_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Emission of the two-pass scan over overlapping windows."""
-    rows = bind.reads(spark, sf_dir).select("qname", "contig", "pos", "flag", "tid", "mtid", "tlen", "cigar", "ord")
+    rows = bind.reads(spark, sf_dir)
     scanned = sc.two_pass_scan(rows, _regions(spark), LIBRARY, CONFIG, ["ord"])
     return scanned.select("qname", "contig", "pos", "flag", "window_no", "pass")
 
@@ -384,7 +400,7 @@ def _windows_sql(name: str = "windows") -> str:
 def search_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stranded windows in which reads supporting a variant are sought."""
     rows = bind.svs(spark, sf_dir).select("row_id", F.explode(an.search_windows(MAX_DIST, SLACK)).alias("_w"))
-    return rows.select("row_id", "_w.*")
+    return rows.select("row_id", "_w.*").withColumns({c: F.col(c).cast("int") for c in ("pair", "side")})
 
 
 @register(
@@ -399,7 +415,7 @@ def search_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads overlapping each variant, counted without listing them."""
     variants = bind.svs(spark, sf_dir).select("row_id", F.col("chrom").alias("contig"), "pos", "end2")
-    rows = bind.reads(spark, sf_dir).select("contig", "pos", "stop")
+    rows = bind.reads(spark, sf_dir, "contig", "pos", "stop")
     return count_overlaps(variants, ["row_id"], "contig", (F.col("pos"), F.col("end2")), rows, ("pos", "stop"))
 
 
@@ -721,7 +737,8 @@ _LETTERS = "length(regexp_replace(piece, '[^{0}]', '', 'g'))"
 def gc_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G/C share and presence of N per stretch of 100 characters."""
     chunks = F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0))
-    pieces = bind.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunks).alias("window_id", "piece"))
+    docs = dealt_out(bind.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    pieces = docs.select("doc_id", F.posexplode(chunks).alias("window_id", "piece"))
     out = dp.composition(pieces, ["doc_id", "window_id"], "piece")
     return out.select(
         "doc_id", F.col("window_id").cast("bigint").alias("window_id"), F.round(F.col("gc").cast("double"), 4).alias("gc"), "has_gap"

@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def int_div(a: Column, b: Column | int) -> Column:
+    """Whole-number quotient, cut towards zero. It never decreases as ``a`` grows, so it may name bins."""
+    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
+
+
 def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
     """True where two half-open intervals share a position; touching intervals do not."""
     return (a_start < b_end) & (b_start < a_end)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riftspan.functions import cigar as cg
 from riftspan.functions.flags import (
     DUPLICATE,
     MATE_REVERSE,
@@ -22,26 +21,26 @@ from riftspan.functions.flags import (
 )
 
 
-def clipped(hard: Column, soft: Column, min_clipped: int, masked_secondary: bool = True) -> Column:
-    """Split-read test for one end, given its hard and soft clip lengths.
+def clipped(side: str, min_clipped: int, masked_secondary: bool = True) -> Column:
+    """Split-read test for one end, ``left`` or ``right``, by the clip lengths noted at reading.
 
     Supplementary rows (and secondary ones, when the aligner marks split alignments so) count by
     hard clipping alone, primary rows by either kind.
     """
+    hard, soft = F.col(f"{side}_hard"), F.col(f"{side}_soft")
     alternative = has_flag(SUPPLEMENTARY | SECONDARY) if masked_secondary else has_flag(SUPPLEMENTARY)
     primary = lacks_all(SUPPLEMENTARY | SECONDARY)
-    long_hard = hard >= min_clipped
-    return (alternative & long_hard) | (primary & (long_hard | (soft >= min_clipped)))
+    return ((alternative | primary) & (hard >= min_clipped)) | (primary & (soft >= min_clipped))
 
 
 def split_left(min_clipped: int, masked_secondary: bool = True) -> Column:
     """Clipped at the left end."""
-    return clipped(cg.leading("H"), cg.leading("S"), min_clipped, masked_secondary)
+    return clipped("left", min_clipped, masked_secondary)
 
 
 def split_right(min_clipped: int, masked_secondary: bool = True) -> Column:
     """Clipped at the right end."""
-    return clipped(cg.trailing("H"), cg.trailing("S"), min_clipped, masked_secondary)
+    return clipped("right", min_clipped, masked_secondary)
 
 
 def discordant(max_normal_isize: int | Column, tid: str = "tid", mtid: str = "mtid", tlen: str = "tlen") -> Column:
@@ -70,9 +69,9 @@ def interesting(
 ) -> Column:
     """Usable rows that are clipped at either end or discordant."""
     return usable(masked_secondary) & (
-        split_left(min_clipped, masked_secondary)
+        discordant(max_normal_isize)
+        | split_left(min_clipped, masked_secondary)
         | split_right(min_clipped, masked_secondary)
-        | discordant(max_normal_isize)
     )
 
 
@@ -104,7 +103,7 @@ def fragment_row(min_mapq: int | None, min_unclipped: float | None) -> Column:
     if min_unclipped is None:
         return cond
     length = F.col("seq_len").cast("double")
-    clips = cg.leading("H") + cg.leading("S") + cg.trailing("H") + cg.trailing("S")
+    clips = F.col("left_hard") + F.col("left_soft") + F.col("right_hard") + F.col("right_soft")
     ratio = F.try_divide(length - clips, length).cast("float")
     return cond & ~F.coalesce(ratio < F.lit(min_unclipped).cast("float"), F.lit(False))
 

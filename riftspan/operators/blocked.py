@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riftspan.functions.interval import int_div
 from riftspan.operators.range_join import with_bins
-from riftspan.operators.skew import salted_join
 
 #: Region tables up to this many binned rows are broadcast, larger ones are shuffled.
 BROADCAST_ROWS = 500_000
@@ -24,7 +24,7 @@ def drop_blocked(
 
     A location with a NULL part blocks nothing. ``row_id`` names columns that identify a row. With
     a region table of proven small size the rows are never shuffled; beyond it, the ids of blocked
-    rows are found by a binned semi-join and removed by an anti-join.
+    rows are found by a binned join and removed by an anti-join.
     """
     binned = with_bins(regions.select("contig", "start", "end"), "start", "end", width).select(
         F.col("contig").alias("_bc"), F.col("start").alias("_bs"), F.col("end").alias("_be"), F.col("_bin").alias("_bb")
@@ -37,14 +37,8 @@ def drop_blocked(
         .select(*row_id, F.col("_l.c").alias("_bc"), F.col("_l.s").alias("_s"), F.col("_l.e").alias("_e"))
         .filter("_bc IS NOT NULL AND _s IS NOT NULL AND _e IS NOT NULL")
     )
-    hit = salted_join(
-        with_bins(located, "_s", "_e", width, "_bb"),
-        binned,
-        ["_bc", "_bb"],
-        row_id,
-        how="left_semi",
-        residual=(F.col("_s") < F.col("_be")) & (F.col("_bs") < F.col("_e")),
-    )
+    overlap = (F.col("_s") < F.col("_be")) & (F.col("_bs") < F.col("_e"))
+    hit = with_bins(located, "_s", "_e", width, "_bb").join(binned, ["_bc", "_bb"]).filter(overlap)
     return rows.join(hit.select(*row_id).distinct(), row_id, "left_anti")
 
 
@@ -65,7 +59,7 @@ def _drop_by_broadcast(
     for contig, start, end in locations:
         overlap = (start < F.col("_be")) & (F.col("_bs") < end)
         long_one = (end - start) > width
-        start_bin = F.floor(start / F.lit(width)).cast("long")
+        start_bin = int_div(start, width)
         result = result.join(
             F.broadcast(near), (contig == F.col("_bc")) & (start_bin == F.col("_bb")) & overlap, "left_anti"
         ).join(F.broadcast(parts), (F.when(long_one, contig) == F.col("_bc")) & overlap, "left_anti")

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from riftspan.functions.interval import int_div
+
 BIN_WIDTH = 4096
 
 
@@ -40,7 +42,7 @@ def points_below(marks: DataFrame, by: Sequence[str], width: int = BIN_WIDTH) ->
     per_x = (
         marks.groupBy(*by, "_x")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_x") / F.lit(width)).cast("long"))
+        .withColumn("_bin", int_div(F.col("_x"), width))
     )
     in_bin = W.partitionBy(*by, "_bin").orderBy("_x").rowsBetween(W.unboundedPreceding, -1)
     local = per_x.select(*by, "_bin", "_x", F.coalesce(F.sum("_n").over(in_bin), F.lit(0)).alias("_local"))

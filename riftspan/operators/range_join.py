@@ -12,42 +12,36 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riftspan.operators.skew import ROWS_PER_SALT, salted_join
+from riftspan.functions.interval import int_div
 
 
 def with_bins(df: DataFrame, start: str, end: str, width: int, name: str = "_bin") -> DataFrame:
     """One row per bin that the half-open interval touches; empty intervals get none."""
-    first = F.floor(F.col(start) / F.lit(width)).cast("long")
-    last = F.floor((F.col(end) - 1) / F.lit(width)).cast("long")
+    first = int_div(F.col(start), width)
+    last = int_div(F.col(end) - 1, width)
     return df.filter(F.col(end) > F.col(start)).withColumn(name, F.explode(F.sequence(first, last)))
 
 
 def overlap_join(
-    heavy: DataFrame,
-    light: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
     on: Sequence[str],
-    heavy_span: tuple[str, str],
-    light_span: tuple[str, str],
+    left_span: tuple[str, str],
+    right_span: tuple[str, str],
     width: int,
-    spread_by: Sequence[str],
-    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """All pairs with equal ``on`` columns whose half-open spans overlap, each pair once.
 
     Apart from ``on``, the two tables must not share column names. Choose ``width`` near the usual
-    interval length: an interval of length ``L`` is laid out on about ``L / width + 1`` bins.
+    interval length: an interval of length ``L`` is laid out on about ``L / width + 1`` bins. Bins
+    with very many rows are split by adaptive execution, on either side of the join; copies of
+    intervals should be made distinct before.
     """
-    hs, he = heavy_span
-    ls, le = light_span
-    first_shared = F.floor(F.greatest(F.col(hs), F.col(ls)) / F.lit(width)).cast("long")
-    residual = (
-        (F.col(hs) < F.col(le)) & (F.col(ls) < F.col(he)) & (first_shared == F.col("_bin"))
-    )
-    return salted_join(
-        with_bins(heavy, hs, he, width),
-        with_bins(light, ls, le, width),
-        [*on, "_bin"],
-        spread_by,
-        residual=residual,
-        rows_per_salt=rows_per_salt,
-    ).drop("_bin")
+    ls, le = left_span
+    rs, re = right_span
+    first_shared = int_div(F.greatest(F.col(ls), F.col(rs)), width)
+    overlapping = (F.col(ls) < F.col(re)) & (F.col(rs) < F.col(le)) & (first_shared == F.col("_bin"))
+    # Laying out intervals multiplies rows in a way the planner does not foresee, so that it would
+    # take either side for small and broadcast it.
+    pairs = with_bins(left, ls, le, width).hint("merge").join(with_bins(right, rs, re, width), [*on, "_bin"])
+    return pairs.filter(overlapping).drop("_bin")

@@ -1,5 +1,8 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
+Spark's adaptive execution splits heavy join partitions by itself, and most joins here leave it to
+that. Explicit salting is used where the row counts per key are known anyway.
+
 Salting only routes rows; it never drops or caps any. The list of heavy keys is limited to
 ``MAX_HOT_KEYS`` entries, which bounds what is broadcast. A key that does not make the list holds
 at most ``1 / MAX_HOT_KEYS`` of the rows, so it cannot dominate a task.
@@ -69,3 +72,13 @@ def salted_join(
         condition = condition & (F.col(c) == F.col(f"_r_{c}"))
     joined = left.join(renamed, condition, how)
     return joined.drop("_salt", *[f"_r_{c}" for c in on])
+
+
+def dealt_out(df: DataFrame, *keys: str) -> DataFrame:
+    """A source that cannot be split over all cores, spread by ``keys``; any other source as it is.
+
+    A compressed text file or a file with a single row group is read by one task. Unless its rows
+    are spread first, that task also does all the work that follows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if 2 * df.rdd.getNumPartitions() <= cores else df

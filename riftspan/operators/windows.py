@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from riftspan.functions.interval import int_div
+
 #: Windows generated per spine row in the first of two steps.
 SPINE_CHUNK = 8192
 
@@ -19,7 +21,7 @@ def window_spine(contigs: DataFrame, by: Sequence[str], length: str, window: int
     """
     chunks = contigs.filter(F.col(length) > 0).select(
         *by,
-        F.floor((F.col(length) - 1) / F.lit(window)).cast("long").alias("_last"),
+        int_div(F.col(length) - 1, window).alias("_last"),
     )
     chunks = chunks.withColumn("_chunk", F.explode(F.expr(f"sequence(0L, _last div {SPINE_CHUNK})")))
     spread = chunks.repartition(*by, "_chunk")
@@ -43,7 +45,7 @@ def depth_by_window(alignments: DataFrame, by: Sequence[str], window: int) -> Da
         "mapq",
         F.explode(
             F.sequence(
-                F.floor(F.col("start") / F.lit(window)).cast("long"), F.floor((F.col("end") - 1) / F.lit(window)).cast("long")
+                int_div(F.col("start"), window), int_div(F.col("end") - 1, window)
             )
         ).alias("window_id"),
     )

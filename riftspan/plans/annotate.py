@@ -18,7 +18,7 @@ CNV_TYPES = ["DEL", "DUP", "CNV"]
 #: Windows with at least this mean mapping quality are preferred for depth.
 GOOD_MAPQ = 55.0
 
-_WINDOW = "struct<pair:int,side:int,contig:string,lo:bigint,hi:bigint,strand:string>"
+_WINDOW = "struct<pair:tinyint,side:tinyint,contig:string,lo:bigint,hi:bigint,strand:string>"
 
 
 def search_windows(max_dist: int, slack: int, compat: bool = False) -> Column:
@@ -89,9 +89,10 @@ def facing_evidence(evidence: DataFrame) -> DataFrame:
         .when(sides == "Right", F.array(F.lit("Forward")))
         .when(sides == "Left", F.array(F.lit("Reverse")))
     )
-    mate = F.when(F.col("kind") == "SplitRead", F.col("is_first")).otherwise(F.lit(False))
+    # One small number for kind and mate keeps the many hit rows narrow: 0 pair, 1 and 2 split reads.
+    signal = F.when(F.col("kind") == "PairedRead", 0).when(F.col("is_first"), 1).otherwise(2).cast("byte")
     return evidence.select(
-        "kind", "read_id", mate.alias("mate"), F.col("contig"), "start", "end", F.explode(strands).alias("strand")
+        "read_id", signal.alias("signal"), "contig", "start", "end", F.explode(strands).alias("strand")
     ).distinct()
 
 
@@ -114,15 +115,10 @@ def evidence_counts(
         ("start", "end"),
         ("lo", "hi"),
         max_dist + slack,
-        ["kind", "read_id", "mate", "start"],
-    )
-    both = (
-        hits.groupBy("site", "pair", "kind", "read_id", "mate")
-        .agg(F.bit_or("side").alias("_sides"))
-        .filter("_sides = 3")
     )
+    both = hits.groupBy("site", "pair", "signal", "read_id").agg(F.bit_or("side").alias("_sides")).filter("_sides = 3")
     per_site = both.groupBy("site").agg(
-        F.count_if(F.col("kind") == "PairedRead").alias("pe_count"), F.count_if(F.col("kind") == "SplitRead").alias("sr_count")
+        F.count_if(F.col("signal") == 0).alias("pe_count"), F.count_if(F.col("signal") > 0).alias("sr_count")
     )
     counted = sites.join(per_site, "site").drop("site")
     return svs.select("row_id", *place).join(counted, place).select("row_id", "pe_count", "sr_count")
@@ -153,7 +149,6 @@ def depth_ratio(
         ("start", "end"),
         ("lo", "hi"),
         bin_width,
-        ["start"],
     )
     good = F.col("mapq") >= GOOD_MAPQ
     median = F.lit(autosome_median) if isinstance(autosome_median, (int, float)) else autosome_median
@@ -226,7 +221,7 @@ def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int, bin
     """
     cnvs, sites = _cnv_sites(svs, limit, ["DUP", "CNV"])
     points = snvs.withColumn("_stop", F.col("pos") + 1)
-    pairs = overlap_join(points, sites, ["contig"], ("pos", "_stop"), ("lo", "hi"), bin_width, ["pos", *order])
+    pairs = overlap_join(points, sites, ["contig"], ("pos", "_stop"), ("lo", "hi"), bin_width)
     values = F.array_sort(F.collect_list(F.struct("pos", *order, "baf")))
     per_site = pairs.groupBy("contig", "lo", "hi").agg(
         F.array_join(F.transform(values, lambda v: F.format_string("%.5f", v["baf"])), ";").alias("bafs")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riftspan.config import DepthSettings
@@ -81,13 +83,18 @@ def composition(pieces: DataFrame, by: list[str], text: str) -> DataFrame:
     ``pieces`` holds sequence pieces that each lie within one window ``by``.
     """
 
-    def letters(kept: str) -> F.Column:
-        return F.length(F.regexp_replace(F.col(text), f"[^{kept}]", "")).cast("long")
-
-    sums = pieces.select(
-        *by, letters("gcGC").alias("_gc"), letters("gcatGCAT").alias("_acgt"), letters("nN").alias("_n")
-    ).groupBy(*by).agg(F.sum("_gc").alias("_gc"), F.sum("_acgt").alias("_acgt"), F.sum("_n").alias("_n"))
-    return sums.select(*by, float_ratio(F.col("_gc"), F.col("_acgt")).alias("gc"), (F.col("_n") > 0).alias("has_gap"))
+    def without(column: Column, letters: str) -> Column:
+        return reduce(lambda c, letter: F.replace(c, F.lit(letter)), letters, column)
+
+    length = F.length(text)
+    staged = pieces.withColumn("_no_gc", without(F.col(text), "gcGC")).withColumn("_rest", without(F.col("_no_gc"), "atAT"))
+    sums = staged.select(
+        *by,
+        (length - F.length("_no_gc")).cast("long").alias("_gc"),
+        (length - F.length("_rest")).cast("long").alias("_acgt"),
+        (F.contains("_rest", F.lit("n")) | F.contains("_rest", F.lit("N"))).alias("_gap"),
+    ).groupBy(*by).agg(F.sum("_gc").alias("_gc"), F.sum("_acgt").alias("_acgt"), F.max("_gap").alias("has_gap"))
+    return sums.select(*by, float_ratio(F.col("_gc"), F.col("_acgt")).alias("gc"), "has_gap")
 
 
 def with_composition(windows: DataFrame, reference: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 #: Alignment rows. Positions are zero-based, -1 where absent. (file_ord, block, seq) is the row order.
 ALIGNMENT = (
     "file_ord int, block bigint, seq bigint, qname string, flag int, tid int, contig string, pos bigint, "
-    "mapq int, cigar string, mtid int, mcontig string, mpos bigint, tlen bigint, seq_len int, "
+    "mapq int, cigar string, left_hard int, left_soft int, right_hard int, right_soft int, mtid int, mcontig string, mpos bigint, tlen bigint, seq_len int, "
     "tags map<string,string>, raw string"
 )
 

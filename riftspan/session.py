@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,6 +19,7 @@ def local_session(cpus: int | str = "*", app: str = "riftspan", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.driver.memory", os.environ.get("RIFTSPAN_LOCAL_MEMORY", "12g"))
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riftspan.functions.cigar import end_position
+from riftspan.functions.cigar import clip_columns, end_position
 from riftspan.sources.headers import Contig, alignment_contigs, contig_table
 from riftspan.sources.textio import ORDER, read_header, read_lines, without_header, write_lines
 
@@ -73,7 +73,8 @@ def read_alignments(spark: SparkSession, path: str, file_ord: int = 0) -> DataFr
         lines = read_bam_lines(spark, path, file_ord)
     else:
         lines = without_header(read_lines(spark, path, file_ord), "@")
-    return parse_alignments(lines, alignment_contigs(header)).withColumn("end", end_position())
+    rows = parse_alignments(lines, alignment_contigs(header))
+    return rows.withColumns({"end": end_position(), **clip_columns()})
 
 
 def write_alignments(
