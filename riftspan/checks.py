@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan import bind
@@ -677,6 +677,15 @@ _LENGTHS_SQL = ", lens AS (SELECT contig, MAX(stop) + 1000 AS length FROM reads
 _COUNTED_SQL = "(flag & 3840) = 0 AND mapq >= 20 AND ((flag & 1) = 0 OR (flag & 2) <> 0)"
 
 
+def _thousandths_sql(expr: str) -> str:
+    """A single-precision value to three digits, by operations that all engines round alike."""
+    return f"floor(CAST(CAST({expr} AS FLOAT) AS DOUBLE) * 1000 + 0.5) / 1000"
+
+
+def _thousandths(name: str) -> Column:
+    return (F.floor(F.col(name).cast("double") * 1000 + 0.5) / 1000).alias(name)
+
+
 def _with_spine(sql: str) -> str:
     return with_cte(_LENGTHS_SQL + " " + sql, "reads").replace(") , lens", "), lens")
 
@@ -688,7 +697,7 @@ def _with_spine(sql: str) -> str:
           FROM reads WHERE {_COUNTED_SQL} AND ((flag & 1) = 0 OR tlen > 0)
             AND NOT CAST(CAST(seq_len - clip_left - clip_right AS DOUBLE) / seq_len AS FLOAT) < CAST(0.6 AS FLOAT)),
         agg AS (SELECT contig, window_id, COUNT(*) AS n, AVG(mapq) AS q FROM frag GROUP BY 1, 2)
-        SELECT contig, window_id, CAST(COALESCE(n, 0) AS DOUBLE) AS cov, ROUND(COALESCE(q, 0), 3) AS mean_mapq
+        SELECT contig, window_id, CAST(COALESCE(n, 0) AS DOUBLE) AS cov, {_thousandths_sql("COALESCE(q, 0)")} AS mean_mapq
         FROM spine LEFT JOIN agg USING (contig, window_id)"""
     ),
 )
@@ -697,7 +706,7 @@ def fragment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bind.reads(spark, sf_dir).withColumn("end", F.col("stop"))
     out = dp.depth_windows(rows, _contig_lengths(rows), FRAGMENTS)
     return out.select(
-        "contig", "window_id", F.col("cov").cast("double").alias("cov"), F.round(F.col("mean_mapq").cast("double"), 3).alias("mean_mapq")
+        "contig", "window_id", F.col("cov").cast("double").alias("cov"), _thousandths("mean_mapq")
     )
 
 
@@ -707,8 +716,9 @@ def fragment_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         f""", bases AS (SELECT contig, unnest(range(pos, stop)) AS p, mapq FROM reads WHERE (flag & 4) = 0 AND {_COUNTED_SQL}),
         d AS (SELECT contig, p, COUNT(*) AS depth, SUM(mapq) AS q FROM bases GROUP BY 1, 2),
         agg AS (SELECT contig, p // 100 AS window_id, SUM(depth) AS s, SUM(depth * depth) AS s2, SUM(q) AS q FROM d GROUP BY 1, 2)
-        SELECT contig, window_id, ROUND(COALESCE(s / 100.0, 0), 3) AS cov,
-          ROUND(COALESCE(sqrt((s2 - s * (s / 100.0)) / 99.0), 0), 3) AS cov_sd, ROUND(COALESCE(q / s, 0), 3) AS mean_mapq
+        SELECT contig, window_id, {_thousandths_sql("COALESCE(CAST(s AS DOUBLE) / 100, 0)")} AS cov,
+          {_thousandths_sql("COALESCE(sqrt((s2 - s * (CAST(s AS DOUBLE) / 100)) / 99), 0)")} AS cov_sd,
+          {_thousandths_sql("COALESCE(CAST(q AS DOUBLE) / s, 0)")} AS mean_mapq
         FROM spine LEFT JOIN agg USING (contig, window_id)"""
     ),
 )
@@ -719,7 +729,7 @@ def coverage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "contig",
         "window_id",
-        *[F.round(F.col(c).cast("double"), 3).alias(c) for c in ("cov", "cov_sd", "mean_mapq")],
+        *[_thousandths(c) for c in ("cov", "cov_sd", "mean_mapq")],
     )
 
 

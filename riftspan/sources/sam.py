@@ -90,6 +90,6 @@ def write_alignments(
     if path.endswith(".bam"):
         from riftspan.sources.bam import write_bam
 
-        write_bam(rows, line, order, header, path, overwrite)
+        write_bam(rows, line, order, header, path, overwrite, single_file)
         return
     write_lines(rows, line, order, header, path, overwrite, single_file)
