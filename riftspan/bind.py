@@ -17,7 +17,7 @@ CONTIGS = ["F", "O", "P"]
 
 #: Thresholds used with the views: smaller than the defaults, to fit their read lengths.
 LIBRARY = LibraryProperties(max_rlen=70, median_isize=300.0, std_dev_isize=100.0, max_normal_isize=500)
-CONFIG = Config(sliding_window_size=5_000)
+CONFIG = Config(sliding_window_size=5_000, lib_estimation_sample_size=4_000)
 
 _CONTIG_OF_TID = "CASE {0} WHEN 0 THEN 'F' WHEN 1 THEN 'O' ELSE 'P' END"
 _TID = "(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END)"

@@ -31,7 +31,7 @@ from riftspan.plans import evidence as ev
 from riftspan.plans import scan as sc
 from riftspan.plans import standardize as st
 from riftspan.plans import unique as un
-from riftspan.plans.library import insert_size_model
+from riftspan.plans.library import first_pairs, insert_size_model, sample_size
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -888,7 +888,8 @@ def baf_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def insert_size_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert-size model from the first clean pairs."""
-    model = insert_size_model(bind.reads(spark, sf_dir), ["ord", "tlen"], CONFIG)
+    sampled = first_pairs(bind.reads(spark, sf_dir), ["ord", "tlen"], sample_size(CONFIG))
+    model = insert_size_model(sampled, CONFIG)
     return model.withColumn("std_dev_isize", F.round("std_dev_isize", 4))
 
 

@@ -83,6 +83,18 @@ def values_at_ranks(
     return placed.agg(F.max("_n").alias("_n"), *found)
 
 
+def leading_rows(df: DataFrame, order: str, n: int) -> DataFrame:
+    """All of the first ``n`` rows by the numeric column ``order``, and not many more.
+
+    A sort with a limit would gather ``n`` rows of every partition in one task. Here a histogram of
+    the column tells up to which key rows can be among the first; later ones are filtered away.
+    """
+    histogram = df.groupBy(order_key(F.col(order)).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(W.orderBy("_k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cut = histogram.withColumn("_before", before).filter(F.col("_before") < n).agg(F.max("_k")).scalar()
+    return df.filter(order_key(F.col(order)) <= cut)
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], weight: str | None = None
 ) -> DataFrame:

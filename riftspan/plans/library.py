@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riftspan.config import Config
 from riftspan.functions.reads import library_sample
-from riftspan.operators.quantiles import values_at_ranks
+from riftspan.operators.quantiles import leading_rows, values_at_ranks
 
 #: Read length assumed where the header gives none.
 ASSUMED_READ_LENGTH = 150
@@ -26,19 +26,19 @@ class LibraryProperties:
     max_normal_isize: int
 
 
-def insert_size_model(alignments: DataFrame, order: list[str], config: Config) -> DataFrame:
-    """One row with the columns of :class:`LibraryProperties`, from the first clean pairs in row order.
+def first_pairs(alignments: DataFrame, order: list[str], n: int) -> DataFrame:
+    """Insert sizes of the first ``n`` clean pairs by ``order``, whose first column is a number."""
+    clean = alignments.filter(library_sample()).select(*order, "tlen")
+    return leading_rows(clean, order[0], n).orderBy(*order).limit(n).select("tlen")
 
-    One pair more than the configured number is used. The median is the upper of two middle
-    values, and the deviation is taken about it after trimming outliers.
+
+def insert_size_model(sampled: DataFrame, config: Config) -> DataFrame:
+    """One row with the columns of :class:`LibraryProperties` from the sampled insert sizes ``tlen``.
+
+    The median is the upper of two middle values, and the deviation is taken about it after
+    trimming outliers.
     """
-    sampled = (
-        alignments.filter(library_sample())
-        .select(*order, "tlen")
-        .orderBy(*order)
-        .limit(config.lib_estimation_sample_size + 1)
-        .select(F.col("tlen").cast("double").alias("tlen"))
-    )
+    sampled = sampled.select(F.col("tlen").cast("double").alias("tlen"))
     middle = values_at_ranks(sampled, [], "tlen", {"median": F.expr("_n div 2")}).select("median")
     median = middle.scalar()
     reach = F.lit(config.library_cutoff_deviation * config.library_cutoff_sd_mult) * median
@@ -59,12 +59,22 @@ def insert_size_model(alignments: DataFrame, order: list[str], config: Config) -
     )
 
 
-def estimate_library(alignments: DataFrame, order: list[str], config: Config) -> LibraryProperties:
-    """Evaluate :func:`insert_size_model`."""
-    row = insert_size_model(alignments, order, config).first()
-    if row["median_isize"] is None:
+def sample_size(config: Config) -> int:
+    """One pair more than configured is used."""
+    return config.lib_estimation_sample_size + 1
+
+
+def estimate_library(alignments: DataFrame, config: Config) -> LibraryProperties:
+    """Model from the first clean pairs of a file, given its rows as read.
+
+    Without a sort, ``limit`` reads a file split by split and stops early, so only its beginning is
+    touched. The sample is bounded by the configuration.
+    """
+    sizes = alignments.filter(library_sample()).select("tlen").limit(sample_size(config)).collect()
+    if not sizes:
         raise ValueError("no clean read pairs in the input")
-    return LibraryProperties(**row.asDict())
+    sampled = alignments.sparkSession.createDataFrame(sizes, "tlen bigint")
+    return LibraryProperties(**insert_size_model(sampled, config).first().asDict())
 
 
 def library_from_header(header: list[str], config: Config, compat: bool = False) -> LibraryProperties | None:

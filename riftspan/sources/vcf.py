@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riftspan.functions.calls import clustered_genotype
 from riftspan.functions.text import short_float
 from riftspan.sources.headers import variant_samples
-from riftspan.sources.textio import ORDER, read_header, read_lines, without_header
+from riftspan.sources.textio import ORDER, read_header, read_lines, without_header, write_lines
 
 
 def variant_header(spark: SparkSession, path: str) -> list[str]:
@@ -74,6 +74,24 @@ def read_variants(spark: SparkSession, path: str, file_ord: int = 0) -> DataFram
     return parse_variants(lines, samples)
 
 
+def write_variants(
+    rows: DataFrame,
+    line: Column,
+    order: list[Column | str],
+    header: list[str],
+    path: str,
+    overwrite: bool = False,
+    single_file: bool = False,
+) -> None:
+    """Write VCF text (compressed if the path ends in ``.gz``), or BCF if it ends in ``.bcf``."""
+    if path.endswith(".bcf"):
+        from riftspan.sources.bcf import write_bcf
+
+        write_bcf(rows, line, order, header, path, overwrite, single_file)
+        return
+    write_lines(rows, line, order, header, path, overwrite, single_file)
+
+
 def variant_end(end_key: str = "END") -> Column:
     """Exclusive end of a row for region queries: the declared end, else the reference allele's."""
     declared = F.try_element_at(F.col("info"), F.lit(end_key)).cast("bigint")

@@ -58,7 +58,7 @@ def scan(
     contigs = hd.alignment_contigs(header)
     rows = sam.read_alignments(spark, path_in)
     if library is None:
-        library = estimate_library(rows, ORDER, config)
+        library = estimate_library(rows, config)
     blocked = None
     if config.blocked_regions_bed:
         blocked = read_bed(spark, config.blocked_regions_bed, [c.name for c in contigs])
@@ -101,7 +101,7 @@ def collect_evidence(
     guard_output(path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     rows = sam.read_alignments(spark, path_in)
-    library = library or library_from_header(header, config, compat) or estimate_library(rows, ORDER, config)
+    library = library or library_from_header(header, config, compat) or estimate_library(rows, config)
     tag = F.try_element_at(F.col("tags"), F.lit("xI")).cast("bigint")
     marked = rows.withColumn("read_id", F.coalesce(tag, F.raise_error(F.lit("read without tag xI")).cast("bigint")))
     table = region_table(spark, _alignment_regions(hd.alignment_contigs(header), regions))
@@ -158,7 +158,7 @@ def collect_depth(
     placed = placed.withColumn("end", F.least(F.col("start") + w, F.col("length")))
     day = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d")
     line = vcf.depth_line(settings.count_kind == "coverage", has_reference)
-    write_lines(
+    vcf.write_variants(
         placed, line, ["tid", "start"], hd.depth_header(contigs, samples[:1], day, known), path_out, overwrite, single_file
     )
 
@@ -181,7 +181,7 @@ def standardize(
     table = region_table(spark, _variant_regions(contigs, regions))
     rows = fetch_regions(vcf.read_variants(spark, path_in), table, "chrom", F.col("pos"), vcf.variant_end())
     out = st.standardize(rows, tool, config.stdvcf_apply_filters, ("region_ord", *ORDER))
-    write_lines(
+    vcf.write_variants(
         out,
         vcf.standardized_line(samples),
         ["region_ord", "pos", *ORDER],
@@ -246,7 +246,7 @@ def cluster(
     records = cu.cluster_variants(variants.drop("raw"), settings)
     kept = ["region_ord", "number", "chrom", "pos", "reference", "alt", "chrom2", "end2", "sv_type", "strands", "sv_len", "sv_id", "algorithms"]
     wide = cu.sample_matrix(records, kept, samples)
-    write_lines(
+    vcf.write_variants(
         wide,
         vcf.clustered_line(samples),
         ["number"],
@@ -321,7 +321,7 @@ def annotate(
     result = an.annotate(
         svs, config, evidence, windows, None if medians is None else medians["autosomes"], snvs, compat
     )
-    write_lines(
+    vcf.write_variants(
         result,
         vcf.annotated_line(result.columns),
         ["row_id"],

@@ -15,7 +15,6 @@ from riftspan.sources import sam
 from riftspan.sources.fasta import read_fasta, reference_windows
 from riftspan.sources.multijoin import multijoin
 from riftspan.sources.regions import Region, parse_region, parse_regions, read_bed
-from riftspan.sources.textio import ORDER
 
 SHORT = {"one": 1000, "two": 950}
 GROUP = "@RG\tID:sample\tSM:sample"
@@ -139,7 +138,7 @@ def test_library_model(spark, write):
         median = used[len(used) // 2]
         kept = [x for x in used if 0.3 * median <= x <= 1.7 * median]
         deviation = math.sqrt(sum((x - median) ** 2 for x in kept) / len(kept))
-        model = estimate_library(sam.read_alignments(spark, path), ORDER, Config(lib_estimation_sample_size=cap))
+        model = estimate_library(sam.read_alignments(spark, path), Config(lib_estimation_sample_size=cap))
         assert (model.median_isize, model.max_rlen) == (median, 150)
         assert model.std_dev_isize == pytest.approx(deviation)
         assert model.max_normal_isize == math.ceil(median + 3 * deviation)
