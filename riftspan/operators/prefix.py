@@ -39,8 +39,10 @@ def points_below(marks: DataFrame, by: Sequence[str], width: int = BIN_WIDTH) ->
     ``marks`` has the columns ``by``, ``_x`` (bigint) and ``_n``. Bounds enter with ``_n = 0``.
     """
     by = list(by)
+    # Joins below would infer these conditions for one use of ``per_x`` only, and it would be computed twice.
+    known = marks.dropna(subset=[*by, "_x"])
     per_x = (
-        marks.groupBy(*by, "_x")
+        known.groupBy(*by, "_x")
         .agg(F.sum("_n").alias("_n"))
         .withColumn("_bin", int_div(F.col("_x"), width))
     )
