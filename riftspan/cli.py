@@ -6,7 +6,6 @@ import argparse
 import logging
 import shutil
 import sys
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +13,7 @@ from riftspan import __version__, tools
 from riftspan.config import load_config
 from riftspan.errors import RiftspanError
 from riftspan.plans.standardize import TOOLS
+from riftspan.session import mounted_folder
 from riftspan.sources.regions import parse_regions
 
 
@@ -52,15 +52,16 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
-def _spooled(path: str) -> str:
-    """Standard input has no splits to read in parallel, so it is written to a file first."""
+def _spooled(spark: SparkSession, path: str) -> str:
+    """Standard input has no splits to read in parallel, so it is written to the shared folder first."""
     if path != "-":
         return path
     head = sys.stdin.buffer.peek(2)[:2]
     suffix = ".bam" if head == b"\x1f\x8b" else ".sam"
-    with tempfile.NamedTemporaryFile(prefix="riftspan-stdin-", suffix=suffix, delete=False) as target:
+    name = mounted_folder(spark, "riftspan-stdin") + suffix
+    with open(name, "wb") as target:
         shutil.copyfileobj(sys.stdin.buffer, target)
-    return target.name
+    return name
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
@@ -74,7 +75,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     if args.command == "scan":
         tools.scan(spark, args.input, args.output, regions=regions, compat=args.compat, **common)
     elif args.command == "unique":
-        tools.unique(spark, _spooled(args.input), args.output, **common)
+        tools.unique(spark, _spooled(spark, args.input), args.output, **common)
     elif args.command == "collect-pesr":
         tools.collect_evidence(spark, args.input, args.output, regions=regions, compat=args.compat, **common)
     elif args.command == "collect-doc":

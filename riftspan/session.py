@@ -28,6 +28,16 @@ def local_session(cpus: int | str = "*", app: str = "riftspan", shuffle_partitio
     return spark
 
 
+def mounted_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new entry in the shared folder, for plain file access on the driver."""
+    folder = _shared_folder(spark)
+    if "://" in folder and not folder.startswith("file://"):
+        raise RuntimeError(f"{folder} is not mounted as a file system; name an output or input path instead of -")
+    folder = folder.removeprefix("file://").removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import glob
 import os
 import shutil
 import sys
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.errors import OutputExists
+from riftspan.session import mounted_folder
 
 #: Row order of data read from files: input number, then (file, split), then row of the split.
 ORDER = ["file_ord", "block", "seq"]
@@ -103,18 +104,13 @@ def write_lines(
     if not single_file and path != "-":
         in_order.write.mode("overwrite" if overwrite else "error").option("compression", compression).text(path)
         return
-    with tempfile.TemporaryDirectory(prefix="riftspan-parts-") as folder:
-        parts = os.path.join(folder, "parts")
-        in_order.write.option("compression", compression).text(parts)
-        files = sorted(glob.glob(os.path.join(parts, "part-*")))
-        if path == "-":
-            for name in files:
-                with open(name, "rb") as source:
-                    shutil.copyfileobj(source, sys.stdout.buffer)
-            sys.stdout.buffer.flush()
-            return
-        with open(path, "wb") as target:
-            for name in files:
-                with open(name, "rb") as source:
-                    shutil.copyfileobj(source, target)
-
+    # Parts lie beside the output, or in the shared folder, where executors can write as well.
+    folder = mounted_folder(spark, "riftspan-stdout") if path == "-" else f"{path}.parts"
+    in_order.write.mode("overwrite" if overwrite else "error").option("compression", compression).text(folder)
+    with contextlib.ExitStack() as stack:
+        target = sys.stdout.buffer if path == "-" else stack.enter_context(open(path, "wb"))
+        for name in sorted(glob.glob(os.path.join(glob.escape(folder), "part-*"))):
+            with open(name, "rb") as source:
+                shutil.copyfileobj(source, target)
+        target.flush()
+    shutil.rmtree(folder)

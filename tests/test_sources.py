@@ -185,6 +185,17 @@ def test_compressed_variants_are_read_and_written(spark, write, tmp_path):
     assert len(body(again)) > 1
 
 
+def test_standard_input_and_output(spark, write, monkeypatch, capsysbinary):
+    import io
+    import sys
+
+    rows, _ = s.SCAN_CASES["two-contigs"]
+    text = "\n".join([*s.sam_header("queryname"), *rows, *rows]) + "\n"
+    monkeypatch.setattr(sys, "stdin", io.TextIOWrapper(io.BufferedReader(io.BytesIO(text.encode()))))
+    cli.run(spark, ["unique", "-", "-"])
+    assert capsysbinary.readouterr().out.decode().splitlines()[-2:] == [f"{r}\txI:i:0" for r in rows]
+
+
 def test_multijoin(spark):
     tables = [spark.createDataFrame([(k, f"{n}{k}") for k in ks], f"key int, {n} string") for n, ks in (("a", [1, 2, 3]), ("b", [2, 3]), ("c", [3, 4]))]
     assert [tuple(r) for r in multijoin(tables, "key").collect()] == [(3, "a3", "b3", "c3")]
