@@ -254,3 +254,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, box = learned(docs, table(spark, sf_dir, "labels"))
     found = score_texts(docs, model, box)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.expr("if(score >= 0.5, 1, 0)").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose score is 0.5 or more; rows and columns are otherwise as they were."""
+    model, box = learned(docs, labels)
+    weights = shared(docs.sparkSession, model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer, scorer = Restorer(opened(box)), opened(weights)
+        for batch in batches:
+            keep = [scorer.score(restorer.words(t or "")) < 0.5 for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
