@@ -1,16 +1,17 @@
-"""A corpus pipeline: each stage reads what the one before it kept.
-
-Not complete yet: SimHash near-duplicates and mixing are still to come.
-"""
+"""A corpus pipeline: each stage reads what the one before it kept, and all but the last return the columns of ``documents``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riftspan.llm import exact, pieces, toxicity
+from riftspan.llm import exact, mixing, pieces, simhash, toxicity
 from riftspan.llm.common import stored, table
 
 
+#: Words of a shingle and differing bits of near copies. Two bits, as the query has, would find only the closest copies.
+NEAR_WORDS, NEAR_BITS = 3, 7
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
@@ -21,12 +22,28 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.without_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints are linked."""
+    return simhash.without_near_copies(docs, words=NEAR_WORDS, distance=NEAR_BITS)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of rare domains more than once, none not at all."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return pieces.encode_pieces(docs, pieces.default_model())
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("sentencepiece", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash", drop_near_copies),
+    ("mixing", mix_domains),
+    ("sentencepiece", encode),
+]
 
 #: SQL cannot express the learned stages.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ markers and the characters up to the next run. Words repeat far more often than
 distinct chunk of a block of documents is segmented once, and ids are joined back by position with
 array lookups. Documents are independent: no shuffle, and a lost task is simply run again.
 
-The table is built per block (one Arrow batch, limited by bytes), not over the whole corpus: over
+The table is built per block of about ``BLOCK`` characters, not over the whole corpus: over
 0.5 GB of documents a corpus-wide table has 8 million chunks, and carrying every block's chunks
 there and back by two shuffles costs more than segmenting them in place.
 
@@ -25,9 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from riftspan.llm.common import batch_of, only, table, texts_of
+from riftspan.llm.common import batch_of, only, slices, table, texts_of
 
 MARKER = "▁"
+#: Characters of a block; a longer text is a block of its own.
+BLOCK = 8_000_000
 #: A run of markers (as spaces) and what follows up to the next run.
 CHUNK = re.compile(" +[^ ]*")
 
@@ -98,22 +100,24 @@ def _encoder(model: bytes, id_column: str, text_column: str, digests: bool):
 
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         begin, end = (np.array([i], np.uint32) for i in (processor.bos_id(), processor.eos_id()))
-        for batch in batches:
-            chunks = ChunkTable(processor)
-            rows = [chunks.positions(t) for t in texts_of(batch, text_column)]
-            chunks.segment()
-            encoded = [np.concatenate([begin, chunks.ids(r), end]).astype("<u4") for r in rows]
-            decoded = (chunks.text(r) for r in rows)
-            keys = batch.column(id_column)
-            counts = [len(i) for i in encoded]
-            if digests:
-                columns = {
-                    "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i in encoded],
-                    "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded],
-                }
-            else:
-                columns = {"ids": [i.astype("i4") for i in encoded], "decoded": list(decoded)}
-            yield batch_of(schema.set(0, pa.field(id_column, keys.type)), **{id_column: keys, "n_tokens": counts}, **columns)
+        for whole in batches:
+            for first, stop in slices(texts_of(whole, text_column), BLOCK):
+                batch = whole.slice(first, stop - first)
+                chunks = ChunkTable(processor)
+                rows = [chunks.positions(t) for t in texts_of(batch, text_column)]
+                chunks.segment()
+                encoded = [np.concatenate([begin, chunks.ids(r), end]).astype("<u4") for r in rows]
+                decoded = (chunks.text(r) for r in rows)
+                keys = batch.column(id_column)
+                counts = [len(i) for i in encoded]
+                if digests:
+                    columns = {
+                        "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i in encoded],
+                        "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded],
+                    }
+                else:
+                    columns = {"ids": [i.astype("i4") for i in encoded], "decoded": list(decoded)}
+                yield batch_of(schema.set(0, pa.field(id_column, keys.type)), **{id_column: keys, "n_tokens": counts}, **columns)
 
     return run
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from riftspan.llm import exact, language, pieces, toxicity
+from riftspan.llm import exact, language, mixing, pieces, simhash, toxicity
 
 QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
+    "op6_simhash": simhash.op6_simhash,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {"op8_exact_dedup": exact.ORACLE}
