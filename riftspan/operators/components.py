@@ -8,7 +8,7 @@ edges are few enough for a fixed bound, one task finishes them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 from riftspan.operators.skew import salted_join
 from riftspan.session import reliable_checkpoint
 
-#: Edges that one task may finish on its own. A constant, whatever the size of the input.
-SINGLE_TASK_EDGES = 1_000_000
+#: Edges that one task may finish on its own, which bounds its nodes by twice as many. A constant, whatever the size of the input.
+SINGLE_TASK_EDGES = 500_000
 #: Nodes a task keeps in memory before it writes out its stars and starts afresh.
 NODES_IN_MEMORY = 1_000_000
 
 
-def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def contracting(nodes_in_memory: int | None) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Contraction that writes out its stars whenever it holds more nodes than this; with ``None`` only once, at the end."""
+    return lambda batches: contract(batches, nodes_in_memory)
+
+
+def contract(batches: Iterator[pd.DataFrame], nodes_in_memory: int | None = None) -> Iterator[pd.DataFrame]:
     """Replace edges ``(a, b)`` by stars ``(a, b)`` where ``b`` is the least node of the local component."""
     parent: dict[int, int] = {}
 
@@ -46,15 +51,21 @@ def contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x, y = root(a), root(b)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-        if len(parent) > NODES_IN_MEMORY:
+        if nodes_in_memory is not None and len(parent) > nodes_in_memory:
             yield stars()
             parent.clear()
     if parent:
         yield stars()
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").mapInPandas(contract, "a bigint, b bigint")
+def _contracted(edges: DataFrame, nodes_in_memory: int) -> DataFrame:
+    """Each task's edges as stars; connected nodes may still have several."""
+    return edges.select("a", "b").mapInPandas(contracting(nodes_in_memory), "a bigint, b bigint")
+
+
+def _finished(edges: DataFrame) -> DataFrame:
+    """Final labels of a bounded number of edges, by one task that never lets go of a node."""
+    return edges.select("a", "b").coalesce(1).mapInPandas(contracting(None), "a bigint, b bigint")
 
 
 def _to_minimum(pairs: DataFrame) -> DataFrame:
@@ -94,13 +105,15 @@ def _resolve(edges: DataFrame, single_task_edges: int) -> DataFrame:
     """Labels ``(a, b)`` with ``b`` the least node of the component, for a checkpointed edge table."""
     while True:
         if edges.count() <= single_task_edges:
-            return _contracted(edges.coalesce(1))
+            return _finished(edges)
         edges = reliable_checkpoint(_star_round(edges))
         if _is_forest_of_stars(edges):
             return edges.unionByName(edges.select(F.col("b").alias("a"), "b").distinct())
 
 
-def connected_components(edges: DataFrame, single_task_edges: int = SINGLE_TASK_EDGES) -> DataFrame:
+def connected_components(
+    edges: DataFrame, single_task_edges: int = SINGLE_TASK_EDGES, nodes_in_memory: int = NODES_IN_MEMORY
+) -> DataFrame:
     """``(node, component)`` for every node of ``edges`` (``a``, ``b`` bigint); a component is named by its least node.
 
     The result is a written table.
@@ -109,10 +122,10 @@ def connected_components(edges: DataFrame, single_task_edges: int = SINGLE_TASK_
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
     if stored.count() <= single_task_edges:
-        labels = _contracted(stored.coalesce(1))
+        labels = _finished(stored)
         return reliable_checkpoint(labels.select(F.col("a").alias("node"), F.col("b").alias("component")))
     # Neighbouring ids mostly belong to neighbouring loci, so range partitions cut few components.
-    stars = reliable_checkpoint(_contracted(stored.repartitionByRange("b")).distinct())
+    stars = reliable_checkpoint(_contracted(stored.repartitionByRange("b"), nodes_in_memory).distinct())
     per_node = stars.groupBy("a").agg(F.min("b").alias("m"))
     ties = (
         stars.join(per_node, "a")

@@ -95,8 +95,8 @@ def brute_components(edges):
     return {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_connected_components(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit,nodes", [(1_000_000, 1_000_000), (0, 1_000_000), (1_000_000, 3), (10, 3), (3, 10), (0, 3)])
+def test_connected_components(spark, limit, nodes):
     rng = random.Random(4)
     chain = [(i, i + 1) for i in range(1000, 1080)]
     hub = [(2000, 2001 + i) for i in range(100)]
@@ -104,17 +104,18 @@ def test_connected_components(spark, monkeypatch, limit):
     edges = [e for e in chain + hub + scattered if e[0] != e[1]]
     rng.shuffle(edges)
     df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(6)
-    got = {r["node"]: r["component"] for r in cc.connected_components(df, single_task_edges=limit).collect()}
+    rows = cc.connected_components(df, single_task_edges=limit, nodes_in_memory=nodes).collect()
+    got = {r["node"]: r["component"] for r in rows}
+    assert len(rows) == len(got)
     assert got == brute_components(edges)
 
 
-def test_contraction_in_small_memory(monkeypatch):
+def test_contraction_in_small_memory():
     import pandas as pd
 
-    monkeypatch.setattr(cc, "NODES_IN_MEMORY", 3)
     edges = [(i, i + 1) for i in range(50)]
     batches = [pd.DataFrame(edges[i : i + 5], columns=["a", "b"]) for i in range(0, 50, 5)]
-    stars = [tuple(r) for part in cc.contract(iter(batches)) for r in part.itertuples(index=False)]
+    stars = [tuple(r) for part in cc.contracting(3)(iter(batches)) for r in part.itertuples(index=False)]
     assert brute_components(stars) == brute_components(edges)
 
 
