@@ -44,6 +44,15 @@ def bounded_sample(rows: DataFrame, id_column: str, size: int) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(7)), F.lit(every)) == 0).limit(2 * size)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, size: int, *columns: str) -> DataFrame:
+    """Rows of ``docs`` (the named columns) with the columns of ``labels``, about ``size`` of them, as a written table.
+
+    The sample is drawn from the labels, so that no texts but its own are moved: at most ``2 * size`` ids are broadcast.
+    """
+    chosen = bounded_sample(labels, "doc_id", size)
+    return stored(only(docs, "doc_id", *columns).join(F.broadcast(chosen), "doc_id"))
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

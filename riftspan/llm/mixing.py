@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riftspan.llm.common import bounded_sample, only, stored, table
+from riftspan.llm.common import labelled_sample, only, stored, table
 
 #: Hash buckets of words; classifier tables have so many entries a domain.
 BUCKETS = 4_096
@@ -48,9 +48,8 @@ def _words(rows: DataFrame) -> DataFrame:
 
 
 def word_weights(labelled: DataFrame) -> tuple[list[str], list[float], list[list[float]]]:
-    """Domains, log priors and log probabilities by domain and bucket, from rows of ``doc_id``, ``text``, ``domain``."""
-    sample = bounded_sample(labelled.filter("domain is not null"), "doc_id", LEARNING_ROWS)
-    rows = sample.select(F.col("domain").cast("string").alias("domain"), "text")
+    """Domains, log priors and log probabilities by domain and bucket, from rows of ``text`` and ``domain``."""
+    rows = labelled.filter("domain is not null").select(F.col("domain").cast("string").alias("domain"), "text")
     docs = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(docs)
     counts = {n: [0.5] * BUCKETS for n in names}
@@ -138,7 +137,7 @@ def flattened_targets(shares: list[float], power: float, every_document: bool) -
 def mix(docs: DataFrame, labelled: DataFrame, power: float = FLATTENING, every_document: bool = False) -> tuple[list[str], list[float], DataFrame]:
     """Domains, target totals, and ``id``, ``mark``, ``tokens``, ``p``, ``rate``, ``copies`` of every document.
 
-    ``labelled`` has ``doc_id``, ``text`` and ``domain``. ``every_document`` keeps all rates at 1 or more.
+    ``labelled`` has ``text`` and ``domain``. ``every_document`` keeps all rates at 1 or more.
     """
     names, priors, weights = word_weights(labelled)
     if not names:
@@ -153,9 +152,9 @@ def mix(docs: DataFrame, labelled: DataFrame, power: float = FLATTENING, every_d
 
 
 def by_language_and_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled rows whose domain is the language with the quality label."""
-    rows = only(docs, "doc_id", "text", "lang").join(only(labels, "doc_id", "quality").filter("quality is not null"), "doc_id")
-    return rows.filter("lang is not null").select("doc_id", "text", F.concat_ws("/", "lang", F.when(F.col("quality") > 0, "high").otherwise("low")).alias("domain"))
+    """A sample of labelled rows whose domain is the language with the quality label."""
+    rows = labelled_sample(docs, only(labels, "doc_id", "quality").filter("quality is not null"), LEARNING_ROWS, "text", "lang")
+    return rows.filter("lang is not null").select("text", F.concat_ws("/", "lang", F.when(F.col("quality") > 0, "high").otherwise("low")).alias("domain"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from riftspan.llm import exact, language, mixing, pieces, simhash, toxicity
+from riftspan.llm import cosine, exact, language, mixing, pieces, simhash, toxicity, urls
 
 QUERIES = {
+    "op1_url_templates": urls.op1_url_templates,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
     "op6_simhash": simhash.op6_simhash,
+    "op7_embedding_links": cosine.op7_embedding_links,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_mixing": mixing.op10_mixing,
