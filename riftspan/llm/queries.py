@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from riftspan.llm import cosine, exact, language, mixing, pieces, simhash, toxicity, urls
+from riftspan.llm import attribution, cosine, exact, language, merkle, mixing, pieces, simhash, toxicity, urls
 
 QUERIES = {
     "op1_url_templates": urls.op1_url_templates,
+    "op2_fixity_audit": merkle.op2_fixity_audit,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_language_id": language.op4_language_id,
+    "op5_token_attribution": attribution.op5_token_attribution,
     "op6_simhash": simhash.op6_simhash,
     "op7_embedding_links": cosine.op7_embedding_links,
     "op8_exact_dedup": exact.op8_exact_dedup,
@@ -15,4 +17,4 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
 }
 
-ORACLES = {"op8_exact_dedup": exact.ORACLE}
+ORACLES = {"op2_fixity_audit": merkle.ORACLE, "op8_exact_dedup": exact.ORACLE}
