@@ -217,7 +217,7 @@ def region_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def blocked_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads outside blocked regions, with both their alignment and their mate."""
-    kept = sc.drop_blocked_reads(bind.reads(spark, sf_dir), ["ord"], F.col("stop"), bind.blocked(spark, sf_dir))
+    kept = sc.drop_blocked_reads(bind.reads(spark, sf_dir), F.col("stop"), bind.blocked(spark, sf_dir))
     return kept.select("qname", "contig", "pos", "mcontig", "mpos")
 
 
@@ -354,7 +354,7 @@ def event_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocked_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence whose ends lie outside blocked regions."""
     kept = an.drop_blocked_evidence(
-        _evidence(spark, sf_dir), ["kind", "read_id", "is_first", "start", "start2"], bind.blocked(spark, sf_dir)
+        _evidence(spark, sf_dir), bind.blocked(spark, sf_dir)
     )
     return kept.select("kind", "read_id", "contig", "start", "end")
 
@@ -757,21 +757,23 @@ def gc_content(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "window_composition",
-    """WITH w AS (SELECT doc_id AS contig, 0 AS window_id, n_chars AS cov FROM documents), 
-       r AS (SELECT doc_id AS contig, length(regexp_replace(substr(text, 1, 100), '[^gcGC]', '', 'g')) AS gc,
-          length(regexp_replace(substr(text, 1, 100), '[^gcatGCAT]', '', 'g')) AS acgt,
-          length(regexp_replace(substr(text, 1, 100), '[^nN]', '', 'g')) AS n FROM documents WHERE length(text) > 0)
-       SELECT w.contig, w.cov, ROUND(CASE WHEN acgt > 0 THEN CAST(gc AS DOUBLE) / acgt END, 4) AS gc, n > 0 AS has_gap
-       FROM w LEFT JOIN r ON w.contig = r.contig""",
+    """WITH w AS (SELECT doc_id AS contig, unnest(range(0, (length(text) + 99) // 100)) AS window_id, n_chars AS cov, text FROM documents),
+       r AS (SELECT contig, window_id, cov, substr(text, window_id * 100 + 1, 100) AS t FROM w),
+       p AS (SELECT contig, window_id, cov, length(regexp_replace(t, '[^gcGC]', '', 'g')) AS gc,
+          length(regexp_replace(t, '[^gcatGCAT]', '', 'g')) AS acgt, length(regexp_replace(t, '[^nN]', '', 'g')) AS n FROM r)
+       SELECT contig, window_id, cov, ROUND(CASE WHEN acgt > 0 THEN CAST(gc AS DOUBLE) / acgt END, 4) AS gc, n > 0 AS has_gap FROM p""",
 )
 def window_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Depth windows with the composition of the reference at the same place."""
     docs = bind.table(spark, sf_dir, "documents")
     chunks = F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0))
     pieces = docs.select(F.col("doc_id").alias("contig"), F.posexplode(chunks).alias("window_id", "piece"))
-    windows = docs.select(F.col("doc_id").alias("contig"), F.lit(0).alias("window_id"), F.col("n_chars").alias("cov"))
+    last = F.expr("(length(text) - 1) div 100")
+    windows = docs.filter(F.length("text") > 0).select(
+        F.col("doc_id").alias("contig"), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("window_id"), F.col("n_chars").alias("cov")
+    )
     joined = dp.with_composition(windows, dp.composition(pieces, ["contig", "window_id"], "piece"))
-    return joined.select("contig", "cov", F.round(F.col("gc").cast("double"), 4).alias("gc"), "has_gap")
+    return joined.select("contig", "window_id", "cov", F.round(F.col("gc").cast("double"), 4).alias("gc"), "has_gap")
 
 
 @register(
@@ -792,8 +794,7 @@ def contig_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "norm_depth",
     with_cte(
-        f""", c AS (SELECT row_id, chrom, pos + CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS lo,
-            end2 - CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')),
+        f""", c AS (SELECT row_id, chrom, pos AS lo, end2 AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')),
           j AS (SELECT row_id, cov, mapq, SUM(CASE WHEN mapq >= 55 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id) AS good
             FROM c JOIN depth d ON d.contig = c.chrom AND d.start < c.hi AND c.lo < d.stop)
           SELECT row_id, ROUND(quantile_cont(cov, 0.5) / (SELECT quantile_cont(cov, 0.5) FROM depth WHERE contig IN ('F', 'O')), 6) AS norm_cov
@@ -806,14 +807,27 @@ def norm_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median depth inside copy-number variants, relative to the autosomes."""
     windows = bind.depth(spark, sf_dir)
     median = exact_quantiles(windows.filter(F.col("contig").isin("F", "O")), [], "cov", {"m": 0.5}).scalar()
-    ratio = an.depth_ratio(bind.svs(spark, sf_dir), windows, median, CROP, MIN_BINS, 600)
+    ratio = an.depth_ratio(bind.svs(spark, sf_dir), windows, median, None, MIN_BINS, 600)
     return ratio.select("row_id", F.round("norm_cov", 6).alias("norm_cov"))
 
 
+@register(
+    "centre_crop",
+    with_cte(
+        f""" SELECT row_id, pos + CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS lo,
+            end2 - CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS hi FROM svs""",
+        "svs",
+    ),
+)
+def centre_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals cut to their middle, as the compatible mode does with long variants."""
+    lo, hi = iv.centre_crop(F.col("pos"), F.col("end2"), CROP)
+    return bind.svs(spark, sf_dir).select("row_id", lo.alias("lo"), hi.alias("hi"))
+
+
 _HET = "length(alt) = 1 AND gt IN ('0/1', './1')"
 _CNV_SQL = (
-    f", c AS (SELECT row_id, chrom, sv_type, sv_len, pos + CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS lo, "
-    f"end2 - CASE WHEN sv_len > {CROP} THEN (sv_len - {CROP}) // 2 ELSE 0 END AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')), "
+    f", c AS (SELECT row_id, chrom, sv_type, sv_len, pos AS lo, end2 AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')), "
     f"h AS (SELECT * FROM snvs WHERE {_HET})"
 )
 _COUNTS_SQL = """, k AS (SELECT row_id, sv_type, sv_len,
@@ -830,7 +844,7 @@ def _with_snvs(sql: str) -> str:
 def snv_flank_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heterozygous variants within and beside copy-number variants."""
     snvs = an.het_snvs(bind.variants(spark, sf_dir))
-    return an.snv_counts(bind.svs(spark, sf_dir), snvs, CROP)
+    return an.snv_counts(bind.svs(spark, sf_dir), snvs, None)
 
 
 @register(
@@ -845,7 +859,7 @@ def snv_flank_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def roh_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of homozygosity by variant counts against a length-dependent minimum."""
     svs = bind.svs(spark, sf_dir)
-    counts = an.snv_counts(svs, an.het_snvs(bind.variants(spark, sf_dir)), CROP)
+    counts = an.snv_counts(svs, an.het_snvs(bind.variants(spark, sf_dir)), None)
     lengths = svs.select("row_id", "sv_type", (F.col("sv_len") * 100).alias("sv_len"))
     deletion = F.col("sv_type") == "DEL"
     return counts.join(lengths, "row_id").select(
@@ -867,27 +881,35 @@ def roh_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def baf_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allele fractions inside duplications and CNVs."""
     snvs = an.het_snvs(bind.variants(spark, sf_dir), ("ord",))
-    return an.baf_lists(bind.svs(spark, sf_dir), snvs, ["ord"], CROP)
+    return an.baf_lists(bind.svs(spark, sf_dir), snvs, ["ord"], None)
 
 
 # --- statistics ------------------------------------------------------------------------------
 
 
-@register(
-    "insert_size_model",
-    with_cte(
+def _insert_size_sql(limit: str) -> str:
+    return with_cte(
         f""", s AS (SELECT CAST(tlen AS DOUBLE) AS t FROM reads WHERE (flag & 3) = 3 AND (flag & 3852) = 0 AND tlen > 0 AND tid = mtid
-             ORDER BY ord, tlen LIMIT {CONFIG.lib_estimation_sample_size + 1}),
+             {limit}),
            m AS (SELECT list_sort(list(t))[CAST(COUNT(*) // 2 + 1 AS BIGINT)] AS med FROM s),
            v AS (SELECT MAX(med) AS median_isize, sqrt(AVG((t - med) * (t - med))) AS sd FROM s, m
              WHERE t >= greatest(med - 0.1 * 7.0 * med, 0) AND t <= med + 0.1 * 7.0 * med)
            SELECT CAST(150 AS BIGINT) AS max_rlen, median_isize, ROUND(sd, 4) AS std_dev_isize,
              CAST(ceil(median_isize + 3.0 * sd) AS BIGINT) AS max_normal_isize FROM v""",
         "reads",
-    ).replace(") , s AS", "), s AS"),
-)
+    ).replace(") , s AS", "), s AS")
+
+
+@register("insert_size_model", _insert_size_sql(""))
 def insert_size_model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert-size model from the first clean pairs."""
+    """Insert-size model from all clean pairs."""
+    sizes = bind.reads(spark, sf_dir).filter(rd.library_sample()).select("tlen")
+    return insert_size_model(sizes, CONFIG).withColumn("std_dev_isize", F.round("std_dev_isize", 4))
+
+
+@register("insert_size_first_pairs", _insert_size_sql(f"ORDER BY ord, tlen LIMIT {CONFIG.lib_estimation_sample_size + 1}"))
+def insert_size_first_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert-size model from the first clean pairs, as the compatible mode has it."""
     sampled = first_pairs(bind.reads(spark, sf_dir), ["ord", "tlen"], sample_size(CONFIG))
     model = insert_size_model(sampled, CONFIG)
     return model.withColumn("std_dev_isize", F.round("std_dev_isize", 4))

@@ -11,7 +11,8 @@ CONNECTION_STRANDS = {"5to3": "-+", "3to5": "+-", "5to5": "--", "3to3": "++"}
 # Breakpoint strands implied by the variant type for another caller.
 TYPE_STRANDS = {"DEL": "+-", "DUP": "-+", "INS": "+-"}
 
-BREAKEND_PATTERN = r".*[\[\]](.+):(.+)[\[\]].*"
+#: Bases, a bracket, the remote contig and position, the same bracket, bases; bases stand on one side.
+BREAKEND_PATTERN = r"^[A-Za-z.*]*(\[|\])(.+):([0-9]+)\1[A-Za-z.*]*$"
 
 
 def connection_strands(connection: Column, sv_id: Column | None = None) -> Column:
@@ -24,12 +25,12 @@ def connection_strands(connection: Column, sv_id: Column | None = None) -> Colum
 
 def breakend_contig(alt: Column) -> Column:
     """Contig of the remote end; empty if the text is no breakend."""
-    return F.regexp_extract(alt, BREAKEND_PATTERN, 1)
+    return F.regexp_extract(alt, BREAKEND_PATTERN, 2)
 
 
 def breakend_pos(alt: Column) -> Column:
     """One-based position of the remote end, NULL if the text is no breakend."""
-    text = F.regexp_extract(alt, BREAKEND_PATTERN, 2)
+    text = F.regexp_extract(alt, BREAKEND_PATTERN, 3)
     return F.when(text != "", text).cast("long")
 
 

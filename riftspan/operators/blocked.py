@@ -5,62 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riftspan.functions.interval import int_div
-from riftspan.operators.range_join import with_bins
+from riftspan.functions.interval import int_div, overlaps
 
-#: Region tables up to this many binned rows are broadcast, larger ones are shuffled.
-BROADCAST_ROWS = 500_000
 BIN_WIDTH = 16_384
+#: Bin widths double so many times; the widest exceeds any contig.
+LEVELS = 24
 
 
 def drop_blocked(
     rows: DataFrame,
-    row_id: list[str],
     locations: list[tuple[Column, Column, Column]],
     regions: DataFrame,
     width: int = BIN_WIDTH,
 ) -> DataFrame:
     """Rows none of whose ``locations`` (contig, start, end) overlaps a region (contig, start, end).
 
-    A location with a NULL part blocks nothing. ``row_id`` names columns that identify a row. With
-    a region table of proven small size the rows are never shuffled; beyond it, the ids of blocked
-    rows are found by a binned join and removed by an anti-join.
-    """
-    binned = with_bins(regions.select("contig", "start", "end"), "start", "end", width).select(
-        F.col("contig").alias("_bc"), F.col("start").alias("_bs"), F.col("end").alias("_be"), F.col("_bin").alias("_bb")
-    )
-    if binned.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return _drop_by_broadcast(rows, locations, regions, width)
-    spans = F.array(*[F.struct(c.alias("c"), s.cast("long").alias("s"), e.cast("long").alias("e")) for c, s, e in locations])
-    located = (
-        rows.select(*row_id, F.explode(spans).alias("_l"))
-        .select(*row_id, F.col("_l.c").alias("_bc"), F.col("_l.s").alias("_s"), F.col("_l.e").alias("_e"))
-        .filter("_bc IS NOT NULL AND _s IS NOT NULL AND _e IS NOT NULL")
-    )
-    overlap = (F.col("_s") < F.col("_be")) & (F.col("_bs") < F.col("_e"))
-    hit = with_bins(located, "_s", "_e", width, "_bb").join(binned, ["_bc", "_bb"]).filter(overlap)
-    return rows.join(hit.select(*row_id).distinct(), row_id, "left_anti")
-
-
-def _drop_by_broadcast(
-    rows: DataFrame, locations: list[tuple[Column, Column, Column]], regions: DataFrame, width: int
-) -> DataFrame:
-    """Look the regions up from broadcast tables; rows stay where they are.
+    Overlap is tested as ``start < region end and region start < end``: an empty location, or an empty
+    region, overlaps what it lies strictly inside of. A location with a NULL part blocks nothing.
 
-    A region is registered from one bin ahead of its start, so a location of at most one bin length
-    finds it under the bin of its own start. Longer locations are compared with all regions of
-    their contig; for all others that second join has a NULL key and costs nothing.
+    A location is looked up once, under the bin that holds its start, at the first level whose bins are as
+    long as it is. Regions are laid out at every level from one bin ahead of their start, so a
+    location finds them whatever its length. Whether the regions are broadcast is left to the planner.
     """
-    parts = regions.select(
+    levels = regions.select(
         F.col("contig").alias("_bc"), F.col("start").cast("long").alias("_bs"), F.col("end").cast("long").alias("_be")
-    )
-    near = with_bins(parts.withColumn("_from", F.col("_bs") - width), "_from", "_be", width, "_bb").drop("_from")
+    ).withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+    wide = F.expr(f"shiftleft({width}L, _level)")
+    first, last = int_div(F.col("_bs") - wide, wide), int_div(F.greatest(F.col("_be") - 1, F.col("_bs")), wide)
+    laid_out = levels.filter("_be >= _bs").withColumn("_bb", F.explode(F.sequence(first, last)))
     result = rows
     for contig, start, end in locations:
-        overlap = (start < F.col("_be")) & (F.col("_bs") < end)
-        long_one = (end - start) > width
-        start_bin = int_div(start, width)
-        result = result.join(
-            F.broadcast(near), (contig == F.col("_bc")) & (start_bin == F.col("_bb")) & overlap, "left_anti"
-        ).join(F.broadcast(parts), (F.when(long_one, contig) == F.col("_bc")) & overlap, "left_anti")
+        start, end = start.cast("long"), end.cast("long")
+        level = sum((F.when(end - start > width << k, 1).otherwise(0) for k in range(LEVELS)), F.lit(0))
+        own_bin = F.call_function("div", start, F.call_function("shiftleft", F.lit(width).cast("long"), level))
+        found = (contig == F.col("_bc")) & (level == F.col("_level")) & (own_bin == F.col("_bb"))
+        result = result.join(laid_out, found & overlaps(start, end, F.col("_bs"), F.col("_be")), "left_anti")
     return result

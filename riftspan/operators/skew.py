@@ -3,9 +3,9 @@
 Spark's adaptive execution splits heavy join partitions by itself, and most joins here leave it to
 that. Explicit salting is used where the row counts per key are known anyway.
 
-Salting only routes rows; it never drops or caps any. The list of heavy keys is limited to
-``MAX_HOT_KEYS`` entries, which bounds what is broadcast. A key that does not make the list holds
-at most ``1 / MAX_HOT_KEYS`` of the rows, so it cannot dominate a task.
+Salting only routes rows; it never drops or caps any. A key is heavy from a row count that at most
+``MAX_HOT_KEYS`` keys can reach, which bounds what is broadcast: any other key holds less than
+``1 / MAX_HOT_KEYS`` of the rows, so it cannot dominate a task.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 #: Rows one join task should get from a single key before the key is split.
 ROWS_PER_SALT = 500_000
 #: Upper bound of the broadcast list of heavy keys.
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Keys whose row count ``n`` calls for splitting, with the number of parts ``_parts``."""
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).scalar()
+    least = F.greatest(F.lit(rows_per_salt).cast("long"), F.call_function("div", total, F.lit(MAX_HOT_KEYS)))
     return (
-        counts.filter(F.col(n) > rows_per_salt)
-        .orderBy(F.desc(n))
-        .limit(MAX_HOT_KEYS)
+        counts.filter(F.col(n) > least)
         .select(*keys, F.expr(f"cast({n} div {rows_per_salt} + 1 as int)").alias("_parts"))
     )
 

@@ -63,11 +63,10 @@ def search_windows(max_dist: int, slack: int, compat: bool = False) -> Column:
     )
 
 
-def drop_blocked_evidence(evidence: DataFrame, row_id: list[str], regions: DataFrame) -> DataFrame:
+def drop_blocked_evidence(evidence: DataFrame, regions: DataFrame) -> DataFrame:
     """Remove evidence lying in a blocked region, with its alignment or with the mate's position."""
     return drop_blocked(
         evidence,
-        row_id,
         [
             (F.col("contig"), F.col("start"), F.col("end")),
             (F.col("contig2"), F.col("start2"), F.col("start2") + 1),
@@ -124,22 +123,22 @@ def evidence_counts(
     return svs.select("row_id", *place).join(counted, place).select("row_id", "pe_count", "sr_count")
 
 
-def _cnv_sites(svs: DataFrame, limit: int, types: Sequence[str] = CNV_TYPES) -> tuple[DataFrame, DataFrame]:
-    """(CNV rows with cropped ``lo``/``hi``, one row per distinct cropped interval with its ``site``)."""
-    lo, hi = centre_crop(F.col("pos"), F.col("end2"), limit)
+def _cnv_sites(svs: DataFrame, limit: int | None, types: Sequence[str] = CNV_TYPES) -> tuple[DataFrame, DataFrame]:
+    """(CNV rows with ``lo``/``hi``, one row per distinct interval with its ``site``); cropped to ``limit`` if there is one."""
+    lo, hi = (F.col("pos"), F.col("end2")) if limit is None else centre_crop(F.col("pos"), F.col("end2"), limit)
     cnvs = svs.filter(F.col("sv_type").isin(list(types))).select("row_id", "sv_type", F.col("chrom").alias("contig"), lo.alias("lo"), hi.alias("hi"))
     sites = cnvs.groupBy("contig", "lo", "hi").agg(F.min("row_id").alias("site"))
     return cnvs, sites
 
 
 def depth_ratio(
-    svs: DataFrame, windows: DataFrame, autosome_median: float | Column, limit: int, min_bins: int, bin_width: int = 10_000
+    svs: DataFrame, windows: DataFrame, autosome_median: float | Column, limit: int | None, min_bins: int, bin_width: int = 10_000
 ) -> DataFrame:
     """``row_id``, ``norm_cov`` of copy-number variants that have depth windows.
 
     ``windows`` has ``contig``, ``start``, ``end``, ``cov``, ``mapq``. Only well-mapped windows are
-    used if there are at least ``min_bins`` of them. Cropping bounds the windows per variant, so the
-    built-in exact percentile is safe here.
+    used if there are at least ``min_bins`` of them. A variant has at most as many windows as its contig,
+    which bounds what the built-in exact percentile holds per group.
     """
     cnvs, sites = _cnv_sites(svs, limit)
     pairs = overlap_join(
@@ -186,10 +185,10 @@ def allele_fraction(a0: Column, a1: Column) -> Column:
     return F.coalesce(F.try_divide(a1, a0 + a1), F.lit(float("nan")))
 
 
-def snv_counts(svs: DataFrame, snvs: DataFrame, limit: int, compat: bool = False) -> DataFrame:
+def snv_counts(svs: DataFrame, snvs: DataFrame, limit: int | None, compat: bool = False) -> DataFrame:
     """``row_id``, ``snvs_left``, ``snvs_within``, ``snvs_right`` of copy-number variants.
 
-    Flanks are as long as the (cropped) variant. ``compat`` counts the left flank twice, as the
+    Flanks are as long as the variant, cropped to ``limit`` if there is one. ``compat`` counts the left flank twice, as the
     original does.
     """
     cnvs, sites = _cnv_sites(svs, limit)
@@ -214,10 +213,10 @@ def snv_counts(svs: DataFrame, snvs: DataFrame, limit: int, compat: bool = False
     )
 
 
-def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int, bin_width: int = 10_000) -> DataFrame:
+def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int | None, bin_width: int = 10_000) -> DataFrame:
     """``row_id``, ``bafs``: allele fractions inside duplications and CNVs, by position, joined by ``;``.
 
-    The crop bounds the positions of one list.
+    A list is one text by the format of the file; it holds at most the heterozygous SNVs of one contig of one sample.
     """
     cnvs, sites = _cnv_sites(svs, limit, ["DUP", "CNV"])
     points = snvs.withColumn("_stop", F.col("pos") + 1)
@@ -251,6 +250,7 @@ def annotate(
     Columns exist only for the kinds of evidence that are given.
     """
     result = svs
+    crop = config.annotation_doc_baf_limit if compat else None
     if evidence is not None:
         counts = evidence_counts(
             svs, evidence, config.annotate_read_evidence_max_dist, config.annotate_read_evidence_slack, compat
@@ -262,11 +262,11 @@ def annotate(
         )
     if windows is not None:
         ratio = depth_ratio(
-            svs, windows, autosome_median, config.annotation_doc_baf_limit, config.doc_annotation_min_bins
+            svs, windows, autosome_median, crop, config.doc_annotation_min_bins
         )
         result = result.join(ratio, "row_id", "left").withColumn("RD", F.col("norm_cov").cast("float")).drop("norm_cov")
     if snvs is not None:
-        counts = snv_counts(svs, snvs, config.annotation_doc_baf_limit, compat)
+        counts = snv_counts(svs, snvs, crop, compat)
         deletion = F.col("sv_type") == "DEL"
         roh = homozygosity_run(F.col("sv_len"), F.col("snvs_left"), F.col("snvs_within"), F.col("snvs_right"))
         result = (

@@ -21,18 +21,21 @@ ALLOSOMES = ["X", "Y", "chrX", "chrY"]
 def fragment_windows(alignments: DataFrame, contigs: DataFrame, settings: DepthSettings) -> DataFrame:
     """Fragments per window, every window included: ``contig``, ``window_id``, ``cov``, ``cov_sd``, ``mean_mapq``.
 
-    Windows without fragments enter the grouping as zero rows, which saves a join with the spine.
+    Windows without fragments enter the grouping as zero rows, which saves a join with the spine. A
+    fragment whose centre lies beyond the contig's end counts nowhere.
     """
     w = settings.window_length
     centre = fragment_centre(F.col("end"))
     counted = alignments.filter(fragment_row(settings.min_mapq, settings.min_unclipped)).select(
-        "contig", F.floor(centre / F.lit(w)).cast("long").alias("window_id"), F.lit(1).alias("_n"), F.col("mapq").cast("long").alias("_q")
+        "contig", F.floor(centre / F.lit(w)).cast("long").alias("window_id"), F.lit(1).alias("_n"), F.col("mapq").cast("long").alias("_q"), F.lit(False).alias("_real")
     )
     empty = window_spine(contigs, ["contig"], "length", w).select(
-        "contig", "window_id", F.lit(0).alias("_n"), F.lit(0).cast("long").alias("_q")
+        "contig", "window_id", F.lit(0).alias("_n"), F.lit(0).cast("long").alias("_q"), F.lit(True).alias("_real")
     )
-    sums = counted.unionByName(empty).groupBy("contig", "window_id").agg(F.sum("_n").alias("_n"), F.sum("_q").alias("_q"))
-    return sums.select(
+    sums = counted.unionByName(empty).groupBy("contig", "window_id").agg(
+        F.sum("_n").alias("_n"), F.sum("_q").alias("_q"), F.max("_real").alias("_real")
+    )
+    return sums.filter("_real").select(
         "contig",
         "window_id",
         F.col("_n").cast("float").alias("cov"),
@@ -44,19 +47,20 @@ def fragment_windows(alignments: DataFrame, contigs: DataFrame, settings: DepthS
 def coverage_windows(alignments: DataFrame, contigs: DataFrame, settings: DepthSettings) -> DataFrame:
     """Mean and deviation of base coverage per window, and base-weighted mapping quality.
 
-    The divisor is the full window length even where the contig ends inside the window.
+    The divisor is the full window length even where the contig ends inside the window. Bases in
+    windows beyond the contig's end count nowhere.
     """
     w = settings.window_length
     rows = alignments.filter(coverage_row(settings.min_mapq)).select(
         "contig", F.col("pos").alias("start"), "end", "mapq"
     )
-    touched = depth_by_window(rows, ["contig"], w)
+    touched = depth_by_window(rows, ["contig"], w).withColumn("_real", F.lit(False))
     empty = window_spine(contigs, ["contig"], "length", w).select(
-        "contig", "window_id", *[F.lit(0).cast("long").alias(c) for c in ("depth_sum", "depth_sq_sum", "mapq_sum")]
+        "contig", "window_id", *[F.lit(0).cast("long").alias(c) for c in ("depth_sum", "depth_sq_sum", "mapq_sum")], F.lit(True).alias("_real")
     )
     sums = touched.unionByName(empty).groupBy("contig", "window_id").agg(
-        *[F.sum(c).alias(c) for c in ("depth_sum", "depth_sq_sum", "mapq_sum")]
-    )
+        *[F.sum(c).alias(c) for c in ("depth_sum", "depth_sq_sum", "mapq_sum")], F.max("_real").alias("_real")
+    ).filter("_real")
     mean = F.col("depth_sum") / F.lit(w)
     variance = (F.col("depth_sq_sum") - F.col("depth_sum") * mean) / F.lit(max(w - 1, 1))
     deviation = F.sqrt(F.greatest(variance, F.lit(0.0))) if w > 1 else F.lit(0.0)

@@ -64,17 +64,20 @@ def sample_size(config: Config) -> int:
     return config.lib_estimation_sample_size + 1
 
 
-def estimate_library(alignments: DataFrame, config: Config) -> LibraryProperties:
-    """Model from the first clean pairs of a file, given its rows as read.
+def estimate_library(alignments: DataFrame, config: Config, compat: bool = False) -> LibraryProperties:
+    """Model from all clean pairs.
 
-    Without a sort, ``limit`` reads a file split by split and stops early, so only its beginning is
-    touched. The sample is bounded by the configuration.
+    ``compat`` takes only the first ones of the file, as many as configured. Without a sort, ``limit`` reads a
+    file split by split and stops early.
     """
-    sizes = alignments.filter(library_sample()).select("tlen").limit(sample_size(config)).collect()
-    if not sizes:
+    sampled = alignments.filter(library_sample()).select("tlen")
+    if compat:
+        sizes = sampled.limit(sample_size(config)).collect()
+        sampled = alignments.sparkSession.createDataFrame(sizes, "tlen bigint")
+    model = insert_size_model(sampled, config).first()
+    if model["median_isize"] is None:
         raise ValueError("no clean read pairs in the input")
-    sampled = alignments.sparkSession.createDataFrame(sizes, "tlen bigint")
-    return LibraryProperties(**insert_size_model(sampled, config).first().asDict())
+    return LibraryProperties(**model.asDict())
 
 
 def library_from_header(header: list[str], config: Config, compat: bool = False) -> LibraryProperties | None:

@@ -13,7 +13,7 @@ from riftspan.plans.library import LibraryProperties
 
 
 def drop_blocked_reads(
-    alignments: DataFrame, row_id: list[str], end: Column, regions: DataFrame
+    alignments: DataFrame, end: Column, regions: DataFrame
 ) -> DataFrame:
     """Remove reads whose alignment, or whose mate's position, lies in a blocked region.
 
@@ -22,7 +22,6 @@ def drop_blocked_reads(
     has_mate = has_flag(PAIRED) & (F.col("mtid") != -1)
     return drop_blocked(
         alignments,
-        row_id,
         [
             (F.col("contig"), F.col("pos"), end),
             (F.when(has_mate, F.col("mcontig")), F.col("mpos"), F.col("mpos") + 1),
@@ -104,7 +103,7 @@ def scan_reads(
     """
     rows = alignments
     if blocked is not None:
-        rows = drop_blocked_reads(rows, order, blocked_end, blocked)
+        rows = drop_blocked_reads(rows, blocked_end, blocked)
     if compat:
         return two_pass_scan(rows, regions, library, config, order)
     places = regions.select("region_ord", "contig", F.col("start").alias("_from"), F.col("end").alias("_to"))

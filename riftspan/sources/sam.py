@@ -30,7 +30,7 @@ def parse_alignments(lines: DataFrame, contigs: list[Contig]) -> DataFrame:
     f = F.col("f")
     tags = F.map_from_entries(
         F.transform(
-            F.slice(f, 12, 1_000), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, 6, 1_000_000))
+            F.slice(f, F.lit(12), F.size(f)), lambda t: F.struct(F.substring(t, 1, 2), F.substring(t, F.lit(6), F.length(t)))
         )
     )
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import contextlib
 import glob
 import os
+import re
 import shutil
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,22 @@ from riftspan.session import mounted_folder
 #: Row order of data read from files: input number, then (file, split), then row of the split.
 ORDER = ["file_ord", "block", "seq"]
 BLOCK = ["file_ord", "block"]
+#: Number in the name of a part that Spark wrote.
+PART_NUMBER = r"/part-(\d+)[^/]*$"
 
 
 def read_lines(spark: SparkSession, path: str, file_ord: int = 0) -> DataFrame:
     """Lines with the order columns, without any shuffle.
 
-    Splits of a file are told apart by their offset. Inside a split, row ids grow with the rows.
+    Splits of a file are told apart by their offset. Inside a split, row ids grow with the rows. The parts of a
+    folder are in the order of their numbers, which their names as text are not beyond 100,000 parts.
     """
+    file = F.col("_metadata.file_path")
+    part = F.regexp_extract(file, PART_NUMBER, 1)
     return spark.read.text(path).select(
         F.lit(file_ord).alias("file_ord"),
         F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+            F.when(part != "", part.cast("long")).alias("part"), file.alias("file"), F.col("_metadata.file_block_start").alias("start")
         ).alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         "value",
@@ -61,9 +67,19 @@ def read_header(spark: SparkSession, path: str, mark: str) -> list[str]:
         wanted *= 10
 
 
+def in_part_order(paths: Iterable[str]) -> list[str]:
+    """Paths by part number, then by name."""
+
+    def place(path: str) -> tuple[int, str]:
+        number = re.search(PART_NUMBER, path)
+        return (int(number.group(1)) if number else -1, path)
+
+    return sorted(paths, key=place)
+
+
 def _first_file(path: str) -> str:
     if os.path.isdir(path):
-        parts = sorted(p for p in glob.glob(os.path.join(path, "*")) if not os.path.basename(p).startswith(("_", ".")))
+        parts = in_part_order(p for p in glob.glob(os.path.join(path, "*")) if not os.path.basename(p).startswith(("_", ".")))
         return parts[0] if parts else path
     return path
 
@@ -109,7 +125,7 @@ def write_lines(
     in_order.write.mode("overwrite" if overwrite else "error").option("compression", compression).text(folder)
     with contextlib.ExitStack() as stack:
         target = sys.stdout.buffer if path == "-" else stack.enter_context(open(path, "wb"))
-        for name in sorted(glob.glob(os.path.join(glob.escape(folder), "part-*"))):
+        for name in in_part_order(glob.glob(os.path.join(glob.escape(folder), "part-*"))):
             with open(name, "rb") as source:
                 shutil.copyfileobj(source, target)
         target.flush()

@@ -173,7 +173,7 @@ def annotated_line(columns: list[str]) -> Column:
         F.slice(parts, 1, 8),
         F.concat_ws(":", F.get(parts, F.lit(8)), *keys),
         F.concat_ws(":", F.get(parts, F.lit(9)), *values),
-        F.slice(parts, 11, 1_000_000),
+        F.slice(parts, F.lit(11), F.size(parts)),
     )
 
 

@@ -58,7 +58,7 @@ def scan(
     contigs = hd.alignment_contigs(header)
     rows = sam.read_alignments(spark, path_in)
     if library is None:
-        library = estimate_library(rows, config)
+        library = estimate_library(rows, config, compat)
     blocked = None
     if config.blocked_regions_bed:
         blocked = read_bed(spark, config.blocked_regions_bed, [c.name for c in contigs])
@@ -101,7 +101,7 @@ def collect_evidence(
     guard_output(path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     rows = sam.read_alignments(spark, path_in)
-    library = library or library_from_header(header, config, compat) or estimate_library(rows, config)
+    library = library or library_from_header(header, config, compat) or estimate_library(rows, config, compat)
     tag = F.try_element_at(F.col("tags"), F.lit("xI")).cast("bigint")
     marked = rows.withColumn("read_id", F.coalesce(tag, F.raise_error(F.lit("read without tag xI")).cast("bigint")))
     table = region_table(spark, _alignment_regions(hd.alignment_contigs(header), regions))
@@ -295,7 +295,7 @@ def annotate(
                 evidence, region_table(spark, listed), "file_contig", F.col("file_start"), F.col("file_end")
             ).drop("region_ord")
         if blocked is not None:
-            evidence = an.drop_blocked_evidence(evidence, ORDER, blocked)
+            evidence = an.drop_blocked_evidence(evidence, blocked)
 
     windows, medians = None, None
     if path_doc_evidence:
@@ -312,7 +312,7 @@ def annotate(
     if path_snv_vcf:
         snvs = an.het_snvs(vcf.read_variants(spark, path_snv_vcf), tuple(ORDER))
         if path_out_baf_snvs:
-            lists = an.baf_lists(svs, snvs, ORDER, config.annotation_doc_baf_limit)
+            lists = an.baf_lists(svs, snvs, ORDER, config.annotation_doc_baf_limit if compat else None)
             named = svs.select("row_id", "sv_id").join(lists, "row_id")
             snv_sample = hd.variant_samples(vcf.variant_header(spark, path_snv_vcf))[0]
             line = F.concat_ws("\t", "sv_id", F.lit(snv_sample), "bafs")

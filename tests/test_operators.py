@@ -56,16 +56,19 @@ def test_overlap_counts_equal_theta_join(spark):
     assert got == {x[0]: sum(overlap(x, y) for y in right) for x in left}
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_drop_blocked(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr("riftspan.operators.blocked.BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_drop_blocked(spark, threshold):
     rng = random.Random(2)
-    rows = [x for x in intervals(rng, 200, longest=400) if x[2] < x[3]]
-    regions = [("a", 510, 520), ("b", 100, 300), ("b", 250, 260), ("a", 2000, 2900)]
+    rows = [*intervals(rng, 200, longest=400), (900, "a", 515, 515), (901, "a", 510, 510), (902, "b", 0, 1 << 30), (903, "a", 700, 701), (904, "c", 5, 9)]
+    regions = [("a", 510, 520), ("b", 100, 300), ("b", 250, 260), ("a", 2000, 2900), ("a", 700, 700), ("c", 7, 7), ("a", 0, 3)]
     a = spark.createDataFrame(rows, "i int, contig string, s bigint, e bigint")
     b = spark.createDataFrame(regions, "contig string, start bigint, end bigint")
-    kept = drop_blocked(a, ["i"], [(F.col("contig"), F.col("s"), F.col("e"))], b, width=50)
-    assert sorted(r["i"] for r in kept.collect()) == sorted(
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        kept = drop_blocked(a, [(F.col("contig"), F.col("s"), F.col("e"))], b, width=50).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r["i"] for r in kept) == sorted(
         x[0] for x in rows if not any(x[1] == c and x[2] < e and s < x[3] for c, s, e in regions)
     )
 

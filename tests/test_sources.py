@@ -15,6 +15,7 @@ from riftspan.sources import sam
 from riftspan.sources.fasta import read_fasta, reference_windows
 from riftspan.sources.multijoin import multijoin
 from riftspan.sources.regions import Region, parse_region, parse_regions, read_bed
+from riftspan.sources.textio import in_part_order
 
 SHORT = {"one": 1000, "two": 950}
 GROUP = "@RG\tID:sample\tSM:sample"
@@ -138,10 +139,26 @@ def test_library_model(spark, write):
         median = used[len(used) // 2]
         kept = [x for x in used if 0.3 * median <= x <= 1.7 * median]
         deviation = math.sqrt(sum((x - median) ** 2 for x in kept) / len(kept))
-        model = estimate_library(sam.read_alignments(spark, path), Config(lib_estimation_sample_size=cap))
+        model = estimate_library(sam.read_alignments(spark, path), Config(lib_estimation_sample_size=cap), compat=True)
         assert (model.median_isize, model.max_rlen) == (median, 150)
         assert model.std_dev_isize == pytest.approx(deviation)
         assert model.max_normal_isize == math.ceil(median + 3 * deviation)
+        if cap > len(sizes):
+            assert estimate_library(sam.read_alignments(spark, path), Config(lib_estimation_sample_size=10)) == model
+
+
+def test_parts_are_in_numerical_order():
+    names = [f"/x/part-{n:05d}-a.txt" for n in (0, 9, 99_999, 100_000, 100_001)]
+    assert in_part_order([names[3], names[1], names[4], names[2], names[0]]) == names
+    assert in_part_order(["/x/b.txt", "/x/a.txt"]) == ["/x/a.txt", "/x/b.txt"]
+
+
+def test_long_and_many_tags_come_back_whole(spark, write):
+    tags = [f"{a}{b}:i:{k}" for k, (a, b) in enumerate((a, b) for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefgh" for b in "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")]
+    path = write("t.sam", [*s.sam_header(), s.read("t", 99, "one", 5, "100M", "=", 300, 395, tags=[*tags, "zz:Z:" + "x" * 1_500_000])])
+    found = sam.read_alignments(spark, path).select("tags").first()["tags"]
+    assert len(found) == len(tags) + 1 > 1_200
+    assert len(found["zz"]) == 1_500_000
 
 
 def test_config(tmp_path):
