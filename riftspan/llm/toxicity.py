@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.llm.charlm import BITS, CLASSES, KneserNey, class_table, fit_models, trigram_counts
-from riftspan.llm.common import bounded_sample, held_out, only, opened, shared, table, texts_of
+from riftspan.llm.common import held_out, labelled_sample, only, opened, shared, table, texts_of
 
 #: Letters that a character is commonly put for. Fixed values.
 LOOKS_LIKE = {
@@ -41,7 +41,7 @@ SUBSTITUTED, REPEATED, INSERTED, IDLE, KEPT = 1.0, 0.7, 1.5, 10.0, 12.0
 #: Readings kept at each position of a lattice.
 BEAM = 24
 #: Learning rows: about so many labelled rows, chosen by a hash of the id.
-LEARNING_ROWS = 40_000
+LEARNING_ROWS = 20_000
 #: Words remembered by a task.
 REMEMBERED = 500_000
 #: Letters of a word's beginning that count as evidence of their own.
@@ -172,11 +172,11 @@ def cautious_log_odds(toxic: np.ndarray, clean: np.ndarray, all_toxic: int, all_
 
 
 def train(labelled: DataFrame, box) -> ToxicityModel:
-    """The model of rows of ``doc_id``, ``text`` and ``toxic`` (0 or 1); ``box`` holds the shared lattice.
+    """The model of rows of ``text`` and ``toxic`` (0 or 1); ``box`` holds the shared lattice.
 
-    Learns from a sample of about ``LEARNING_ROWS`` rows by hash of the id.
+    The rows are read twice and are few enough that their distinct features fit the driver.
     """
-    sample = bounded_sample(labelled.filter("toxic is not null"), "doc_id", LEARNING_ROWS)
+    sample = labelled
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(opened(box))
@@ -244,8 +244,8 @@ def score_texts(docs: DataFrame, model: ToxicityModel, box, id_column: str = "do
 def learned(docs: DataFrame, labels: DataFrame):
     """The model and the shared lattice, from all texts of ``docs`` and the labels of the learning folds."""
     box = shared(docs.sparkSession, corpus_lattice(docs))
-    rows = only(docs, "doc_id", "text").filter(~held_out("doc_id")).join(only(labels, "doc_id", "toxic"), "doc_id")
-    return train(rows, box), box
+    known = only(labels, "doc_id", "toxic").filter("toxic is not null").filter(~held_out("doc_id"))
+    return train(labelled_sample(docs, known, LEARNING_ROWS, "text"), box), box
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
