@@ -111,8 +111,8 @@ def test_regions():
 
 
 def test_bed_is_checked(spark, write):
-    good = read_bed(spark, write("a.bed", ["one\t49\t151", "two\t0\t5\tname"]), ["one", "two"])
-    assert [tuple(r) for r in good.collect()] == [("one", 49, 151), ("two", 0, 5)]
+    good = read_bed(spark, write("a.bed", ["one\t7\t8", "two\t0\t500\tname"]), ["one", "two"])
+    assert [tuple(r) for r in good.collect()] == [("one", 7, 8), ("two", 0, 500)]
     for bad in ("one\t49", "three\t1\t2"):
         with pytest.raises(InvalidBedFile):
             read_bed(spark, write("b.bed", [bad]), ["one", "two"])
@@ -121,7 +121,7 @@ def test_bed_is_checked(spark, write):
 def test_headers():
     lines = s.sam_header(extra=["@RG\tID:a\tSM:x", "@RG\tID:b\tSM:x", "@RG\tID:c", "@RG\tID:d\tSM:y"])
     assert hd.alignment_samples(lines) == ["x", "y"]
-    assert hd.alignment_contigs(lines, "^t") == [hd.Contig("two", 1_000_000)]
+    assert hd.alignment_contigs(lines, "^b") == [hd.Contig("beta", 350_000)]
     vcf = s.vcf_header(["s1", "s2"])
     assert hd.variant_samples(vcf) == ["s1", "s2"] and [c.name for c in hd.variant_contigs(vcf)] == ["1", "2", "3"]
     assert '##ALT=<ID=DEL,Description="Deletion">' in hd.sv_header([], ["s"])
@@ -131,8 +131,8 @@ def test_headers():
 def test_library_model(spark, write):
     rng = random.Random(2)
     sizes = [int(rng.gauss(300, 20)) for _ in range(300)] + [5000, 6000]
-    rows = [s.read(f"t{i}", 99, "one", 100 + i, "100M", "=", 400 + i, size) for i, size in enumerate(sizes)]
-    rows.insert(0, s.read("dup", 99 | 1024, "one", 50, "100M", "=", 300, 99999))
+    rows = [s.read(f"t{i}", 99, "alpha", 100 + i, "100M", "=", 400 + i, size) for i, size in enumerate(sizes)]
+    rows.insert(0, s.read("dup", 99 | 1024, "alpha", 50, "100M", "=", 300, 99999))
     path = write("l.sam", [*s.sam_header(), *rows])
     for cap in (100_000, 100):
         used = sorted(sizes[: cap + 1])
@@ -155,7 +155,7 @@ def test_parts_are_in_numerical_order():
 
 def test_long_and_many_tags_come_back_whole(spark, write):
     tags = [f"{a}{b}:i:{k}" for k, (a, b) in enumerate((a, b) for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefgh" for b in "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ")]
-    path = write("t.sam", [*s.sam_header(), s.read("t", 99, "one", 5, "100M", "=", 300, 395, tags=[*tags, "zz:Z:" + "x" * 1_500_000])])
+    path = write("t.sam", [*s.sam_header(), s.read("t", 99, "alpha", 5, "100M", "=", 300, 395, tags=[*tags, "zz:Z:" + "x" * 1_500_000])])
     found = sam.read_alignments(spark, path).select("tags").first()["tags"]
     assert len(found) == len(tags) + 1 > 1_200
     assert len(found["zz"]) == 1_500_000
@@ -175,8 +175,8 @@ def test_config(tmp_path):
 
 
 def test_command_line(spark, write, tmp_path):
-    rows, _ = s.SCAN_CASES["two-contigs"]
-    path = write("in.sam", [*s.sam_header(), *s.NORMAL, *rows])
+    rows, _ = s.CASES["across-contigs"]
+    path = write("in.sam", [*s.sam_header(), rows[0], *s.CALM, *[r.replace("x\t", "y\t", 1) for r in s.CASES["clip-too-short"][0]], rows[1]])
     out = str(tmp_path / "folder.sam")
     cli.run(spark, ["scan", path, out])
     parts = sorted((tmp_path / "folder.sam").glob("part-*"))
@@ -189,7 +189,7 @@ def test_command_line(spark, write, tmp_path):
         assert handle.read().splitlines()[-2:] == [f"{r}\txI:i:0" for r in rows]
     with pytest.raises(OutputExists):
         cli.run(spark, ["scan", path, out])
-    cli.run(spark, ["scan", path, out, "--overwrite", "-r", "two:1-1000"])
+    cli.run(spark, ["scan", path, out, "--overwrite", "-r", "beta:1-80000"])
     assert "".join(p.read_text() for p in sorted((tmp_path / "folder.sam").glob("part-*"))).endswith(rows[-1] + "\n")
 
 
@@ -206,7 +206,7 @@ def test_standard_input_and_output(spark, write, monkeypatch, capsysbinary):
     import io
     import sys
 
-    rows, _ = s.SCAN_CASES["two-contigs"]
+    rows, _ = s.CASES["across-contigs"]
     text = "\n".join([*s.sam_header("queryname"), *rows, *rows]) + "\n"
     monkeypatch.setattr(sys, "stdin", io.TextIOWrapper(io.BufferedReader(io.BytesIO(text.encode()))))
     cli.run(spark, ["unique", "-", "-"])

@@ -1,5 +1,7 @@
 """Standardizing, clustering and annotating small variant files."""
 
+import json
+
 import pytest
 import samples as s
 
@@ -22,211 +24,203 @@ def std(end2, chrom2, kind, strands, length, tool):
     return f"END2={end2};CHR2={chrom2};SVTYPE={kind}{strands};SVLEN={length};ALGORITHMS={tool}"
 
 
-DELLY_IN = [
-    ("1", 10000, "A", "<DEL>", "LowQual", dict(SVTYPE="DEL", CHR2="1", END=20000, CT="3to5"), "0/1"),
-    ("1", 10001, "A", "<DUP>", "PASS", dict(SVTYPE="DUP", CHR2="1", END=20000, CT="5to3"), "0/1"),
-    ("1", 10002, "A", "<INV>", "LowQual", dict(SVTYPE="INV", CHR2="1", END=20000, CT="3to3"), "0/1"),
-    ("1", 10003, "A", "<DEL>", "PASS", dict(SVTYPE="DEL", CHR2="1", END=20000, CT="5to3"), "0/1"),
-    ("1", 10004, "A", "<INS>", "PASS", dict(SVTYPE="INS", CHR2="1", END=10005, CT="NtoN"), "0/1"),
-    ("2", 10004, "C", "]1:10005]C", "LowQual", dict(SVTYPE="BND", CHR2="1", END=10407, CT="5to3"), "0/1"),
-    ("3", 10006, "G", "G[2:10007[", "PASS", dict(SVTYPE="BND", CHR2="2", END=33141554, CT="3to5"), "1/1"),
-]
-DELLY_OUT = [
-    ("1", 10000, "A", "<DEL>", (20000, "1", "DEL", "+-", 10001), "0/1:1"),
-    ("1", 10001, "A", "<DUP>", (20000, "1", "DUP", "-+", 10000), "0/1:1"),
-    ("1", 10002, "A", "<INV>", (20000, "1", "INV", "++", 9999), "0/1:1"),
-    ("1", 10003, "A", "<DEL>", (20000, "1", "DEL", "-+", 9998), "0/1:1"),
-    ("2", 10004, "C", "]1:10005]C", (10407, "1", "BND", "-+", -1), "0/1:1"),
-    ("3", 10006, "G", "G[2:10007[", (33141554, "2", "BND", "+-", -1), "1/1:1"),
-]
-MANTA_IN = [
-    ("1", 10000, "N" * 226, "N", "MaxMQ0Frac", dict(END=10125, SVTYPE="DEL", SVLEN=-225), "0/1"),
-    ("1", 10001, "A", "<MantaDUP:TANDEM>", "PASS", dict(END=20000, SVTYPE="DUP"), "0/0"),
-    ("1", 10002, "A", "<INV>", "NoPairSupport", dict(END=20000, SVTYPE="INV", INV5=True), "0/1"),
-    ("1", 10003, "A", "<DEL>", "PASS", dict(END=20000, SVTYPE="DEL"), "0/1"),
-    ("2", 10004, "C", "]1:10005]C", "NoPairSupport", dict(SVTYPE="BND"), "0/1"),
-    ("3", 10006, "G", "G[2:10007[", "PASS", dict(SVTYPE="BND"), "0/1"),
+#: Made-up calls: contig, position, bases, alternative, filter, fields, genotype; and what the common layout makes of them.
+DELLY = [
+    (("2", 501, "T", "<DEL>", "PASS", dict(SVTYPE="DEL", CHR2="2", END=1_500, CT="3to5"), "1/1"), ("T", "<DEL>", (1_500, "2", "DEL", "+-", 1_000), "1/1:1")),
+    (("2", 7_300, "G", "<INV>", "PASS", dict(SVTYPE="INV", CHR2="2", END=9_299, CT="5to5"), "0/1"), ("G", "<INV>", (9_299, "2", "INV", "--", 2_000), "0/1:1")),
+    (("2", 8_000, "C", "<INS>", "PASS", dict(SVTYPE="INS", CHR2="2", END=8_001, CT="NtoN"), "0/1"), None),
+    (("2", 8_700, "C", "<INV>", "LowMapQ", dict(SVTYPE="INV", CHR2="2", END=8_700, CT="3to3"), "./1"), ("C", "<INV>", (8_700, "2", "INV", "++", 1), "./1:1")),
+    (("3", 44, "A", "<DUP>", "LowQual", dict(SVTYPE="DUP", CHR2="3", END=143, CT="5to3"), "0/0"), ("A", "<DUP>", (143, "3", "DUP", "-+", 100), "0/0:0")),
+    (("3", 2_000, "G", "[1:777[G", "PASS", dict(SVTYPE="BND", CHR2="1", END=777, CT="5to5"), "./."), ("G", "[1:777[G", (777, "1", "BND", "--", -1), "./.:0")),
+    (("3", 2_500, "T", "T]2:31]", "PASS", dict(SVTYPE="BND", CHR2="2", END=31, CT="3to3"), "0|1"), ("T", "T]2:31]", (31, "2", "BND", "++", -1), "0|1:1")),
 ]
-MANTA_OUT = [
-    ("1", 10000, "N", "<DEL>", (10125, "1", "DEL", "+-", 126), "0/1:1"),
-    ("1", 10001, "A", "<DUP>", (20000, "1", "DUP", "-+", 10000), "0/0:0"),
-    ("1", 10002, "A", "<INV>", (20000, "1", "INV", "--", 9999), "0/1:1"),
-    ("1", 10003, "A", "<DEL>", (20000, "1", "DEL", "+-", 9998), "0/1:1"),
-    ("2", 10004, "C", "]1:10005]C", (10005, "1", "BND", "-+", -1), "0/1:1"),
-    ("3", 10006, "G", "G[2:10007[", (10007, "2", "BND", "+-", -1), "0/1:1"),
+MANTA = [
+    (("1", 900, "CAGTAGTA", "C", "PASS", dict(END=907, SVTYPE="DEL", SVLEN=-7), "0/1"), ("C", "<DEL>", (907, "1", "DEL", "+-", 8), "0/1:1")),
+    (("1", 2_001, "C", "<INV>", "PASS", dict(END=2_600, SVTYPE="INV", INV3=True), "1/1"), ("C", "<INV>", (2_600, "1", "INV", "++", 600), "1/1:1")),
+    (("1", 2_003, "C", "<INV>", "MinGQ", dict(END=2_602, SVTYPE="INV", INV5=True), "0/1"), ("C", "<INV>", (2_602, "1", "INV", "--", 600), "0/1:1")),
+    (("2", 31, "T", "T]3:2500]", "MinGQ", dict(SVTYPE="BND"), "0/1"), ("T", "T]3:2500]", (2_500, "3", "BND", "++", -1), "0/1:1")),
+    (("2", 60, "A", "[1:90[A", "PASS", dict(SVTYPE="BND"), "0/0"), ("A", "[1:90[A", (90, "1", "BND", "--", -1), "0/0:0")),
+    (("2", 80, "G", "G[HLA-A*01:02:300[", "PASS", dict(SVTYPE="BND"), "0/1"), ("G", "G[HLA-A*01:02:300[", (300, "HLA-A*01:02", "BND", "+-", -1), "0/1:1")),
+    (("3", 100, "G", "<INS>", "PASS", dict(END=101, SVTYPE="INS"), "0/1"), None),
+    (("3", 4_000, "T", "<DUP:TANDEM>", "PASS", dict(END=4_999, SVTYPE="DUP:TANDEM"), "0/1"), ("T", "<DUP>", (4_999, "3", "DUP", "-+", 1_000), "0/1:1")),
 ]
-CNMOPS_IN = [
-    ("1", 10001, "N", "<CNV>", "PASS", dict(END=30000, SVTYPE="DEL"), "1"),
-    ("1", 20001, "N", "<CNV>", "QUAL", dict(END=30000, SVTYPE="DUP"), "1"),
-    ("2", 10001, "N", "<CNV>", "PASS", dict(END=20000, SVTYPE="DEL"), "1"),
+CNMOPS = [
+    (("1", 5_001, "N", "<CNV>", "PASS", dict(END=9_000, SVTYPE="DUP"), "1"), ("N", "<CNV>", (9_000, "1", "DUP", None, 4_000), "1:1")),
+    (("2", 1, "N", "<CNV>", "weak", dict(END=500, SVTYPE="DEL"), "0"), ("N", "<CNV>", (500, "2", "DEL", None, 500), "0:0")),
+    (("3", 700, "N", "<CNV>", "PASS", dict(END=700, SVTYPE="DEL"), "."), ("N", "<CNV>", (700, "3", "DEL", None, 1), ".:0")),
 ]
-CNMOPS_OUT = [
-    ("1", 10001, "N", "<CNV>", (30000, "1", "DEL", None, 20000), "1:1"),
-    ("1", 20001, "N", "<CNV>", (30000, "1", "DUP", None, 10000), "1:1"),
-    ("2", 10001, "N", "<CNV>", (20000, "2", "DEL", None, 10000), "1:1"),
-]
-DIALECTS = {"delly": (DELLY_IN, DELLY_OUT), "manta": (MANTA_IN, MANTA_OUT), "cnmops": (CNMOPS_IN, CNMOPS_OUT)}
+DIALECTS = {"delly": DELLY, "manta": MANTA, "cnmops": CNMOPS}
 
 
 @pytest.mark.parametrize("tool", sorted(DIALECTS))
 @pytest.mark.parametrize("filtered", [True, False])
 def test_standardize(spark, write, tmp_path, tool, filtered):
-    rows, expected = DIALECTS[tool]
-    lines = [s.row(c, p, f"id{p}", ref, alt, "." if "[" in alt else 0, flt, info(**fields), "GT:CN:X", f"{gt}:9") for c, p, ref, alt, flt, fields, gt in rows]
-    path = write("in.vcf", [*s.vcf_header(["smp"]), *lines])
+    cases = DIALECTS[tool]
+    lines = [s.row(c, p, f"call{p}", ref, alt, 17, flt, info(**fields), "GT:CN", f"{gt}:2") for (c, p, ref, alt, flt, fields, gt), _ in cases]
+    path = write("in.vcf", [*s.vcf_header(["patient"]), *lines])
     out = str(tmp_path / "out.vcf")
     tools.standardize(spark, path, out, tool, Config(stdvcf_apply_filters=filtered), single_file=True)
-    passing = {(c, p) for c, p, _, _, flt, _, _ in rows if flt == "PASS"}
+    expected = [(given, made) for given, made in cases if made is not None and (not filtered or given[4] == "PASS")]
     assert body(out)[1:] == [
-        s.row(c, p, ".", ref, alt, 0, ".", std(*fields, tool), f"GT:{tool}", cell)
-        for c, p, ref, alt, fields, cell in expected
-        if not filtered or (c, p) in passing
+        s.row(given[0], given[1], ".", ref, alt, 0, ".", std(*fields, tool), f"GT:{tool}", cell) for given, (ref, alt, fields, cell) in expected
     ]
 
 
 def sv_file(write, name, sample, tool, rows):
     lines = [
-        s.row("1", pos, ".", "A", f"<{alt}>", 0, ".", std(end2, "1", kind, strands, end2 - pos + 1, tool), f"GT:{tool}", cell)
+        s.row("2", pos, ".", "G", f"<{alt}>", 0, ".", std(end2, "2", kind, strands, end2 - pos + 1, tool), f"GT:{tool}", cell)
         for pos, end2, alt, kind, strands, cell in rows
     ]
     return write(name, [*s.vcf_header([sample]), *lines])
 
 
-def test_cluster_by_type_strands_and_distance(spark, write, tmp_path):
-    first = sv_file(write, "a.vcf", "s1", "delly", [
-        (10003, 20000, "DEL", "DEL", "-+", "0/1:1"), (10003, 20000, "DUP", "DUP", "-+", "0/1:1"), (30000, 40000, "DEL", "DEL", "-+", "0/1:1"),
-    ])
-    second = sv_file(write, "b.vcf", "s2", "delly", [
-        (10000, 20002, "DEL", "DEL", "-+", "0/1:1"), (10003, 20000, "INV", "INV", "-+", "0/1:1"), (30000, 40000, "DEL", "DEL", "+-", "0/1:1"),
-    ])
+def cluster_line(number, pos, end2, alt, kind, strands, tool, cells):
+    fields = std(end2, "2", kind, strands, end2 - pos + 1, tool)
+    return s.row("2", pos, f"SV{number:08d}", "N", f"<{alt}>", 0, ".", fields, f"GT:{tool}", *cells)
+
+
+def test_three_samples_cluster_by_type_strands_and_distance(spark, write, tmp_path):
+    # Pairwise: ends at most 300 apart, same type and strands. Of the deletions near 6,000 the first and
+    # last are 380 apart, but the middle one ties them. The medians of odd counts are members.
+    paths = [
+        sv_file(write, "a.vcf", "s1", "delly", [(6_000, 9_000, "DEL", "DEL", "+-", "0/1:1"), (50_000, 52_000, "DUP", "DUP", "-+", "1/1:1")]),
+        sv_file(write, "b.vcf", "s2", "delly", [(6_190, 9_190, "DEL", "DEL", "+-", "0/1:1"), (50_000, 52_000, "INV", "INV", "--", "0/1:1")]),
+        sv_file(write, "c.vcf", "s3", "delly", [(6_380, 9_380, "DEL", "DEL", "+-", "1/1:1"), (6_380, 9_700, "DEL", "DEL", "+-", "0/1:1"), (50_000, 52_000, "INV", "INV", "++", "0/1:1")]),
+    ]
     out = str(tmp_path / "out.vcf")
-    tools.cluster(spark, [first, second], out, single_file=True)
-
-    def line(number, pos, end2, kind, strands, length, *cells):
-        return s.row("1", pos, f"SV{number:08d}", "N", f"<{kind}>", 0, ".", std(end2, "1", kind, strands, length, "delly"), "GT:delly", *cells)
-
-    assert body(out) == [
-        s.vcf_header(["s1", "s2"])[-1],
-        line(1, 10001, 20001, "DEL", "-+", 10001, "0/1:1", "0/1:1"),
-        line(2, 10003, 20000, "DUP", "-+", 9998, "0/1:1", "./.:0"),
-        line(3, 10003, 20000, "INV", "-+", 9998, "./.:0", "0/1:1"),
-        line(4, 30000, 40000, "DEL", "-+", 10001, "0/1:1", "./.:0"),
-        line(5, 30000, 40000, "DEL", "+-", 10001, "./.:0", "0/1:1"),
+    tools.cluster(spark, paths, out, single_file=True)
+    none = "./.:0"
+    head, *lines = body(out)
+    assert head == s.vcf_header(["s1", "s2", "s3"])[-1]
+    assert lines == [
+        cluster_line(1, 6_190, 9_190, "DEL", "DEL", "+-", "delly", ["0/1:1", "0/1:1", "1/1:1"]),
+        cluster_line(2, 6_380, 9_700, "DEL", "DEL", "+-", "delly", [none, none, "0/1:1"]),
+        cluster_line(3, 50_000, 52_000, "DUP", "DUP", "-+", "delly", ["1/1:1", none, none]),
+        cluster_line(4, 50_000, 52_000, "INV", "INV", "--", "delly", [none, "0/1:1", none]),
+        cluster_line(5, 50_000, 52_000, "INV", "INV", "++", "delly", [none, none, "0/1:1"]),
     ]
 
 
-def test_cluster_across_types_for_depth_callers(spark, write, tmp_path):
-    first = sv_file(write, "a.vcf", "s1", "cnmops", [
-        (10003, 20000, "DEL", "DEL", None, "1:1"), (20003, 29000, "DEL", "DEL", None, "1:1"), (30000, 40000, "DUP", "DEL", None, "1:1"),
-    ])
-    second = sv_file(write, "b.vcf", "s2", "cnmops", [
-        (10000, 20002, "DEL", "DEL", None, "1:1"), (21003, 30000, "DEL", "DEL", None, "1:1"), (30000, 40000, "DEL", "DEL", None, "1:1"),
-    ])
-    out = str(tmp_path / "out.vcf")
-    tools.cluster(spark, [first, second], out, "per_tool_doc", single_file=True)
-    expected = [(10001, 20001, 10001), (20503, 29500, 8998), (30000, 40000, 10001)]
-    assert body(out)[1:] == [
-        s.row("1", pos, f"SV{i:08d}", "N", "<CNV>", 0, ".", std(end2, "1", "CNV", ".", length, "cnmops"), "GT:cnmops", "1/1:0", "1/1:0")
-        for i, (pos, end2, length) in enumerate(expected, 1)
+def test_depth_calls_cluster_by_overlap_alone(spark, write, tmp_path):
+    # Reciprocal overlap: 8,000 of 9,000 bases, and 1,000 of 9,000.
+    paths = [
+        sv_file(write, "a.vcf", "s1", "cnmops", [(1_001, 10_000, "CNV", "DEL", None, "1:1"), (30_001, 39_000, "CNV", "DUP", None, "1:1")]),
+        sv_file(write, "b.vcf", "s2", "cnmops", [(2_001, 11_000, "CNV", "DUP", None, "1:1"), (38_001, 47_000, "CNV", "DUP", None, "1:1")]),
     ]
+    out = str(tmp_path / "out.vcf")
+    tools.cluster(spark, paths, out, "per_tool_doc", single_file=True)
+    ends = [tuple(line.split("\t")[1:2]) + (line.split("END2=")[1].split(";")[0],) for line in body(out)[1:]]
+    assert ends == [("1501", "10500"), ("30001", "39000"), ("38001", "47000")]
+    assert all("SVTYPE=CNV" in line and "<CNV>" in line for line in body(out)[1:])
 
 
 def test_cluster_needs_known_setting_and_equal_contigs(spark, write, tmp_path):
-    first = sv_file(write, "a.vcf", "s1", "delly", [(1, 100, "DEL", "DEL", "+-", "0/1:1")])
-    other = write("b.vcf", s.vcf_header(["s2"], ["9"]))
+    first = sv_file(write, "a.vcf", "s1", "delly", [(77, 99, "DEL", "DEL", "+-", "0/1:1")])
+    other = write("b.vcf", s.vcf_header(["s2"], ["X", "Y"]))
     with pytest.raises(UnknownClusterSetting):
-        tools.cluster(spark, [first], str(tmp_path / "x"), "nothing")
+        tools.cluster(spark, [first], str(tmp_path / "x"), "no_such_setting")
     with pytest.raises(InconsistentInput):
         tools.cluster(spark, [first, other], str(tmp_path / "x"))
 
 
 def test_sample_overlap_can_be_required(spark, write, tmp_path):
-    rows = [(10000, 20000, "DEL", "DEL", "+-", "0/1:1"), (10001, 20000, "DEL", "DEL", "+-", "0/1:1")]
-    paths = [sv_file(write, "a.vcf", "s1", "delly", rows), sv_file(write, "b.vcf", "s2", "delly", rows[:1])]
-    preset = ClusterSettings(sample_overlap=0.5)
-    out = str(tmp_path / "out.vcf")
-    tools.cluster(spark, paths, out, config=Config(vcf_cluster_presets_per_tool_pesr=preset), single_file=True)
-    assert len(body(out)) == 3
+    near = (70_000, 71_000, "DUP", "DUP", "-+", "0/1:1")
+    paths = [sv_file(write, f"{n}.vcf", n, "delly", [near, (70_005, 71_000, *near[2:])][: 2 if n == "s1" else 1]) for n in ("s1", "s2", "s3")]
+    for share, clusters in ((None, 1), (0.5, 3)):
+        preset = ClusterSettings(sample_overlap=share)
+        out = str(tmp_path / f"out-{share}.vcf")
+        tools.cluster(spark, paths, out, config=Config(vcf_cluster_presets_per_tool_pesr=preset), single_file=True)
+        assert len(body(out)) == 1 + clusters
 
 
-HEADER = s.vcf_header(["smp"], ["one", "two"])
+HEADER = s.vcf_header(["patient"], ["3", "X"])
+#: A deletion of 3,000 bases and a duplication of 4,000.
 SVS = [
-    s.row(c, 201, f"SV{i}", "A", f"<{k}>", 0, ".", std(400, c, k, st, 300, "delly"), "GT:delly", "0/1:1")
-    for i, c, k, st in ((1, "one", "DEL", "+-"), (2, "two", "DUP", "-+"))
+    s.row("3", 5_001, "del", "A", "<DEL>", 0, ".", std(8_000, "3", "DEL", "+-", 3_000, "delly"), "GT:delly", "0/1:1"),
+    s.row("X", 12_001, "dup", "C", "<DUP>", 0, ".", std(16_000, "X", "DUP", "-+", 4_000, "delly"), "GT:delly", "1/1:1"),
 ]
 
 
-def signal(kind, place, **fields):
-    import json
+def evidence_line(kind, place, begin, stop, **fields):
+    return "\t".join([place, str(begin), str(stop), json.dumps({kind: fields}, separators=(",", ":"))])
 
-    return "\t".join([*map(str, place), json.dumps({kind: fields}, separators=(",", ":"))])
 
-
-def _pair(place, read_id, first, at, strand, mate, mate_strand, tlen):
-    return signal("PairedRead", place, read_id=read_id, is_first1=first, contig1=at[0], start1=at[1], end1=at[2], strand1=strand,
-                  contig2=mate[0], start2=mate[1], strand2=mate_strand, tlen=tlen)
+def template(read_id, contig, left, right, strands):
+    """Both reads of a pair, each with its mate."""
+    sides = [(left, strands[0], right, strands[1], True, 500), (right, strands[1], left, strands[0], False, None)]
+    return [
+        evidence_line("PairedRead", contig, a, a + 90, read_id=read_id, is_first1=first, contig1=contig, start1=a, end1=a + 90, strand1=x,
+                      contig2=contig, start2=b, strand2=y, tlen=size)
+        for a, x, b, y, first, size in sides
+    ]
 
 
-def _split(place, read_id, first, at, sides):
-    return signal("SplitRead", place, read_id=read_id, is_first=first, contig=at[0], start=at[1], end=at[2], clipped_sides=sides)
+def halves(read_id, contig, left, right, sides):
+    """Two alignments of one split read."""
+    return [
+        evidence_line("SplitRead", contig, a, a + 45, read_id=read_id, is_first=True, contig=contig, start=a, end=a + 45, clipped_sides=side)
+        for a, side in ((left, sides[0]), (right, sides[1]))
+    ]
 
 
 EVIDENCE = [
     "#contig\tstart\tend\tsignal",
-    _pair(("one", 100, 200), 0, True, ("one", 100, 200), "Forward", ("one", 501), "Reverse", 700),
-    _split(("one", 150, 200), 1, True, ("one", 150, 200), "Right"),
-    _split(("one", 500, 550), 1, True, ("one", 500, 550), "Left"),
-    _pair(("one", 500, 600), 0, False, ("one", 500, 600), "Reverse", ("one", 101), "Forward", -700),
-    _pair(("two", 200, 300), 10, True, ("two", 200, 300), "Reverse", ("one", 401), "Forward", 300),
-    _split(("two", 200, 250), 11, True, ("one", 200, 250), "Left"),
-    _split(("two", 250, 300), 11, False, ("one", 250, 300), "Right"),
-    _pair(("two", 400, 500), 10, False, ("two", 200, 500), "Forward", ("one", 300), "Reverse", -300),
+    *template(1, "3", 4_500, 8_300, ("Forward", "Reverse")),
+    *template(2, "3", 4_910, 8_020, ("Forward", "Reverse")),
+    *template(3, "3", 4_600, 9_600, ("Forward", "Reverse")),  # too far at the right
+    *template(4, "3", 4_700, 8_300, ("Reverse", "Forward")),  # facing away
+    *halves(5, "3", 4_950, 8_000, ("Right", "Left")),
+    *halves(6, "3", 4_950, 8_000, ("Left", "Right")),
+    *template(7, "X", 12_020, 15_800, ("Reverse", "Forward")),
 ]
 
 
 def depth_rows():
-    level = {"one": 15.0, "two": 60.0}
-    return [
-        s.row(c, k * 100 + 1, f"{c}:{k * 100 + 1}-{k * 100 + 100}", "N", "<WINDOW>", 0, ".", f"END={k * 100 + 100};MAPQ=60",
-              "GT:RCV:RCVSD:MQ", f"./.:{level[c] if 2 <= k <= 4 else 30.0}:0.1:60")
-        for c in ("one", "two") for k in range(10)
-    ]
+    """Windows of 100 bases: level 24, but 12 within the deletion and 48 within the duplication."""
+    inside = {"3": (5_000, 8_000, 12.0), "X": (12_000, 16_000, 48.0)}
+    rows = []
+    for c, (lo, hi, level) in inside.items():
+        for start in range(0, 20_000, 100):
+            cov = level if lo <= start < hi else 24.0
+            rows.append(s.row(c, start + 1, ".", "N", "<WINDOW>", 0, ".", f"END={start + 100};MAPQ=60", "GT:RCV:RCVSD:MQ", f"./.:{cov}:0.5:60"))
+    return rows
 
 
 def snv_rows():
-    counts = {190: "0,20", 210: "10,10", 215: "1,19", 220: "11,9", 230: "9,11", 240: "5,15", 250: "15,5", 410: "0,20"}
-    return [
-        s.row(c, pos, ".", "A", "CT" if pos == 215 else "C", 0, ".", ".", "GT:AD:DP", f"0/1:{ad}:20")
-        for c in ("one", "two") for pos, ad in counts.items()
-    ]
+    """Two variants left of the deletion, three within, four right; two in the duplication, and some that do not count."""
+    heterozygous = {"3": {2_500: "8,8", 4_999: "9,3", 5_001: "5,5", 6_000: "6,2", 8_000: "2,6", 8_001: "4,4", 9_000: "4,4", 10_000: "4,4", 11_000: "4,4", 11_001: "4,4"},
+                    "X": {12_001: "30,10", 15_999: "7,7"}}
+    rows = [s.row(c, p, ".", "G", "T", 0, ".", ".", "GT:AD", f"0/1:{ad}") for c, own in heterozygous.items() for p, ad in own.items()]
+    rows += [s.row("3", 6_500, ".", "G", "T", 0, ".", ".", "GT:AD", "1/1:0,9"), s.row("X", 13_000, ".", "G", "TA", 0, ".", ".", "GT:AD", "0/1:5,5")]
+    return sorted(rows, key=lambda r: (r.split("\t")[0], int(r.split("\t")[1])))
 
 
+@pytest.mark.parametrize("compat", [False, True])
 @pytest.mark.parametrize("blocked", [False, True])
-def test_annotate(spark, write, tmp_path, blocked):
-    config = Config(blocked_regions_bed=write("b.bed", ["one\t49\t151"]) if blocked else None)
+def test_annotate(spark, write, tmp_path, blocked, compat):
+    config = Config(blocked_regions_bed=write("b.bed", ["3\t4400\t4560", "X\t1\t2"]) if blocked else None)
     out, doc, baf = (str(tmp_path / n) for n in ("out.vcf", "doc.tsv", "baf.tsv"))
     tools.annotate(
-        spark, write("svs.vcf", [*HEADER, *SVS]), out, "smp", config,
+        spark, write("svs.vcf", [*HEADER, *SVS]), out, "patient", config,
         path_pesr_evidence=write("e.tsv", EVIDENCE),
         path_doc_evidence=write("d.vcf", [*HEADER, *depth_rows()]),
         path_snv_vcf=write("s.vcf", [*HEADER, *snv_rows()]),
-        path_out_doc_summary=doc, path_out_baf_snvs=baf, single_file=True, compat=True,
-    )
-    counts = "0:0" if blocked else "1:1"
+        path_out_doc_summary=doc, path_out_baf_snvs=baf, single_file=True, compat=compat,
+    )
+    pairs = 1 if blocked else 2
+    right = 2 if compat else 4  # the compatible mode counts the left flank twice
     assert body(out)[1:] == [
-        SVS[0].replace("GT:delly", "GT:delly:PR:SR:RD:VL:VM:VR") + f":{counts}:0.5:1:5:1",
+        SVS[0].replace("GT:delly", "GT:delly:PR:SR:RD:VL:VM:VR") + f":{pairs}:1:0.5:2:3:{right}",
         SVS[1].replace("GT:delly", "GT:delly:PR:SR:RD") + ":1:0:2",
     ]
-    assert body(doc) == ["CHROM\tsmp", "autosomes\t30", "one\t30", "two\t30"]
-    assert body(baf) == ["SVID\tSAMPLE\tBAFS", "SV2\tsmp\t0.50000;0.45000;0.55000;0.75000;0.25000"]
+    assert body(doc) == ["CHROM\tpatient", "autosomes\t24", "3\t24", "X\t24"]
+    assert body(baf) == ["SVID\tSAMPLE\tBAFS", "dup\tpatient\t0.25000;0.50000"]
 
 
-def test_annotate_counts_the_right_flank_by_default(spark, write, tmp_path):
-    extra = [s.row("one", pos, ".", "A", "C", 0, ".", ".", "GT:AD:DP", "0/1:5,5:10") for pos in (420, 430)]
-    rows = snv_rows()
-    out = str(tmp_path / "out.vcf")
-    tools.annotate(
-        spark, write("svs.vcf", [*HEADER, *SVS]), out, "smp",
-        path_snv_vcf=write("s.vcf", [*HEADER, *rows[:8], *extra, *rows[8:]]), single_file=True,
-    )
-    assert body(out)[1].endswith("GT:delly:VL:VM:VR\t0/1:1:1:5:3")
+def test_long_variants_are_cropped_only_in_the_compatible_mode(spark, write, tmp_path):
+    # Cropped to the zero-based [6,000, 7,000), with a flank [5,000, 6,000) that is counted twice.
+    for compat, counts in ((False, "2:3:4"), (True, "2:0:2")):
+        out = str(tmp_path / f"{compat}.vcf")
+        config = Config(annotation_doc_baf_limit=1_000)
+        tools.annotate(spark, write("svs.vcf", [*HEADER, *SVS]), out, "patient", config, path_snv_vcf=write("s.vcf", [*HEADER, *snv_rows()]), single_file=True, compat=compat)
+        assert body(out)[1].endswith(f"GT:delly:VL:VM:VR\t0/1:1:{counts}")
