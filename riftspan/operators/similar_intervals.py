@@ -4,8 +4,9 @@ Two intervals are similar if their reciprocal overlap reaches a threshold and th
 enough. Listing all similar pairs is quadratic where calls pile up, and is not needed: clusters only
 depend on connectivity. Intervals of about the same length whose ends fall into the same small cells
 are similar to each other by construction; such a *tile* is linked as a star and then stands for all
-its members. Tiles are compared by their bounding boxes, which mostly decides the question. Members
-are compared one by one only for undecided tile pairs that nothing else has connected yet.
+its members. Tiles are compared by their bounding boxes, which mostly decides the question. An undecided
+pair of tiles is cut into quarters that are compared by their boxes in turn; only parts with
+at most ``COMPARED`` pairs of members between them are compared member by member.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from riftspan.operators.components import connected_components
 from riftspan.operators.skew import salted_join
 from riftspan.session import reliable_checkpoint
 
-#: Member comparisons that are made without looking first which tiles are connected anyway.
-COMPARE_AT_ONCE = 50_000_000
+#: Member comparisons between two parts of tiles that are made one by one.
+COMPARED = 4_096
 
 
 def _level(start: Column, end: Column) -> Column:
@@ -100,9 +101,10 @@ def _tile_pairs(tiles: DataFrame, by: Sequence[str], min_overlap: float, max_shi
     if max_shift is not None:
         # Starts differ by at most max_shift, plus as much again for the extent of a tile.
         width = 2 * max_shift + 1
-        left = left.withColumn("_lv", F.lit(0)).withColumn("_bin", F.floor(F.col("s0") / width).cast("long"))
-        home = F.floor(F.col("t0") / width).cast("long")
-        right = right.withColumn("_lv", F.lit(0)).withColumn("_bin", F.explode(F.sequence(home - 1, home + 1)))
+        # The same holds for ends, so tiles meet in cells of both.
+        left = left.withColumn("_lv", F.floor(F.col("e0") / width).cast("long")).withColumn("_bin", F.floor(F.col("s0") / width).cast("long"))
+        home, far = F.floor(F.col("t0") / width).cast("long"), F.floor(F.col("f0") / width).cast("long")
+        right = right.withColumn("_lv", F.explode(F.sequence(far - 1, far + 1))).withColumn("_bin", F.explode(F.sequence(home - 1, home + 1)))
     else:
         # Lengths differ by at most the factor 1 / min_overlap, starts by at most the uncovered part.
         spread = ceil(log2(1.0 / min_overlap) - 1e-9) if min_overlap < 1 else 0
@@ -139,35 +141,58 @@ def _tile_pairs(tiles: DataFrame, by: Sequence[str], min_overlap: float, max_shi
     return joined.select("_tile", "_other", always.alias("_always"), compared.alias("_compared"))
 
 
-def _still_open(undecided: DataFrame, known: DataFrame) -> DataFrame:
-    """Undecided tile pairs whose tiles lie in different components so far."""
-    label = known.select(F.col("node").alias("_tile"), F.col("component").alias("_ca"))
-    other = known.select(F.col("node").alias("_other"), F.col("component").alias("_cb"))
-    return (
-        undecided.join(label, "_tile", "left")
-        .join(other, "_other", "left")
-        .filter(F.coalesce("_ca", "_tile") != F.coalesce("_cb", "_other"))
-        .select("_tile", "_other")
-    )
+def _settled(
+    points: DataFrame, undecided: DataFrame, min_overlap: float, max_shift: int | None, compared: int
+) -> DataFrame:
+    """Links ``(a, b)`` between undecided tiles that hold at least one similar pair of members.
 
+    ``points`` has the distinct members of the tiles with their offsets ``_so``, ``_eo`` in the tile's cells and the bits
+    ``_bits`` of such an offset. A part of a tile is named by the leading bits of both offsets.
+    """
+
+    def part(offset: str, bits: int) -> Column:
+        return F.call_function("shiftright", F.col(offset), F.greatest(F.col("_bits") - bits, F.lit(0)))
 
-def _compare_members(
-    members: DataFrame, tiles: DataFrame, tile_key: Sequence[str], undecided: DataFrame, min_overlap: float, max_shift: int | None
-) -> DataFrame:
-    """Links ``(a, b)`` between undecided tiles that hold at least one similar pair of members."""
-    pairs = undecided.select("_tile", "_other")
-    involved = pairs.select("_tile").unionByName(pairs.select(F.col("_other").alias("_tile"))).distinct()
-    keys = tiles.join(involved, "_tile", "left_semi").select(*tile_key, "_tile")
-    points = members.join(keys, list(tile_key)).select("_tile", "_s", "_e").distinct()
-    others = points.select(F.col("_tile").alias("_other"), F.col("_s").alias("_t"), F.col("_e").alias("_f"))
     is_similar = similar(F.col("_s"), F.col("_e"), F.col("_t"), F.col("_f"), min_overlap, max_shift)
-    return (
-        points.join(pairs, "_tile")
-        .join(others, "_other")
-        .filter(is_similar)
-        .select(F.col("_tile").alias("a"), F.col("_other").alias("b"))
-        .distinct()
-    )
+    always, maybe = _box_tests(min_overlap, max_shift)
+    whole = [F.lit(0).cast("long").alias(c) for c in ("_sp", "_ep", "_tp", "_fp")]
+    open_parts = undecided.select("_tile", "_other", *whole, "_compared")
+    links, depth = None, 0
+    while True:
+        here = points.select("_tile", "_s", "_e", part("_so", depth).alias("_sp"), part("_eo", depth).alias("_ep"))
+        there = here.toDF("_other", "_t", "_f", "_tp", "_fp")
+        few = open_parts.filter(F.col("_compared") <= compared).drop("_compared")
+        found = (
+            few.join(here, ["_tile", "_sp", "_ep"])
+            .join(there, ["_other", "_tp", "_fp"])
+            .filter(is_similar)
+            .select(F.col("_tile").alias("a"), F.col("_other").alias("b"))
+        )
+        links = found if links is None else links.unionByName(found)
+        many = open_parts.filter(F.col("_compared") > compared)
+        if many.isEmpty():
+            return links.distinct()
+        depth += 1
+        quarters = points.groupBy(
+            "_tile", part("_so", depth - 1).alias("_sp"), part("_eo", depth - 1).alias("_ep"),
+            part("_so", depth).alias("_sq"), part("_eo", depth).alias("_eq"),
+        ).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_s").alias("s0"), F.max("_s").alias("s1"), F.min("_e").alias("e0"), F.max("_e").alias("e1")
+        )
+        others = quarters.toDF("_other", "_tp", "_fp", "_tq", "_fq", "_m", "t0", "t1", "f0", "f1")
+        halves = (
+            many.join(quarters, ["_tile", "_sp", "_ep"])
+            .join(others, ["_other", "_tp", "_fp"])
+            .filter(maybe)
+            .select(
+                "_tile", "_other", F.col("_sq").alias("_sp"), F.col("_eq").alias("_ep"), F.col("_tq").alias("_tp"), F.col("_fq").alias("_fp"),
+                (F.col("_n") * F.col("_m")).cast("double").alias("_compared"), always.alias("_always"),
+            )
+        )
+        halves = reliable_checkpoint(halves)
+        sure = halves.filter("_always").select("_tile", "_other").distinct()
+        links = links.unionByName(sure.select(F.col("_tile").alias("a"), F.col("_other").alias("b")))
+        open_parts = halves.filter("NOT _always").drop("_always").join(sure, ["_tile", "_other"], "left_anti")
 
 
 def cluster_similar(
@@ -180,6 +205,7 @@ def cluster_similar(
     set_column: str | None = None,
     min_set_overlap: float | None = None,
     name: str = "cluster",
+    compared: int = COMPARED,
 ) -> DataFrame:
     """``df`` with the cluster of each row in ``name``: the least ``row_id`` among rows linked by similarity.
 
@@ -224,14 +250,14 @@ def cluster_similar(
     pairs = reliable_checkpoint(pairs)
     links = pairs.filter("_always").select(F.col("_tile").alias("a"), F.col("_other").alias("b"))
     undecided = pairs.filter("NOT _always").select("_tile", "_other", "_compared")
-    effort = undecided.agg(F.sum("_compared")).first()[0]
-    if effort is not None and effort > COMPARE_AT_ONCE:
-        # Most of these pairs are connected through others already.
-        known = connected_components(links)
-        undecided = _still_open(undecided, known)
-        links = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    if effort is not None:
-        links = links.unionByName(_compare_members(members, tiles, tile_key, undecided, min_overlap, max_shift))
+    involved = undecided.select("_tile").unionByName(undecided.select(F.col("_other").alias("_tile"))).distinct()
+    keys = tiles.join(involved, "_tile", "left_semi").select(*tile_key, "_tile")
+    size = _cell(F.col("_level"), min_overlap, max_shift)
+    points = members.join(keys, tile_key).select(
+        "_tile", "_s", "_e", (F.col("_s") - F.col("_cs") * size).alias("_so"), (F.col("_e") - F.col("_ce") * size).alias("_eo"),
+        F.ceil(F.log2(size.cast("double"))).cast("int").alias("_bits"),
+    ).distinct()
+    links = links.unionByName(_settled(points, undecided, min_overlap, max_shift, compared))
     labels = connected_components(links).select(F.col("node").alias("_tile"), F.col("component").alias("_top"))
     named = tiles.join(labels, "_tile", "left").select(
         *tile_key, F.coalesce("_top", "_tile").alias(name)

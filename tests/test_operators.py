@@ -131,13 +131,12 @@ def similar(x, y, overlap_share, shift):
 
 
 @pytest.mark.parametrize("share,shift", [(0.5, None), (0.8, None), (0.1, 30), (0.0, 12), (0.9, 5)])
-@pytest.mark.parametrize("at_once", [50_000_000, 0])
-def test_clusters_equal_pairwise_linkage(spark, monkeypatch, share, shift, at_once):
-    monkeypatch.setattr("riftspan.operators.similar_intervals.COMPARE_AT_ONCE", at_once)
+@pytest.mark.parametrize("compared", [4_096, 0])
+def test_clusters_equal_pairwise_linkage(spark, share, shift, compared):
     rng = random.Random(5)
     rows = [x for x in intervals(rng, 260, hot_share=0.3, span=1500, longest=300) if x[2] < x[3]]
     df = spark.createDataFrame(rows, "i bigint, c string, s bigint, e bigint")
-    got = {r["i"]: r["cluster"] for r in cluster_similar(df, "i", ["c"], ("s", "e"), share, shift).collect()}
+    got = {r["i"]: r["cluster"] for r in cluster_similar(df, "i", ["c"], ("s", "e"), share, shift, compared=compared).collect()}
     edges = [
         (x[0], y[0]) for x in rows for y in rows
         if x[1] == y[1] and similar(x, y, share, shift) and (share > 0 or (x[2] - shift < y[3] and y[2] - shift < x[3]))
