@@ -7,6 +7,7 @@ Every query reads its tables whole.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -598,6 +599,75 @@ def sv_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clustered(spark, sf_dir).select("row_id", "cluster")
 
 
+DISTANCE = ClusterSettings(reciprocal_overlap=0.1, max_bp_distance=300, match_strands=True, match_sv_type=True, sample_overlap=None)
+_DISTANCE_EDGES = """a.strands = b.strands AND abs(a.pos - b.pos) <= 300 AND abs(a.stop - b.stop) <= 300
+    AND 10 * (least(a.stop, b.stop) - greatest(a.pos, b.pos)) >= greatest(a.stop - a.pos, b.stop - b.pos)"""
+_OVERLAP_EDGES = """a.pos < b.stop AND b.pos < a.stop
+    AND 2 * (least(a.stop, b.stop) - greatest(a.pos, b.pos)) >= greatest(a.stop - a.pos, b.stop - b.pos)"""
+
+
+@register("sv_clusters_distance", _with_labels("SELECT row_id, cluster FROM labels").replace(_OVERLAP_EDGES, _DISTANCE_EDGES))
+def sv_clusters_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters by breakpoint distance, strands and a little overlap: the default for read-based callers."""
+    return cu.assign_clusters(bind.svs(spark, sf_dir), DISTANCE).select("row_id", "cluster")
+
+
+@register(
+    "sv_clusters_samples", _with_labels("SELECT row_id, cluster FROM labels").replace(_OVERLAP_EDGES, _OVERLAP_EDGES + " AND a.sample = b.sample")
+)
+def sv_clusters_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters by overlap that must share samples as well."""
+    return cu.assign_clusters(bind.svs(spark, sf_dir), replace(HALF_OVERLAP, sample_overlap=0.5)).select("row_id", "cluster")
+
+
+@register(
+    "cluster_callers",
+    _with_labels(
+        """, m AS (SELECT l.cluster, s.* FROM labels l JOIN svs s USING (row_id))
+        SELECT cluster, sample, array_to_string(list_sort(list(DISTINCT CASE WHEN row_id % 5 = 0 THEN 'manta' ELSE 'delly' END)), ',') AS callers
+        FROM m GROUP BY cluster, sample"""
+    ),
+)
+def cluster_callers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Callers of each sample, united over the variants of its cluster."""
+    caller = F.array(F.when(F.col("row_id") % 5 == 0, "manta").otherwise("delly"))
+    rows = _clustered(spark, sf_dir).withColumn("calls", F.transform("calls", lambda c: c.withField("called_by", caller)))
+    calls = cu.merged_calls(rows).select("cluster", F.explode("calls").alias("c"))
+    return calls.select("cluster", "c.sample", F.array_join("c.called_by", ",").alias("callers"))
+
+
+@register(
+    "standardized_back",
+    with_cte(
+        """SELECT row_id, chrom, pos, 'v' || CAST(row_id AS VARCHAR) AS sv_id, chrom2, end2, sv_type,
+          CASE WHEN row_id % 4 = 0 THEN '.' ELSE strands END AS strands, sv_len,
+          CASE WHEN row_id % 2 = 0 THEN 'delly' ELSE 'delly+manta' END AS algorithms,
+          sample || '=' || CASE row_id % 3 WHEN 0 THEN '0-1' WHEN 1 THEN '.-.' ELSE '1-1' END || '=' || CASE WHEN row_id % 5 = 0 THEN '' ELSE 'delly' END AS call
+        FROM svs""",
+        "svs",
+    ),
+)
+def standardized_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants of the common layout read back from their file columns."""
+    rows = bind.svs(spark, sf_dir)
+    row = F.col("row_id")
+    text = {"CHR2": F.col("chrom2"), "END2": F.col("end2").cast("string"), "SVTYPE": F.col("sv_type"), "SVLEN": F.col("sv_len").cast("string"),
+            "STRANDS": F.when(row % 4 != 0, F.col("strands")), "ALGORITHMS": F.when(row % 2 == 0, "delly").otherwise("delly,manta")}
+    gt = F.when(row % 3 == 0, "0/1").when(row % 3 == 1, "./.").otherwise("1|1")
+    fields = F.create_map(F.lit("GT"), gt, F.lit("delly"), F.when(row % 5 == 0, "0").otherwise("1"))
+    variants = rows.select(
+        "row_id", "chrom", "pos", F.concat(F.lit("v"), row.cast("string")).alias("id"), F.lit("A").alias("ref"), F.array("alt").alias("alts"),
+        F.array().cast("array<string>").alias("filters"),
+        F.create_map(*[x for name, value in text.items() for x in (F.lit(name), value)]).alias("info"),
+        F.array(F.struct(F.col("sample"), fields.alias("fields"))).alias("calls"),
+    )
+    call = F.get("calls", F.lit(0))
+    return st.parse_standardized(variants, ("row_id",)).select(
+        "row_id", "chrom", "pos", "sv_id", "chrom2", "end2", "sv_type", "strands", "sv_len", F.array_join("algorithms", "+").alias("algorithms"),
+        F.concat_ws("=", call["sample"], call["gt"], F.array_join(call["called_by"], "+")).alias("call"),
+    )
+
+
 @register(
     "cluster_consensus",
     _with_labels(
@@ -1050,13 +1120,38 @@ def distinct_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def annotated_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variants with read and small-variant evidence side by side."""
-    from dataclasses import replace
-
-    config = replace(
-        CONFIG, annotate_read_evidence_max_dist=MAX_DIST, annotate_read_evidence_slack=SLACK, annotation_doc_baf_limit=CROP
-    )
+    config = replace(CONFIG, annotate_read_evidence_max_dist=MAX_DIST, annotate_read_evidence_slack=SLACK)
     out = an.annotate(
         bind.svs(spark, sf_dir), config, evidence=_evidence(spark, sf_dir), snvs=an.het_snvs(bind.variants(spark, sf_dir))
     )
     return out.select("row_id", F.col("PR").cast("double").alias("pr"), F.col("SR").cast("double").alias("sr"), F.col("VM").alias("vm"))
 
+
+
+@register(
+    "annotation_row",
+    with_cte(
+        _CNV_SQL
+        + _COUNTS_SQL
+        + f""", j AS (SELECT row_id, cov, mapq, SUM(CASE WHEN mapq >= 55 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id) AS good
+            FROM c JOIN depth d ON d.contig = c.chrom AND d.start < c.hi AND c.lo < d.stop),
+          r AS (SELECT row_id, quantile_cont(cov, 0.5) / (SELECT quantile_cont(cov, 0.5) FROM depth WHERE contig IN ('F', 'O')) AS rd
+            FROM j WHERE good < {CONFIG.doc_annotation_min_bins} OR mapq >= 55 GROUP BY row_id)
+          SELECT s.row_id, ROUND(rd, 3) AS rd, CASE WHEN s.sv_type = 'DEL' THEN snvs_left END AS vl, CASE WHEN s.sv_type = 'DEL' THEN snvs_within END AS vm,
+            CASE WHEN s.sv_type = 'DEL' THEN snvs_right END AS vr,
+            CASE WHEN (snvs_right < least OR snvs_left < least) AND snvs_within < least THEN 1 END AS roh
+          FROM (SELECT *, CASE WHEN sv_len >= 100 THEN 50 ELSE 5 * (sv_len * 1000 // 10000) END AS least FROM svs) s LEFT JOIN k ON k.row_id = s.row_id LEFT JOIN r ON r.row_id = s.row_id""",
+        "svs",
+        "snvs",
+        "depth",
+    ).replace(") , c AS", "), c AS"),
+)
+def annotation_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth ratio, small-variant counts and homozygosity of every variant, as they are written."""
+    windows = bind.depth(spark, sf_dir)
+    median = exact_quantiles(windows.filter(F.col("contig").isin("F", "O")), [], "cov", {"m": 0.5}).scalar()
+    svs = bind.svs(spark, sf_dir).withColumn("sv_len", F.col("sv_len") * 1_000)  # long enough for runs of homozygosity
+    out = an.annotate(svs, CONFIG, windows=windows, autosome_median=median, snvs=an.het_snvs(bind.variants(spark, sf_dir)))
+    return out.select(
+        "row_id", F.round(F.col("RD").cast("double"), 3).alias("rd"), F.col("VL").alias("vl"), F.col("VM").alias("vm"), F.col("VR").alias("vr"), F.col("ROH").alias("roh")
+    )
