@@ -36,16 +36,33 @@ def overlap(a, b):
     return a[1] == b[1] and a[2] < b[3] and b[2] < a[3] and a[2] < a[3] and b[2] < b[3]
 
 
+@pytest.mark.parametrize("pairs_per_task", [20_000_000, 5])
 @pytest.mark.parametrize("width", [7, 64, 1000])
-def test_overlap_join_equals_theta_join(spark, width):
+def test_overlap_join_equals_theta_join(spark, width, pairs_per_task):
     rng = random.Random(width)
     left, right = intervals(rng, 150), intervals(rng, 120)
     a = spark.createDataFrame(left, "i int, c string, s bigint, e bigint")
     b = spark.createDataFrame(right, "j int, c string, t bigint, f bigint")
-    pairs = [(r["i"], r["j"]) for r in overlap_join(a, b, ["c"], ("s", "e"), ("t", "f"), width).collect()]
+    pairs = [(r["i"], r["j"]) for r in overlap_join(a, b, ["c"], ("s", "e"), ("t", "f"), width, pairs_per_task).collect()]
     assert sorted(pairs) == sorted((x[0], y[0]) for x in left for y in right if overlap(x, y))
 
 
+def test_a_bin_with_half_of_all_rows_is_shared_by_tasks(spark):
+    rows = [(i, "a", 100 + i % 7, 120 + i) for i in range(400)] + [(400 + i, "a", 1_000 * i, 1_000 * i + 5) for i in range(1, 400)]
+    a = spark.createDataFrame(rows, "i int, c string, s bigint, e bigint")
+    b = spark.createDataFrame([(i, "a", 110, 130) for i in range(50)], "j int, c string, t bigint, f bigint").distinct()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        found = overlap_join(a, b, ["c"], ("s", "e"), ("t", "f"), 1_000, pairs_per_task=1_000)
+        per_task = [r["n"] for r in found.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(per_task) == 400 * 50
+    assert len(per_task) >= 4 and max(per_task) < 0.6 * sum(per_task)
+
+
 def test_overlap_counts_equal_theta_join(spark):
     rng = random.Random(1)
     left = [x for x in intervals(rng, 150) if x[2] < x[3]]
