@@ -727,7 +727,7 @@ def sample_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genotype columns per sample; samples without a call are missing."""
     wide = cu.sample_matrix(bind.svs(spark, sf_dir), ["row_id"], [f"S{i}" for i in range(8)])
     cells = [
-        F.when(F.col(f"s{i}.gt") == "./.", F.col(f"s{i}.gt")).otherwise(cl.clustered_genotype(F.col(f"s{i}.gt"))).alias(f"gt_{i}")
+        F.when(F.col("cells")[i]["gt"] == "./.", "./.").otherwise(cl.clustered_genotype(F.col("cells")[i]["gt"])).alias(f"gt_{i}")
         for i in range(8)
     ]
     return wide.select("row_id", *cells)

@@ -12,6 +12,7 @@ from riftspan.operators.ordered import global_row_number
 from riftspan.operators.quantiles import integer_median
 from riftspan.operators.similar_intervals import cluster_similar
 from riftspan.session import reliable_checkpoint
+from riftspan.sources.vcf import name_list
 
 # The types that take part when types must match.
 CLUSTERED_TYPES = ["DEL", "DUP", "INV", "BND"]
@@ -137,11 +138,9 @@ def cluster_variants(svs: DataFrame, settings: ClusterSettings) -> DataFrame:
 
 
 def sample_matrix(records: DataFrame, row_key: list[str], samples: list[str]) -> DataFrame:
-    """Spread the calls of each record over all samples: missing ones get ``./.`` and no caller."""
+    """Spread the calls of each record over all samples, as an array ``cells``: missing ones get ``./.`` and no caller."""
     found = F.map_from_entries(F.transform("calls", lambda c: F.struct(c["sample"], F.struct(c["gt"], c["called_by"]))))
     nothing = F.struct(F.lit("./.").alias("gt"), F.array().cast("array<string>").alias("called_by"))
-    cells = [
-        F.coalesce(F.try_element_at(found, F.lit(s)), nothing).alias(f"s{i}") for i, s in enumerate(samples)
-    ]
-    return records.select(*row_key, *cells)
+    cells = F.transform(name_list(samples), lambda name: F.coalesce(F.try_element_at(found, name), nothing))
+    return records.select(*row_key, cells.alias("cells"))
 

@@ -35,17 +35,13 @@ def parse_variants(lines: DataFrame, samples: list[str]) -> DataFrame:
         lambda _, v: F.coalesce(v, F.lit("")),
     )
 
-    def call(sample: str, i: int) -> Column:
-        values = F.split(text(9 + i), ":")
+    def call(sample: Column, i: Column) -> Column:
+        values = F.split(F.get(f, i + 9), ":")
         shared = F.least(F.size(keys), F.size(values))
         fields = F.map_from_arrays(F.slice(keys, F.lit(1), shared), F.slice(values, F.lit(1), shared))
-        return F.struct(F.lit(sample).alias("sample"), fields.alias("fields"))
+        return F.struct(sample.alias("sample"), fields.alias("fields"))
 
-    calls = (
-        F.array(*[call(s, i) for i, s in enumerate(samples)])
-        if samples
-        else F.array().cast("array<struct<sample:string,fields:map<string,string>>>")
-    )
+    calls = F.transform(name_list(samples), call)
     none = F.array().cast("array<string>")
     return lines.select(*ORDER, "value", F.split("value", "\t").alias("f")).select(
         *ORDER,
@@ -112,7 +108,12 @@ def _sv_info(with_strands: bool) -> Column:
     )
 
 
-def _line(sv_id: Column, form: Column, cells: list[Column]) -> Column:
+def name_list(names: list[str]) -> Column:
+    """Sample names as one constant, so that a plan does not grow with the cohort; names hold no tabs."""
+    return F.split(F.lit("\t".join(names)), "\t") if names else F.array().cast("array<string>")
+
+
+def _line(sv_id: Column, form: Column, cells: Column) -> Column:
     return F.concat_ws(
         "\t",
         F.col("chrom"),
@@ -124,34 +125,30 @@ def _line(sv_id: Column, form: Column, cells: list[Column]) -> Column:
         F.lit("."),
         _sv_info(True),
         form,
-        *cells,
+        F.when(F.size(cells) > 0, F.array_join(cells, "\t")),
     )
 
 
-def standardized_line(samples: list[str]) -> Column:
+def standardized_line() -> Column:
     """Line of a standardized variant: genotype and called flag per sample."""
     tool = F.get("algorithms", F.lit(0))
-    cells = [
-        F.concat_ws(":", F.get("calls", F.lit(i))["gt"], F.get("calls", F.lit(i))["called"].cast("string"))
-        for i in range(len(samples))
-    ]
+    cells = F.transform("calls", lambda c: F.concat_ws(":", c["gt"], c["called"].cast("string")))
     return _line(F.lit("."), F.concat(F.lit("GT:"), tool), cells)
 
 
-def clustered_line(samples: list[str]) -> Column:
+def clustered_line() -> Column:
     """Line of a clustered variant: all samples, with a flag per algorithm; absent ones are missing.
 
-    Needs the columns ``s0, s1, …`` of the sample matrix. Algorithms are in alphabetical order.
+    Needs the column ``cells`` of the sample matrix. Algorithms are in alphabetical order.
     """
 
-    def cell(i: int) -> Column:
-        c = F.col(f"s{i}")
+    def cell(c: Column) -> Column:
         gt = F.when(c["gt"] == "./.", "./.").otherwise(clustered_genotype(c["gt"]))
         flags = F.transform("algorithms", lambda a: F.array_contains(c["called_by"], a).cast("int").cast("string"))
         return F.concat_ws(":", gt, F.array_join(flags, ":"))
 
     form = F.concat(F.lit("GT:"), F.array_join("algorithms", ":"))
-    return _line(F.col("sv_id"), form, [cell(i) for i in range(len(samples))])
+    return _line(F.col("sv_id"), form, F.transform("cells", cell))
 
 
 #: Evidence fields in output order; the first three are numbers with a fraction.

@@ -183,7 +183,7 @@ def standardize(
     out = st.standardize(rows, tool, config.stdvcf_apply_filters, ("region_ord", *ORDER))
     vcf.write_variants(
         out,
-        vcf.standardized_line(samples),
+        vcf.standardized_line(),
         ["region_ord", "pos", *ORDER],
         hd.sv_header(contigs, samples, compat),
         path_out,
@@ -248,7 +248,7 @@ def cluster(
     wide = cu.sample_matrix(records, kept, samples)
     vcf.write_variants(
         wide,
-        vcf.clustered_line(samples),
+        vcf.clustered_line(),
         ["number"],
         hd.sv_header(contigs, samples, compat),
         path_out,

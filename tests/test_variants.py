@@ -224,3 +224,14 @@ def test_long_variants_are_cropped_only_in_the_compatible_mode(spark, write, tmp
         config = Config(annotation_doc_baf_limit=1_000)
         tools.annotate(spark, write("svs.vcf", [*HEADER, *SVS]), out, "patient", config, path_snv_vcf=write("s.vcf", [*HEADER, *snv_rows()]), single_file=True, compat=compat)
         assert body(out)[1].endswith(f"GT:delly:VL:VM:VR\t0/1:1:{counts}")
+
+
+def test_plan_does_not_grow_with_the_cohort(spark, write, tmp_path):
+    names = [f"s{i}" for i in range(3_000)]
+    cells = ["0/1:1" if i in (7, 2_999) else "0/0:0" for i in range(3_000)]
+    line = s.row("2", 500, ".", "G", "<DEL>", 0, ".", std(900, "2", "DEL", "+-", 401, "delly"), "GT:delly", *cells)
+    out = str(tmp_path / "out.vcf")
+    tools.cluster(spark, [write("wide.vcf", [*s.vcf_header(names), line])], out, single_file=True)
+    head, only = body(out)
+    assert head.split("\t")[9:] == names
+    assert only.split("\t")[9:] == cells
