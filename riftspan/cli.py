@@ -13,7 +13,7 @@ from riftspan import __version__, tools
 from riftspan.config import load_config
 from riftspan.errors import RiftspanError
 from riftspan.plans.standardize import TOOLS
-from riftspan.session import mounted_folder
+from riftspan.session import checkpoints_written, drop_checkpoints, mounted_folder
 from riftspan.sources.regions import parse_regions
 
 
@@ -65,8 +65,15 @@ def _spooled(spark: SparkSession, path: str) -> str:
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
-    """Parse arguments and run the chosen tool."""
-    args = _parser().parse_args(argv)
+    """Parse arguments and run the chosen tool; its intermediate tables are deleted at the end."""
+    before = checkpoints_written()
+    try:
+        _run(spark, _parser().parse_args(argv))
+    finally:
+        drop_checkpoints(spark, before)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     logging.basicConfig(level=logging.DEBUG if args.verbosity else logging.INFO)
     config = load_config(args.config)
     common = {"config": config, "overwrite": args.overwrite, "single_file": args.single_file}

@@ -22,7 +22,7 @@ def assign_clusters(svs: DataFrame, settings: ClusterSettings) -> DataFrame:
     """Add ``cluster`` (the least ``row_id`` of the cluster) to variants.
 
     ``row_id`` (bigint) must be unique and follow the input order. Variants of other types than the
-    clustered ones are dropped when types must match.
+    clustered ones have no cluster, and no row, when types must match.
     """
     start, end = sv_interval(F.col("pos"), F.col("end2"), F.col("sv_type"))
     rows = svs.withColumn("_start", start).withColumn("_end", end)
@@ -132,9 +132,16 @@ def number_clusters(records: DataFrame) -> DataFrame:
     return numbered.withColumn("sv_id", F.format_string("SV%08d", "number"))
 
 
-def cluster_variants(svs: DataFrame, settings: ClusterSettings) -> DataFrame:
-    """Cluster, collapse and number variants of all input files."""
-    return number_clusters(collapse_clusters(assign_clusters(svs, settings), settings))
+def cluster_variants(svs: DataFrame, settings: ClusterSettings, keep_other_types: bool = True) -> DataFrame:
+    """Cluster, collapse and number variants of all input files.
+
+    When types must match, variants of other types than the clustered ones stay on their own, or go.
+    """
+    clustered = assign_clusters(svs, settings)
+    if settings.match_sv_type and keep_other_types:
+        alone = svs.filter(~F.coalesce(F.col("sv_type").isin(CLUSTERED_TYPES), F.lit(False)))
+        clustered = clustered.unionByName(alone.withColumn("cluster", F.col("row_id")))
+    return number_clusters(collapse_clusters(clustered, settings))
 
 
 def sample_matrix(records: DataFrame, row_key: list[str], samples: list[str]) -> DataFrame:

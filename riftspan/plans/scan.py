@@ -69,7 +69,7 @@ def two_pass_scan(
     columns = alignments.columns
     placed = (
         alignments.join(F.broadcast(places), "contig")  # regions are a driver-side list
-        .filter((offset >= 0) & (first <= last_window))
+        .filter((offset >= 0) & (last_window.isNull() | (first <= last_window)))
         .withColumn("window_no", F.explode(F.sequence(first, last)))
         .withColumn("_keep", is_interesting(library, config))
     )
@@ -108,6 +108,6 @@ def scan_reads(
         return two_pass_scan(rows, regions, library, config, order)
     places = regions.select("region_ord", "contig", F.col("start").alias("_from"), F.col("end").alias("_to"))
     inside = (
-        rows.join(F.broadcast(places), "contig").filter("pos >= _from AND pos < _to").drop("_from", "_to")
+        rows.join(F.broadcast(places), "contig").filter("pos >= _from AND (_to IS NULL OR pos < _to)").drop("_from", "_to")
     )
     return with_mates(inside, is_interesting(library, config))

@@ -49,6 +49,28 @@ def _shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Tables that this process has written to the shared folder.
+_written: list[str] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds ``path``, as the session knows it, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def checkpoints_written() -> int:
+    """How many tables :func:`reliable_checkpoint` has written that are still there."""
+    return len(_written)
+
+
+def drop_checkpoints(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables of :func:`reliable_checkpoint` but the first ``keep``; for the end of a job, when nothing reads them any more."""
+    while len(_written) > keep:
+        system, place = file_system(spark, _written.pop())
+        system.delete(place, True)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder of the session and return that table.
 
@@ -58,5 +80,6 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark)}/riftspan-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

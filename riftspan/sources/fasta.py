@@ -10,6 +10,10 @@ from riftspan.plans.depth import composition
 from riftspan.sources.textio import BLOCK, read_lines
 
 
+#: Bases of a line that are looked at together.
+PIECE = 16_384
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """Sequence lines ``(contig, offset, bases)``, the offset counted from the start of the contig.
 
@@ -39,7 +43,11 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def reference_windows(spark: SparkSession, path: str, window: int) -> DataFrame:
     """Composition of the reference per window: ``contig``, ``window_id``, ``gc``, ``has_gap``."""
-    lines = read_fasta(spark, path)
+    # A contig on one line is cut first: taking windows out of one long text costs its length every time.
+    cut = F.posexplode(F.regexp_extract_all("bases", F.lit(f".{{1,{PIECE}}}"), F.lit(0)))
+    lines = read_fasta(spark, path).select("contig", "offset", cut.alias("_no", "bases")).select(
+        "contig", (F.col("offset") + F.col("_no") * F.lit(PIECE).cast("bigint")).alias("offset"), "bases"
+    )
     first = F.floor(F.col("offset") / window).cast("bigint")
     last = F.floor((F.col("offset") + F.length("bases") - 1) / window).cast("bigint")
     touched = lines.withColumn("window_id", F.explode(F.sequence(first, last)))

@@ -10,17 +10,14 @@ from pyspark.sql import functions as F
 
 from riftspan.errors import InvalidBedFile, InvalidRegion
 
-#: End of a region that stands for a whole contig of unknown length.
-OPEN_END = 10_000_000_000
-
 
 @dataclass(frozen=True)
 class Region:
-    """Zero-based half-open interval on a contig."""
+    """Zero-based half-open interval on a contig; without an end it reaches to the end of the contig."""
 
     contig: str
     start: int
-    end: int
+    end: int | None
 
 
 def parse_region(text: str, compat: bool = False) -> Region:
@@ -54,7 +51,7 @@ def region_table(spark: SparkSession, regions: list[Region]) -> DataFrame:
 
 def whole_contigs(contigs: list[tuple[str, int | None]]) -> list[Region]:
     """One region per contig; without a length it is open-ended."""
-    return [Region(name, 0, OPEN_END if length is None else length) for name, length in contigs]
+    return [Region(name, 0, length) for name, length in contigs]
 
 
 def fetch_regions(rows: DataFrame, regions: DataFrame, contig: str, start: Column, end: Column) -> DataFrame:
@@ -65,7 +62,7 @@ def fetch_regions(rows: DataFrame, regions: DataFrame, contig: str, start: Colum
     places = regions.select(
         "region_ord", F.col("contig").alias("_rc"), F.col("start").alias("_rs"), F.col("end").alias("_re")
     )
-    hit = (F.col(contig) == F.col("_rc")) & (start < F.col("_re")) & (end > F.col("_rs"))
+    hit = (F.col(contig) == F.col("_rc")) & (F.col("_re").isNull() | (start < F.col("_re"))) & (end > F.col("_rs"))
     return rows.join(F.broadcast(places), hit).drop("_rc", "_rs", "_re")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.errors import OutputExists
-from riftspan.session import mounted_folder
+from riftspan.session import file_system, mounted_folder
 
 #: Row order of data read from files: input number, then (file, split), then row of the split.
 ORDER = ["file_ord", "block", "seq"]
@@ -56,7 +56,7 @@ def read_header(spark: SparkSession, path: str, mark: str) -> list[str]:
     wanted = 1_000
     while True:
         # limit() without a sort reads partitions one by one and stops early.
-        lines = [r["value"] for r in spark.read.text(_first_file(path)).limit(wanted).collect()]
+        lines = [r["value"] for r in spark.read.text(_first_file(spark, path)).limit(wanted).collect()]
         header = []
         for line in lines:
             if not line.startswith(mark):
@@ -77,16 +77,21 @@ def in_part_order(paths: Iterable[str]) -> list[str]:
     return sorted(paths, key=place)
 
 
-def _first_file(path: str) -> str:
-    if os.path.isdir(path):
-        parts = in_part_order(p for p in glob.glob(os.path.join(path, "*")) if not os.path.basename(p).startswith(("_", ".")))
-        return parts[0] if parts else path
-    return path
+def _first_file(spark: SparkSession, path: str) -> str:
+    system, place = file_system(spark, path)
+    if not (system.exists(place) and system.getFileStatus(place).isDirectory()):
+        return path
+    names = [str(f.getPath().getName()) for f in system.listStatus(place)]
+    parts = in_part_order(f"{path.rstrip('/')}/{n}" for n in names if not n.startswith(("_", ".")))
+    return parts[0] if parts else path
 
 
-def guard_output(path: str, overwrite: bool) -> None:
+def guard_output(spark: SparkSession, path: str, overwrite: bool) -> None:
     """Refuse to write over existing output unless allowed; ``-`` is standard output."""
-    if path != "-" and os.path.exists(path) and not overwrite:
+    if path == "-" or overwrite:
+        return
+    system, place = file_system(spark, path)
+    if system.exists(place):
         raise OutputExists(path)
 
 
@@ -105,8 +110,8 @@ def write_lines(
     ``single_file`` (or for standard output, ``-``) the parts are afterwards copied into one file,
     streamed part by part. A path ending in ``.gz`` is compressed.
     """
-    guard_output(path, overwrite)
     spark = body.sparkSession
+    guard_output(spark, path, overwrite)
     keys = [F.lit(1).alias("_rank"), F.lit(0).alias("_no")]
     ordered = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
     rows = body.select(*keys, *ordered, line.alias("value"))

@@ -53,7 +53,7 @@ def scan(
     ``compat`` writes them with the repetitions of a windowed two-pass scan and tests blocked
     regions with the number of CIGAR operations as alignment length.
     """
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     contigs = hd.alignment_contigs(header)
     rows = sam.read_alignments(spark, path_in)
@@ -79,7 +79,7 @@ def unique(
     single_file: bool = False,
 ) -> None:
     """Write a file grouped by name without repeated alignments, each with its read id in tag ``xI``."""
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     kept = un.unique_reads(sam.read_alignments(spark, path_in), BLOCK, ["seq"])
     line = F.concat(F.col("raw"), F.lit("\txI:i:"), F.col("read_id").cast("string"))
@@ -98,7 +98,7 @@ def collect_evidence(
     compat: bool = False,
 ) -> None:
     """Write the evidence of reads that carry a read id."""
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     rows = sam.read_alignments(spark, path_in)
     library = library or library_from_header(header, config, compat) or estimate_library(rows, config, compat)
@@ -127,7 +127,7 @@ def collect_depth(
     date: str | None = None,
 ) -> None:
     """Write windowed depth of coverage, with medians per contig in the header."""
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     header = sam.alignment_header(spark, path_in)
     contigs = hd.alignment_contigs(header)
     samples = hd.alignment_samples(header) or ["sample"]
@@ -175,7 +175,7 @@ def standardize(
     compat: bool = False,
 ) -> None:
     """Write the variants of one caller in the common layout."""
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     header = vcf.variant_header(spark, path_in)
     contigs, samples = hd.variant_contigs(header), hd.variant_samples(header)
     table = region_table(spark, _variant_regions(contigs, regions))
@@ -236,14 +236,14 @@ def cluster(
     compat: bool = False,
 ) -> None:
     """Cluster standardized variants of several files into one file with all samples."""
-    guard_output(path_out, overwrite)
+    guard_output(spark, path_out, overwrite)
     settings = _cluster_settings(setting, config)
     all_headers = [vcf.variant_header(spark, p) for p in paths_in]
     check_contigs([hd.variant_contigs(h) for h in all_headers])
     contigs = hd.variant_contigs(all_headers[0])
     samples = list(dict.fromkeys(s for h in all_headers for s in hd.variant_samples(h)))
     variants = _numbered_variants(spark, paths_in, _variant_regions(contigs, regions))
-    records = cu.cluster_variants(variants.drop("raw"), settings)
+    records = cu.cluster_variants(variants.drop("raw"), settings, keep_other_types=not compat)
     kept = ["region_ord", "number", "chrom", "pos", "reference", "alt", "chrom2", "end2", "sv_type", "strands", "sv_len", "sv_id", "algorithms"]
     wide = cu.sample_matrix(records, kept, samples)
     vcf.write_variants(
@@ -276,7 +276,7 @@ def annotate(
     """Annotate variants with the kinds of evidence that are given, and write the side outputs asked for."""
     for path in (path_out, path_out_doc_summary, path_out_baf_snvs):
         if path is not None:
-            guard_output(path, overwrite)
+            guard_output(spark, path, overwrite)
     header = vcf.variant_header(spark, path_in)
     contigs, samples = hd.variant_contigs(header), hd.variant_samples(header)
     if not compat and sample not in samples:

@@ -6,7 +6,7 @@ import random
 import pytest
 import samples as s
 
-from riftspan import cli, tools
+from riftspan import cli, session, tools
 from riftspan.config import ClusterSettings, Config, DepthSettings, config_from_dict, load_config
 from riftspan.errors import InvalidBedFile, InvalidRegion, OutputExists
 from riftspan.plans.library import estimate_library
@@ -90,6 +90,28 @@ def test_reference_windows(spark, write):
     assert not got
 
 
+def test_reference_windows_of_a_contig_on_one_line(spark, write):
+    rng = random.Random(11)
+    seq = "".join(rng.choice("ACGTN" if i % 9_000 < 300 else "ACGT") for i in range(50_123))
+    path = write("long.fa", [">c", seq])
+    got = {r["window_id"]: (r["gc"], r["has_gap"]) for r in reference_windows(spark, path, 100).collect()}
+    assert sorted(got) == list(range(502))
+    for i, (gc, gap) in got.items():
+        piece = seq[i * 100 : i * 100 + 100]
+        assert gap == ("N" in piece)
+        assert gc == pytest.approx(sum(map(piece.count, "GC")) / sum(map(piece.count, "ACGT")), rel=1e-6)
+
+
+@pytest.mark.parametrize("kind", ["coverage", "fragments"])
+def test_windows_end_with_the_contig(spark, write, tmp_path, kind):
+    rows = [s.read("t", 99, "alpha", pos, "90M", "=", pos + 200, 290, mapq=60, tags=("RG:Z:sample",)) for pos in (1, 930, 980)]
+    path = write("d.sam", [*s.sam_header(lengths={"alpha": 1_000, "beta": 50}, extra=[GROUP]), *rows])
+    out = str(tmp_path / "out.vcf")
+    tools.collect_depth(spark, path, out, Config(collect_doc_config=DepthSettings(count_kind=kind, window_length=100)), single_file=True)
+    places = [tuple(line.split("\t")[:2]) for line in body(out)[1:]]
+    assert places == [("alpha", str(100 * i + 1)) for i in range(10)] + [("beta", "1")]
+
+
 def test_depth_with_reference_and_regions(spark, write, tmp_path):
     path, _ = fasta(write)
     out = str(tmp_path / "out.vcf")
@@ -175,6 +197,7 @@ def test_config(tmp_path):
 
 
 def test_command_line(spark, write, tmp_path):
+    before = session.checkpoints_written()
     rows, _ = s.CASES["across-contigs"]
     path = write("in.sam", [*s.sam_header(), rows[0], *s.CALM, *[r.replace("x\t", "y\t", 1) for r in s.CASES["clip-too-short"][0]], rows[1]])
     out = str(tmp_path / "folder.sam")
@@ -189,6 +212,7 @@ def test_command_line(spark, write, tmp_path):
         assert handle.read().splitlines()[-2:] == [f"{r}\txI:i:0" for r in rows]
     with pytest.raises(OutputExists):
         cli.run(spark, ["scan", path, out])
+    assert session.checkpoints_written() == before
     cli.run(spark, ["scan", path, out, "--overwrite", "-r", "beta:1-80000"])
     assert "".join(p.read_text() for p in sorted((tmp_path / "folder.sam").glob("part-*"))).endswith(rows[-1] + "\n")
 

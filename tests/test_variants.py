@@ -235,3 +235,11 @@ def test_plan_does_not_grow_with_the_cohort(spark, write, tmp_path):
     head, only = body(out)
     assert head.split("\t")[9:] == names
     assert only.split("\t")[9:] == cells
+
+
+def test_types_that_are_not_clustered_stay_on_their_own(spark, write, tmp_path):
+    paths = [sv_file(write, f"{n}.vcf", n, "delly", [(500, 900, "CNV", "CNV", "+-", "0/1:1")]) for n in ("s1", "s2")]
+    for compat, rows in ((False, 2), (True, 0)):
+        out = str(tmp_path / f"{compat}.vcf")
+        tools.cluster(spark, paths, out, single_file=True, compat=compat)
+        assert len(body(out)) == 1 + rows
