@@ -314,25 +314,27 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
 
 
 def near_classes(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id``, ``mark``, ``fp`` and ``component_id`` (least id of those connected by links) of every document."""
-    prints = stored(fingerprints(docs, words, id_column, text_column))
+    """``id``, ``mark``, ``fp``, ``component`` (one fingerprint of the class) and ``component_id`` (least id of those connected by links) of every document."""
+    # Repeated rows go here: after the join below, no grouping keeps the planner from splitting a very common fingerprint.
+    prints = stored(fingerprints(docs, words, id_column, text_column).distinct())
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")))
     nodes = connected_components(links(distinct, distance))
     named = distinct.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = named.select("fp", "component").join(least, "component").select("fp", "component_id")
-    return prints.join(classes, "fp").select("id", "mark", "fp", "component_id").distinct()
+    classes = named.select("fp", "component").join(least, "component").select("fp", "component", "component_id")
+    return prints.join(classes, "fp").select("id", "mark", "fp", "component", "component_id")
 
 
 def without_near_copies(docs: DataFrame, words: int, distance: int) -> DataFrame:
-    """``docs`` with the document of least id of each class; rows and columns are otherwise as they were."""
+    """``docs`` with one document of each class, that of the least id; rows and columns are otherwise as they were."""
     marked = docs.withColumn("_mark", F.xxhash64("text"))
     classes = near_classes(docs, words, distance)
-    kept = stored(classes.filter("id <=> component_id").select(F.col("id").alias("_id"), F.col("mark").alias("_kept_mark")))
+    first = F.min(F.struct(F.isnull("id").alias("none"), "id", "mark")).alias("first")
+    kept = stored(classes.groupBy("component").agg(first).select(F.col("first.id").alias("_id"), F.col("first.mark").alias("_kept_mark")))
     out = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_kept_mark")))
     out = out.select(*docs.columns)
-    repeats = marked.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if repeats else out
+    repeats = marked.groupBy("doc_id", "_mark").count().filter("count > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id", "text"]) if repeats else out
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

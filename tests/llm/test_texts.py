@@ -128,6 +128,17 @@ def test_links_connect_all_close_pairs(spark, distance, bucket):
     assert {v: root(v) for v in values} == brute_components(values, distance)
 
 
+def test_one_document_of_each_class_stays(spark):
+    base = " ".join(f"word{i}" for i in range(400))
+    texts = [(9, base), (4, base + " more"), (4, base + " more"), (4, "something else"), (None, "without an id"), (None, "and one more"), (12, ""), (11, None)]
+    docs = documents(spark, texts)
+    kept = simhash.without_near_copies(docs, words=3, distance=7)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[:9]) for r in kept.collect()) == [
+        ("11", ""), ("4", "something"), ("4", "word0 wor"), ("None", "and one m"), ("None", "without a")
+    ]
+
+
 def test_thresholds_follow_the_pigeonhole_rule():
     cost, thresholds = simhash.allocate([{-1: 0.0, 0: 5.0, 1: 9.0}, {-1: 0.0, 0: 1.0, 1: 100.0}, {-1: 0.0, 0: 7.0, 1: 8.0}], 0)
     assert thresholds == [-1, 0, 1] and cost == 9.0
