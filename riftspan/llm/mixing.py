@@ -5,9 +5,10 @@
    at most, so long texts keep soft memberships.
 2. Rates r minimise  sum_k (S_k - T_k)^2 / (2 T_k B) + (damping / 2) sum_d n_d (r_d - 1)^2 / N  over r >= ``least``,
    where S_k = sum_d r_d n_d p_dk are the expected tokens of a domain, T_k its target, B the budget and n_d the
-   tokens of a document, by projected gradient steps. A step needs the K sums S only: one
+   tokens of a document, by projected gradient steps with momentum. A step needs the K sums S only: one
    aggregation over a compact table (id, tokens, p, rate) per step. Rates between two
-   steps are a column expression of the gradients so far, and are written out every few steps.
+   steps are a column expression of the gradients so far, and are written out every few steps. Steps end when
+   totals are close to their targets, or no longer move (where targets cannot be met).
 3. A document is taken floor(r + u) times with u uniform from a hash of its id, so that expected
    totals stay as fitted.
 
@@ -32,9 +33,11 @@ LEARNING_ROWS = 20_000
 #: Words whose evidence a document has at most.
 EVIDENCE_WORDS = 30.0
 #: Weight of staying near rate 1.
-DAMPING = 1e-3
-#: Most gradient steps, steps between written rates, and the relative gap of totals at which to stop.
-STEPS, WRITTEN_EVERY, CLOSE = 48, 8, 2e-3
+DAMPING = 1e-4
+#: Most gradient steps, steps between written rates, the relative gap of totals at which to stop, and their change.
+STEPS, WRITTEN_EVERY, CLOSE, STILL = 48, 8, 5e-3, 1e-4
+#: How much of its last move a rate goes on by before the gradient is taken.
+MOMENTUM = 0.5
 #: Target weights are the corpus' own shares to this power.
 FLATTENING = 0.7
 
@@ -90,7 +93,8 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, damp
     """
     k_all = range(len(targets))
     budget = sum(targets)
-    state = stored(members.withColumn("rate", F.lit(max(1.0, least))))
+    start = F.lit(max(1.0, least))
+    state = stored(members.withColumns({"rate": start, "before": start}))
     sums = [F.sum(F.col("rate") * F.col("tokens") * F.col("p")[k]).alias(f"s{k}") for k in k_all]
 
     def totals(df: DataFrame) -> list[float]:
@@ -100,23 +104,27 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, damp
     now = totals(state)
     everything = sum(now) / max(1.0, least)
     if not budget or not everything:
-        return state
+        return state.drop("before")
     # In the metric of token shares no eigenvalue of the fit exceeds the largest row sum of its matrix, since memberships add up to 1.
     steepest = max(everything * s / max(1.0, least) / (budget * t) for s, t in zip(now, targets) if t > 0)
     rate_step = 1.0 / (steepest + damping)
-    current = state
+    current, last = state, now
     for step in range(1, steps + 1):
-        gaps = [(s - t) / t if t > 0 else 0.0 for s, t in zip(now, targets)]
-        if max(abs(g) for g in gaps) < CLOSE:
+        if max(abs(s - t) / t for s, t in zip(now, targets) if t > 0) < CLOSE:
             break
+        # Totals are linear in the rates, so those of the rates gone on by the momentum need no pass of their own.
+        ahead = [s + MOMENTUM * (s - b) for s, b in zip(now, last)]
         # d/dr_d of the fit, per token and in units of 1/N; rounded so that a retried sum gives the same steps
-        gradient = [round(g * everything / budget, 12) for g in gaps]
-        moved = F.col("rate") - F.lit(rate_step) * (_dot(gradient) + F.lit(damping) * (F.col("rate") - 1.0))
-        current = current.withColumn("rate", F.greatest(F.lit(float(least)), moved))
+        gradient = [round((s - t) / t * everything / budget, 12) if t > 0 else 0.0 for s, t in zip(ahead, targets)]
+        went_on = current.withColumn("ahead", F.col("rate") + F.lit(MOMENTUM) * (F.col("rate") - F.col("before")))
+        moved = F.col("ahead") - F.lit(rate_step) * (_dot(gradient) + F.lit(damping) * (F.col("ahead") - 1.0))
+        current = went_on.select(*members.columns, F.greatest(F.lit(float(least)), moved).alias("rate"), F.col("rate").alias("before"))
         if step % WRITTEN_EVERY == 0:
             current = stored(current)
-        now = totals(current)
-    return stored(current)
+        last, now = now, totals(current)
+        if max(abs(s - b) / t for s, b, t in zip(now, last, targets) if t > 0) < STILL:
+            break
+    return stored(current.drop("before"))
 
 
 def flattened_targets(shares: list[float], power: float, every_document: bool) -> list[float]:
