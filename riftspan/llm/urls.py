@@ -152,6 +152,8 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFra
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     current = stored(counted.withColumn("segments", segments).withColumn("node", F.lit("")).withColumn("trail", F.array(F.lit(""))))
     for level in range(levels):
+        if current.filter(F.size("segments") > level).isEmpty():
+            break
         branches = _grow(current, level)
         left = current.withColumn("segment", F.get("segments", F.lit(level)))
         joined = left.join(branches, ["host", "node", "segment"], "left")
