@@ -14,7 +14,7 @@ a group of g mutually linked vectors are g^2 / 2 all the same, since each vector
 
 Defined results: null, zero, and empty vectors and those with null or non-finite components link with
 nothing, nor do vectors of different lengths with each other; equal vectors link like any other; rows that repeat an
-id are separate vectors in the counts of others but one row of the result, which has their largest count; an empty table gives an empty
+id are vectors of their own whose links add up in the one row of that id; a null id links with nothing; an empty table gives an empty
 result; further columns are passed over.
 """
 
@@ -96,43 +96,78 @@ def _hasher(hashes: int, tables: int):
     return run
 
 
-def _comparer(least_cosine: float):
-    """Counts and forest edges of a pair of blocks of a bucket."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        ids = rows.column("row").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        raw = rows.column("unit").to_pylist()
-        x = np.stack([np.frombuffer(raw[i], np.float64) for i in order]) if len({len(v) for v in raw}) == 1 else None
-        if x is None:  # keys of two lengths of vectors fell together
-            return pa.table({"row": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
-        signature = np.stack([np.frombuffer(s, np.int32) for s in rows.column("signature").take(pa.array(order)).to_pylist()])
-        block = rows.column("block").to_numpy()[order]
-        at = rows.column("table")[0].as_py()
-        close = np.argwhere(np.triu(x @ x.T >= least_cosine - 1e-9, 1))
-        i, j = close[:, 0], close[:, 1]
-        exact = np.einsum("ij,ij->i", x[i], x[j]) >= least_cosine
-        i, j = i[exact], j[exact]
-        across = rows.column("one")[0].as_py() != rows.column("other")[0].as_py()
-        if across:
-            apart = block[i] != block[j]
-            i, j = i[apart], j[apart]
-        if at:
-            new = (signature[i, :at] != signature[j, :at]).all(1)
-            i, j = i[new], j[new]
-        n = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-        label = np.arange(len(ids))
-        while len(i):
-            before = label.copy()
-            least = np.minimum(label[i], label[j])
-            np.minimum.at(label, i, least)
-            np.minimum.at(label, j, least)
-            label = label[label]
-            if (label == before).all():
-                break
-        some = np.flatnonzero(n)
-        return pa.table({"row": pa.array(ids[some]), "n": pa.array(n[some].astype(np.int64)), "to": pa.array(ids[label[some]])})
+def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of ``n`` rows the least row that the pairs ``(i, j)`` connect it with."""
+    label = np.arange(n)
+    while len(i):
+        before = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
+
+
+def _compared(rows: pa.Table, tables: int, least_cosine: float) -> pa.RecordBatch:
+    """Counts and forest edges of whole groups, which are runs of rows; many small groups are compared at once."""
+    columns = {c: rows.column(c).to_numpy() for c in ("row", "table", "key", "block", "one", "other")}
+    ids, at, n = columns["row"], columns["table"], rows.num_rows
+    first = np.ones(n, bool)
+    first[1:] = np.any([columns[c][1:] != columns[c][:-1] for c in ("table", "key", "one", "other")], axis=0)
+    starts = np.flatnonzero(first)
+    end = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
+    raw = rows.column("unit").to_pylist()
+    sizes = np.fromiter(map(len, raw), np.int64, n) // 8
+    vectors = np.zeros((n, int(sizes.max())))
+    for k, v in enumerate(raw):
+        vectors[k, : sizes[k]] = np.frombuffer(v, np.float64)
+    signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.int32).reshape(n, tables)
+    across = columns["one"] != columns["other"]
+    here, one, other = np.arange(n), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    shift = 1
+    while True:
+        here = here[here + shift < end[here]]
+        if not len(here):
+            break
+        there = here + shift
+        wanted = (~across[here] | (columns["block"][here] != columns["block"][there])) & (sizes[here] == sizes[there])
+        i, j = here[wanted], there[wanted]
+        near = np.einsum("ij,ij->i", vectors[i], vectors[j]) >= least_cosine
+        i, j = i[near], j[near]
+        # Pairs that met in an earlier table have been counted there.
+        same = signature[i] == signature[j]
+        new = np.where(same.any(1), same.argmax(1), tables) == at[i] if len(i) else np.empty(0, bool)
+        one.append(i[new])
+        other.append(j[new])
+        shift += 1
+    i, j = np.concatenate(one), np.concatenate(other)
+    links = np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
+    label = _spanning(n, i, j)
+    some = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(ids[label[some]])], names=["row", "n", "to"])
+
+
+def _comparer(tables: int, least_cosine: float):
+    """Compares groups; rows come sorted by group."""
+    keys = ("table", "key", "one", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            now = now.combine_chunks()
+            if not now.num_rows:
+                continue
+            # The last group may go on in the next batch.
+            last = np.all([now.column(c).to_numpy() == now.column(c)[-1].as_py() for c in keys], axis=0)
+            cut = int(np.argmax(last))
+            if cut:
+                yield _compared(now.slice(0, cut), tables, least_cosine)
+            rest = now.slice(cut)
+        if rest is not None and rest.num_rows:
+            yield _compared(rest, tables, least_cosine)
 
     return run
 
@@ -154,7 +189,9 @@ def cosine_links(
         "row", "table", "key", "block", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")
     )
     full = paired.join(kept.select(F.col("id").alias("row"), "unit", "signature"), "row")
-    found = stored(full.groupBy("table", "key", "one", "other").applyInArrow(_comparer(least_cosine), "row bigint, n bigint, to bigint"))
+    group = ["table", "key", "one", "other"]
+    grouped = full.repartition(*group).sortWithinPartitions(*group)
+    found = stored(grouped.mapInArrow(_comparer(tables, least_cosine), "row bigint, n bigint, to bigint"))
     counts = found.groupBy("row").agg(F.sum("n").alias("n"))
     return counts, found.filter("row <> to").select(F.col("row").alias("a"), F.col("to").alias("b"))
 
