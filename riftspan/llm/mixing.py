@@ -63,11 +63,16 @@ def word_weights(labelled: DataFrame) -> tuple[list[str], list[float], list[list
     return names, priors, [[math.log(c / totals[n]) for c in counts[n]] for n in names]
 
 
+def _constant(values: list[float]) -> Column:
+    """Numbers as one constant of the plan; thousands of literals would weigh on the driver."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
 def memberships(docs: DataFrame, priors: list[float], weights: list[list[float]]) -> DataFrame:
     """``id``, ``mark`` (hash of the text), ``tokens`` (words) and posterior ``p`` of every document."""
     rows = only(docs, "doc_id", "text").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "text")
     likelihood = [
-        F.sum(F.when(F.col("word") == 1, F.get(F.array(*[F.lit(x) for x in w]), F.col("bucket")))).alias(f"l{k}") for k, w in enumerate(weights)
+        F.sum(F.when(F.col("word") == 1, F.get(_constant(w), F.col("bucket")))).alias(f"l{k}") for k, w in enumerate(weights)
     ]
     # Rows that repeat id and text add up to one document of so many times the words; `copies` takes that back.
     per_doc = _words(rows.withColumn("first", F.lit(1))).groupBy("id", "mark").agg(F.sum("word").alias("tokens"), *likelihood)
