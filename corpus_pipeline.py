@@ -8,8 +8,9 @@ from riftspan.llm import exact, mixing, pieces, simhash, toxicity
 from riftspan.llm.common import stored, table
 
 
-#: Words of a shingle and differing bits of near copies. Two bits, as the query has, would find only the closest copies.
-NEAR_WORDS, NEAR_BITS = 3, 7
+#: Words of a shingle and differing bits of fingerprints that are candidates; five-word shingles then decide.
+#: Two bits, as the query has, would find only the closest copies; with 11 all 48 pairs of sf0.1 are candidates.
+NEAR_WORDS, NEAR_BITS = 3, 11
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +24,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints are linked."""
+    """Documents without those whose five-word similarity to one that stays is 0.8 or more."""
     return simhash.without_near_copies(docs, words=NEAR_WORDS, distance=NEAR_BITS)
 
 

@@ -14,6 +14,9 @@ bits that still vary in it (T + 1 groups of bits, one of which must agree), agai
 bucket of few varying bits is small, so this ends within a few rounds. No pairs of a group are listed, none
 are left out.
 
+Where documents are dropped, links only name candidates: a document goes if the exact similarity of its
+shingles to those of a document that stays is ``SIMILARITY`` or more.
+
 Defined results: null and empty texts have fingerprint zero and are linked like any other; rows
 that repeat id and text are one document; a null id names no class unless all ids of it are null; an
 empty table gives an empty result; further columns are passed over.
@@ -27,8 +30,9 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riftspan.llm.common import only, stored, table, texts_of
 from riftspan.operators.components import connected_components
@@ -44,6 +48,10 @@ FEW_BITS = 10
 ROW_COST = 100.0
 #: Shingles tallied at once.
 TALLIED = 50_000
+#: Words of a shingle and Jaccard similarity of near copies, where documents are dropped.
+SHINGLE, SIMILARITY = 5, 0.8
+#: Documents of a class that one task tells apart.
+HEADS = 500
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -325,13 +333,136 @@ def near_classes(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE,
     return prints.join(classes, "fp").select("id", "mark", "fp", "component", "component_id")
 
 
-def without_near_copies(docs: DataFrame, words: int, distance: int) -> DataFrame:
-    """``docs`` with one document of each class, that of the least id; rows and columns are otherwise as they were."""
+def shingle_set(text: str, words: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text; a shorter text is one shingle, an empty one has none."""
+    import xxhash
+
+    own = text.encode().lower().split()
+    last = max(len(own) - words, 0) + 1 if own else 0
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(own[i : i + words]), 42) for i in range(last)], np.uint64))
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two shingle sets have this Jaccard similarity; empty sets are equal."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= similarity * (len(a) + len(b) - common)
+
+
+class Leaders:
+    """Documents that stay, found by the least hashes of their sets.
+
+    Of two sets of the similarity s or more, the first n - ceil(s n) + 1 hashes of each have one in common.
+    """
+
+    def __init__(self, similarity: float) -> None:
+        self.similarity = similarity
+        self.sets: list[np.ndarray] = []
+        self.by_hash: dict[int, list[int]] = {}
+
+    def _prefix(self, own: np.ndarray) -> list[int]:
+        return own[: len(own) - int(np.ceil(self.similarity * len(own) - 1e-9)) + 1].tolist() if len(own) else [-1]
+
+    def near(self, own: np.ndarray) -> bool:
+        """Whether a leader is similar to this set."""
+        tried: set[int] = set()
+        for h in self._prefix(own):
+            for k in self.by_hash.get(h, ()):
+                if k not in tried:
+                    tried.add(k)
+                    if alike(own, self.sets[k], self.similarity):
+                        return True
+        return False
+
+    def add(self, own: np.ndarray) -> None:
+        """One more leader."""
+        for h in self._prefix(own):
+            self.by_hash.setdefault(h, []).append(len(self.sets))
+        self.sets.append(own)
+
+
+#: Parts of a row in a comparison: a leader already, one to be compared and to lead if it is like none, one only to be compared.
+LEADS, MAY_LEAD, FOLLOWS = 0, 1, 2
+
+
+def _judge(similarity: float):
+    """Rows sorted by component, slice and part, then in the order in which they lead; ``near`` says that a leader is similar.
+
+    A repeated row has the answer of the first one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last, leaders = None, None, Leaders(similarity)
+        for batch in batches:
+            near = []
+            for *at, part, id_, mark, grams in zip(*(batch.column(c).to_pylist() for c in ("component", "slice", "part", "id", "mark", "grams"))):
+                if at != group:
+                    group, last, leaders = at, None, Leaders(similarity)
+                if last is not None and last[:3] == (part, id_, mark):
+                    near.append(last[3])
+                    continue
+                own = np.frombuffer(grams, np.uint64)
+                near.append(part != LEADS and leaders.near(own))
+                if part == LEADS or part == MAY_LEAD and not near[-1]:
+                    leaders.add(own)
+                last = (part, id_, mark, near[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.bool_())], names=[*batch.schema.names, "near"])
+
+    return run
+
+
+def _judged(rows: DataFrame, similarity: float) -> DataFrame:
+    dealt = rows.repartition("component", "slice").sortWithinPartitions("component", "slice", "part", F.isnull("id"), "id", "mark")
+    return dealt.mapInArrow(_judge(similarity), T.StructType([*rows.schema.fields, T.StructField("near", T.BooleanType())]))
+
+
+def near_copies(docs: DataFrame, words: int, distance: int, shingle: int = SHINGLE, similarity: float = SIMILARITY, heads: int = HEADS) -> DataFrame:
+    """``id`` and ``mark`` of the documents that go, as a written table.
+
+    Inside a class of linked fingerprints the documents lead in the order of their ids, unless they have the similarity to
+    one that leads before them, exactly computed; those go. So each that goes is a near copy of one that stays, and of
+    those that stay in a class no two are near copies. A class of more than ``heads`` documents is
+    worked off in rounds: its next ``heads`` documents are told apart by one task, then the rest are compared with those that lead, in slices.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [shingle_set(t, shingle).tobytes() for t in texts_of(batch, "text")]
+            yield pa.RecordBatch.from_arrays([*batch.select(names).columns, pa.array(grams, pa.binary())], names=[*names, "grams"])
+
+    classes = stored(near_classes(docs, words, distance).select("id", "mark", "component"))
+    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = classes.join(sizes, "component")
+    texts = only(docs, "doc_id", "text").toDF("_id", "text").withColumn("_mark", F.xxhash64("text"))
+    found = texts.join(members, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_mark") == F.col("mark")))
+    found = found.select("id", "mark", "component", "n", F.lit(0).cast("bigint").alias("slice"), F.lit(MAY_LEAD).alias("part"), "text")
+    names = found.columns[:-1]
+    rows = stored(found.mapInArrow(sets, T.StructType([*found.schema.fields[:-1], T.StructField("grams", T.BinaryType())])))
+    key = ["component", "id", "mark"]
+    gone = _judged(rows.filter(F.col("n") <= heads), similarity).filter("near").select(key)
+    rest = rows.filter(F.col("n") > heads)
+    while not rest.isEmpty():
+        order = Window.partitionBy("component").orderBy(F.isnull("id"), "id", "mark")
+        first = stored(rest.select(key).distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= heads).select(key))
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in key]
+        ahead = rest.alias("r").join(first.alias("f"), same, "left_semi").select(rest.columns)
+        told = stored(_judged(ahead, similarity))
+        slices = F.ceil(F.col("n") / heads)
+        leading = told.filter("not near").drop("near").withColumn("part", F.lit(LEADS)).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+        behind = rest.alias("r").join(first.alias("f"), same, "left_anti").select(rest.columns)
+        behind = behind.withColumn("part", F.lit(FOLLOWS)).withColumn("slice", F.pmod(F.xxhash64("id", "mark"), slices))
+        compared = stored(_judged(leading.select(rest.columns).unionByName(behind.select(rest.columns)), similarity).filter(F.col("part") == FOLLOWS))
+        gone = gone.unionByName(told.filter("near").select(key)).unionByName(compared.filter("near").select(key))
+        rest = compared.filter("not near").drop("near").withColumn("part", F.lit(MAY_LEAD)).withColumn("slice", F.lit(0).cast("bigint"))
+    return stored(gone.select("id", "mark").distinct())
+
+
+def without_near_copies(docs: DataFrame, words: int, distance: int, shingle: int = SHINGLE, similarity: float = SIMILARITY, heads: int = HEADS) -> DataFrame:
+    """``docs`` without near copies of documents that stay, see :func:`near_copies`; rows and columns are otherwise as they were."""
     marked = docs.withColumn("_mark", F.xxhash64("text"))
-    classes = near_classes(docs, words, distance)
-    first = F.min(F.struct(F.isnull("id").alias("none"), "id", "mark")).alias("first")
-    kept = stored(classes.groupBy("component").agg(first).select(F.col("first.id").alias("_id"), F.col("first.mark").alias("_kept_mark")))
-    out = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_kept_mark")))
+    gone = near_copies(docs, words, distance, shingle, similarity, heads).select(F.col("id").alias("_id"), F.col("mark").alias("_gone_mark"))
+    out = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_gone_mark")), "left_anti")
     out = out.select(*docs.columns)
     repeats = marked.groupBy("doc_id", "_mark").count().filter("count > 1").limit(1).count()
     return out.dropDuplicates(["doc_id", "text"]) if repeats else out

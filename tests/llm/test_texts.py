@@ -139,6 +139,44 @@ def test_one_document_of_each_class_stays(spark):
     ]
 
 
+def test_only_near_copies_of_what_stays_are_dropped(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = []
+    for k in range(30):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        for c in range(rng.choice([1, 2, 5])):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 1, 2, 4])):
+                own[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            texts.append((10 * k + c, " ".join(own)))
+    rng.shuffle(texts)
+    texts += [(400, "alpha beta"), (401, "alpha  beta"), (402, "alpha gamma"), (None, texts[0][1])]
+    sets = {(i, t): {tuple(t.split()[a : a + 5]) for a in range(max(1, len(t.split()) - 4))} for i, t in texts}
+
+    def similarity(a, b):
+        return len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+
+    expected = []
+    for row in sorted(texts, key=lambda r: (r[0] is None, r[0])):
+        if all(similarity(row, other) < 0.8 for other in expected):
+            expected.append(row)
+    # All fingerprints in one class: what goes depends on the similarity alone, whatever is linked.
+    monkeypatch.setattr(simhash, "near_classes", lambda docs, *_: docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), F.lit(0).cast("bigint").alias("component")))
+    docs = documents(spark, texts).repartition(3)
+    for heads in (500, 7):
+        kept = simhash.without_near_copies(docs, words=3, distance=11, heads=heads).collect()
+        assert {(r["doc_id"], r["text"]) for r in kept} == set(expected) and len(kept) == len(expected)
+
+
+def test_linked_documents_that_are_no_near_copies_stay(spark):
+    base = [f"word{i}" for i in range(60)]
+    changed = ["other" if i % 10 == 0 else w for i, w in enumerate(base)]
+    prints = [simhash.fingerprint(" ".join(w), 3) for w in (base, changed)]
+    distance = (prints[0] ^ prints[1]).bit_count()
+    docs = documents(spark, [(1, " ".join(base)), (2, " ".join(changed))])
+    assert {r["doc_id"] for r in simhash.without_near_copies(docs, words=3, distance=distance).collect()} == {1, 2}
+
+
 def test_thresholds_follow_the_pigeonhole_rule():
     cost, thresholds = simhash.allocate([{-1: 0.0, 0: 5.0, 1: 9.0}, {-1: 0.0, 0: 1.0, 1: 100.0}, {-1: 0.0, 0: 7.0, 1: 8.0}], 0)
     assert thresholds == [-1, 0, 1] and cost == 9.0
