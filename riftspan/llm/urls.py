@@ -9,10 +9,12 @@ whose paths agree so far as templates:
    rejected urls is within ``Z`` standard errors of their siblings' and whose own children look alike
    (same kind of next segment) become one branch, named after the first of them.
 
-Segments are first told apart by kind: digits, hexadecimal, dates, other. Paths are followed for
-``LEVELS`` segments; what lies deeper is one tail. A template's labelled urls give its purity, smoothed
+Segments are first told apart by kind: digits, hexadecimal, dates, other. Paths are followed to their
+ends. From ``LEVELS`` segments on, a path alone below its node has nothing to be told apart from: its template is the node, the rest of the path
+as it is, and ``/**``. A template's labelled urls give its purity, smoothed
 towards the share of the template above it, and so on up to the host and to all urls. A template whose smoothed share of
-rejected urls is over ``REJECT`` is rejected with all its urls. Labels are the rules' own verdicts, or any given table.
+rejected urls is over ``REJECT`` is rejected with all its urls. Below ``LEVELS``, a template with just the labels of the one above
+is passed over, or else a long way would count them again at every step. Labels are the rules' own verdicts, or any given table.
 
 Counting is by host and template with partial sums, so a host with a third of all urls is spread over all tasks. Nothing is
 collected or broadcast but the rules.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from riftspan.llm.common import only, stored, table
 
-#: Segments of a path that the tree tells apart.
+#: Segments from which a path alone below its node leaves the tree.
 LEVELS = 4
 #: Distinct segments from which a position can be variable, and urls a segment from which it is not.
 VARIABLE, REPEATS = 20, 20.0
@@ -151,8 +153,18 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFra
     )
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     current = stored(counted.withColumn("segments", segments).withColumn("node", F.lit("")).withColumn("trail", F.array(F.lit(""))))
-    for level in range(levels):
-        if current.filter(F.size("segments") > level).isEmpty():
+    done, level = [], 0
+    while True:
+        more = F.size("segments") > level
+        if level >= levels:
+            sizes = current.filter(more).groupBy("host", "node").agg(F.count(F.lit(1)).alias("paths"))
+            rest = F.concat("node", F.lit("/"), F.array_join(F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0))), "/"), F.lit("/**"))
+            left = stored(current.join(sizes, ["host", "node"], "left").withColumn("alone", more & (F.col("paths") == 1)))
+            node = F.when(F.col("alone"), rest).otherwise(F.col("node"))
+            trail = F.when(F.col("alone"), F.concat("trail", F.array(node))).otherwise(F.col("trail"))
+            done.append(left.filter(F.col("alone") | ~more).select("host", "path", "n", "seen", "bad", "segments", node.alias("node"), trail.alias("trail")))
+            current = left.filter(~F.col("alone") & more).drop("paths", "alone")
+        if current.filter(more).isEmpty():
             break
         branches = _grow(current, level)
         left = current.withColumn("segment", F.get("segments", F.lit(level)))
@@ -160,9 +172,9 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFra
         node = F.when(F.col("branch").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), "branch"))
         trail = F.when(F.col("branch").isNull(), F.col("trail")).otherwise(F.concat("trail", F.array(node)))
         current = stored(joined.select("host", "path", "n", "seen", "bad", "segments", node.alias("node"), trail.alias("trail")))
-    deeper = F.size("segments") > levels
-    tail = F.concat("node", F.lit("/**"))
-    current = current.withColumn("trail", F.when(deeper, F.concat("trail", F.array(tail))).otherwise(F.col("trail"))).withColumn("node", F.when(deeper, tail).otherwise(F.col("node")))
+        level += 1
+    for part in done:
+        current = current.unionByName(part)
     labelled = current.select("host", F.posexplode("trail").alias("depth", "template"), "seen", "bad")
     sums = labelled.groupBy("host", "template", "depth").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
     return current.select("host", "path", F.col("node").alias("template"), "trail"), sums
@@ -174,12 +186,19 @@ def smoothed_shares(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
     sums = stored(sums)
     everything = sums.filter("depth = 0").agg(F.sum("seen").alias("s"), F.sum("bad").alias("b")).first()
     start = ((everything["b"] or 0) + 1.0) / ((everything["s"] or 0) + 2.0)
-    # One row per template and step of its trail, host first; the trail has levels + 2 steps at most.
+    # One row per template and step of its trail, host first; the trail has as many steps as the path has segments, and one more, at most.
     steps = paths.select("host", "template", "trail").distinct().select("host", F.col("template").alias("leaf"), F.posexplode("trail").alias("depth", "template"))
     path_sums = steps.join(sums, ["host", "template", "depth"]).groupBy("host", "leaf").agg(
         F.sort_array(F.collect_list(F.struct("depth", "seen", "bad"))).alias("sums")
     )
-    share = F.aggregate("sums", F.lit(start), lambda p, s: (s["bad"] + F.lit(PRIOR) * p) / (s["seen"] + F.lit(PRIOR)))
+    none = F.struct(F.lit(start).cast("double").alias("p"), F.lit(-1).cast("bigint").alias("seen"), F.lit(-1).cast("bigint").alias("bad"))
+
+    def smoothed(above: Column, s: Column) -> Column:
+        again = (s["depth"] > levels) & (s["seen"] == above["seen"]) & (s["bad"] == above["bad"])
+        p = F.when(again, above["p"]).otherwise((s["bad"] + F.lit(PRIOR) * above["p"]) / (s["seen"] + F.lit(PRIOR)))
+        return F.struct(p.alias("p"), s["seen"].alias("seen"), s["bad"].alias("bad"))
+
+    share = F.aggregate("sums", none, smoothed, lambda x: x["p"])
     leaves = path_sums.select("host", F.col("leaf").alias("template"), share.alias("rejected_share"))
     return paths.select("host", "path", "template").join(leaves, ["host", "template"])
 

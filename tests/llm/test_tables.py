@@ -56,6 +56,21 @@ def test_variable_segments_and_purity(spark):
     assert got[3001]["template"] == ""
 
 
+def test_paths_are_told_apart_beyond_the_fourth_segment(spark):
+    deep = "/2024/05/12/site"
+    rows = [(1000 * k + i, f"http://news.net{deep}/{name}/{i}") for k, name in enumerate(("spam", "news")) for i in range(200)]
+    rows += [(5000, f"http://news.net{deep}/alone/x/y/z"), (5001, f"http://news.net{deep}"), (5002, f"http://far.net{'/a' * 6}/b"), (5003, f"http://far.net{'/a' * 6}/c")]
+    labels = [("news.net", f"{deep}/{name}/{i}", bad) for name, bad in (("spam", 1), ("news", 0)) for i in range(100)] + [("far.net", "/a" * 6 + "/b", 1)]
+    labels = spark.createDataFrame(labels, "host string, path string, label int")
+    got = {r["page_id"]: r for r in urls.judge(pages(spark, rows), [], labels).collect()}
+    assert len(got) == len(rows)
+    assert {got[i]["template"] for i in range(200)} == {deep + "/spam/{digits}"} and {got[1000 + i]["template"] for i in range(200)} == {deep + "/news/{digits}"}
+    assert all(got[i]["verdict"] == "block" and got[1000 + i]["verdict"] == "allow" for i in range(200))
+    assert got[5000]["template"] == deep + "/alone/x/y/z/**" and got[5001]["template"] == deep
+    # The one label counts for the host and four segments, not again for each further one.
+    assert got[5003]["rejected_share"] == pytest.approx(1 - (1 - 102 / 203) * (5 / 6) ** 5)
+
+
 def records(spark, rows):
     return spark.createDataFrame(rows, "file string, at long, body string, node string, hash string, bytes long")
 
