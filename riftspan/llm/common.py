@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,14 +66,24 @@ def batch_of(schema: pa.Schema, **columns: Any) -> pa.RecordBatch:
 
 def slices(texts: list[str], characters: int) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``texts`` of about so many characters; a single longer text is a range of its own."""
+    yield from ranges([len(t) for t in texts], characters)
+
+
+def characters(batch: pa.RecordBatch, column: str) -> list[int]:
+    """Code points of each text of a batch, without unpacking the texts; null counts as empty."""
+    return pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_pylist()
+
+
+def ranges(lengths: list[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of rows whose lengths add up to ``limit`` at most; a single longer row is a range of its own."""
     begin = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > characters:
+    for i, n in enumerate(lengths):
+        if size and size + n > limit:
             yield begin, i
             begin, size = i, 0
-        size += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(lengths):
+        yield begin, len(lengths)
 
 
 def shared(spark: SparkSession, value: Any) -> Broadcast:

@@ -8,7 +8,8 @@ array lookups. Documents are independent: no shuffle, and a lost task is simply
 
 The table is built per block of about ``BLOCK`` characters, not over the whole corpus: over
 0.5 GB of documents a corpus-wide table has 8 million chunks, and carrying every block's chunks
-there and back by two shuffles costs more than segmenting them in place.
+there and back by two shuffles costs more than segmenting them in place. What a task holds is the
+text of a block once, its table, and the results of ``OUTPUT`` characters.
 
 Defined results: a null text counts as empty and has the begin and end ids only; repeated rows give
 repeated results; an empty table gives an empty result; other columns are passed over.
@@ -25,11 +26,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from riftspan.llm.common import batch_of, only, slices, table, texts_of
+from riftspan.llm.common import batch_of, characters, only, ranges, table
 
 MARKER = "▁"
 #: Characters of a block; a longer text is a block of its own.
-BLOCK = 8_000_000
+BLOCK = 4_000_000
+#: Characters whose ids and decoded texts are held at once and leave as one batch.
+OUTPUT = 500_000
+#: Chunks segmented in one call, which bounds the lists that the encoder returns.
+CALL = 50_000
 #: A run of markers (as spaces) and what follows up to the next run.
 CHUNK = re.compile(" +[^ ]*")
 
@@ -58,28 +63,35 @@ class ChunkTable:
 
     def __init__(self, processor) -> None:
         self.processor = processor
+        self.marker = processor.piece_to_id(MARKER)
         self.codes: defaultdict[str, int] = defaultdict()
         self.codes.default_factory = self.codes.__len__
 
     def positions(self, text: str) -> np.ndarray:
         """Codes of the chunks of a text, in order."""
         if not text:
-            return np.empty(0, np.int64)
-        return np.array(list(map(self.codes.__getitem__, CHUNK.findall(" " + text.replace(MARKER, " ")))), np.int64)
+            return np.empty(0, np.int32)
+        return np.fromiter(map(self.codes.__getitem__, CHUNK.findall(" " + text.replace(MARKER, " "))), np.int32)
 
     def segment(self) -> None:
         """Segment each distinct chunk once."""
         rests = [c[1:] for c in self.codes]  # the encoder itself puts the first marker
-        ids = self.processor.encode(rests, num_threads=1)
         lone = self.codes.get(" ")
-        if lone is not None:  # a marker at the end of a text; alone it would be no text to the encoder
-            ids[lone] = [self.processor.piece_to_id(MARKER)]
-        self.decoded = self.processor.decode(ids, num_threads=1)
+        self.codes.clear()
+        self.decoded: list[str] = []
+        flat, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int32)]
+        for first in range(0, len(rests), CALL):
+            ids = self.processor.encode(rests[first : first + CALL], num_threads=1)
+            if lone is not None and first <= lone < first + CALL:
+                ids[lone - first] = [self.marker]  # at the end of a text; alone it would be no text to the encoder
+            self.decoded += self.processor.decode(ids, num_threads=1)
+            lengths.append(np.fromiter(map(len, ids), np.int32, len(ids)))
+            flat.append(np.fromiter((i for own in ids for i in own), np.uint32, int(lengths[-1].sum())))
         if lone is not None:
             self.decoded[lone] = ""
-        self.lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.lengths = np.concatenate(lengths).astype(np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.flat = np.fromiter((i for own in ids for i in own), np.uint32, int(self.lengths.sum()))
+        self.flat = np.concatenate(flat)
 
     def ids(self, positions: np.ndarray) -> np.ndarray:
         """Ids of a text from its chunk codes."""
@@ -92,6 +104,22 @@ class ChunkTable:
         return " ".join(map(self.decoded.__getitem__, positions.tolist()))
 
 
+def _columns(chunks: ChunkTable, rows: list[np.ndarray], begin: np.ndarray, end: np.ndarray, digests: bool) -> dict[str, pa.Array]:
+    """Result columns of a few texts."""
+    encoded = [np.concatenate([begin, chunks.ids(r), end]).astype("<u4") for r in rows]
+    decoded = map(chunks.text, rows)
+    counts = pa.array([len(i) for i in encoded], pa.int64())
+    if digests:
+        return {
+            "n_tokens": counts,
+            "ids_sha256": pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in encoded], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+        }
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in encoded])]).astype(np.int32)
+    flat = pa.array(np.concatenate(encoded).view("<i4"), pa.int32())
+    return {"n_tokens": counts, "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat), "decoded": pa.array(decoded, pa.string())}
+
+
 def _encoder(model: bytes, id_column: str, text_column: str, digests: bool):
     schema = pa.schema(_fields(digests, id_column, None))
 
@@ -101,23 +129,16 @@ def _encoder(model: bytes, id_column: str, text_column: str, digests: bool):
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         begin, end = (np.array([i], np.uint32) for i in (processor.bos_id(), processor.eos_id()))
         for whole in batches:
-            for first, stop in slices(texts_of(whole, text_column), BLOCK):
-                batch = whole.slice(first, stop - first)
+            for first, stop in ranges(characters(whole, text_column), BLOCK):
+                block = whole.slice(first, stop - first)
                 chunks = ChunkTable(processor)
-                rows = [chunks.positions(t) for t in texts_of(batch, text_column)]
+                rows = [chunks.positions(t.as_py() or "") for t in block.column(text_column)]
                 chunks.segment()
-                encoded = [np.concatenate([begin, chunks.ids(r), end]).astype("<u4") for r in rows]
-                decoded = (chunks.text(r) for r in rows)
-                keys = batch.column(id_column)
-                counts = [len(i) for i in encoded]
-                if digests:
-                    columns = {
-                        "ids_sha256": [hashlib.sha256(i.tobytes()).hexdigest() for i in encoded],
-                        "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in decoded],
-                    }
-                else:
-                    columns = {"ids": [i.astype("i4") for i in encoded], "decoded": list(decoded)}
-                yield batch_of(schema.set(0, pa.field(id_column, keys.type)), **{id_column: keys, "n_tokens": counts}, **columns)
+                for begin_row, end_row in ranges(characters(block, text_column), OUTPUT):
+                    own = rows[begin_row:end_row]
+                    rows[begin_row:end_row] = [None] * len(own)
+                    keys = block.column(id_column).slice(begin_row, len(own))
+                    yield batch_of(schema.set(0, pa.field(id_column, keys.type)), **{id_column: keys}, **_columns(chunks, own, begin, end, digests))
 
     return run
 
