@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riftspan.llm import attribution, cosine, exact, language, merkle, mixing, pieces, simhash, toxicity, urls
+from riftspan.llm import attribution, cosine, exact, language, merkle, mixing, pieces, simhash, spelling, toxicity, urls
 
 QUERIES = {
     "op1_url_templates": urls.op1_url_templates,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_mixing": mixing.op10_mixing,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLES = {"op2_fixity_audit": merkle.ORACLE, "op8_exact_dedup": exact.ORACLE}
