@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riftspan.llm import attribution, collocations, cosine, exact, language, merkle, mixing, pieces, simhash, spelling, toxicity, urls
+from riftspan.llm import attribution, chat, collocations, cosine, exact, language, merkle, mixing, pieces, simhash, spelling, toxicity, urls
 
 QUERIES = {
     "op1_url_templates": urls.op1_url_templates,
@@ -15,8 +15,9 @@ QUERIES = {
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_mixing": mixing.op10_mixing,
+    "op11_chat": chat.op11_chat,
     "op12_collocations": collocations.op12_collocations,
     "op13_spelling": spelling.op13_spelling,
 }
 
-ORACLES = {"op2_fixity_audit": merkle.ORACLE, "op8_exact_dedup": exact.ORACLE, "op12_collocations": collocations.ORACLE}
+ORACLES = {"op2_fixity_audit": merkle.ORACLE, "op8_exact_dedup": exact.ORACLE, "op11_chat": chat.ORACLE, "op12_collocations": collocations.ORACLE}
