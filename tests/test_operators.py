@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riftspan.functions.interval import int_div
 from riftspan.operators import components as cc
-from riftspan.operators.blocked import drop_blocked
+from riftspan.operators.blocked import drop_blocked, region_index
 from riftspan.operators.ordered import consecutive_runs, global_row_number, running_total
 from riftspan.operators.prefix import count_overlaps
 from riftspan.operators.quantiles import exact_quantiles, exact_sum, integer_median, order_key
@@ -272,3 +272,25 @@ def test_spine_covers_contigs(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1000), ("b", 950), ("c", 1), ("d", 0)], "contig string, length bigint")
     got = sorted((r["contig"], r["window_id"]) for r in window_spine(df, ["contig"], "length", 100).collect())
     assert got == [("a", i) for i in range(10)] + [("b", i) for i in range(10)] + [("c", 0)]
+
+
+def test_blocked_regions_of_any_length_and_depth(spark):
+    rng = random.Random(8)
+    regions = [(rng.choice("ab"), s, s + rng.choice([0, 1, 5, 60, 900])) for s in (rng.randrange(-5, 3000) for _ in range(60))]
+    rows = [(i, rng.choice(["a", "b", "c", None]), s, s + rng.choice([0, 1, 3, 40, 2500])) for i, s in enumerate(rng.randrange(-60, 5000) for _ in range(900))]
+    rows += [(1000, "a", None, 5), (1001, "a", 5, None)]
+    a = spark.createDataFrame(rows, "i int, contig string, s bigint, e bigint")
+    b = spark.createDataFrame([*regions, ("a", 9, 3), (None, 1, 2)], "contig string, start bigint, end bigint")
+    kept = drop_blocked(a, [(F.col("contig"), F.col("s"), F.col("e"))], b, width=64)
+    expected = [i for i, c, s, e in rows if None in (s, e) or not any(c == g and s < f and t < e for g, t, f in regions)]
+    assert sorted(r["i"] for r in kept.collect()) == expected
+    assert drop_blocked(a, [(F.col("contig"), F.col("s"), F.col("e"))], b.limit(0)).count() == len(rows)
+
+
+def test_index_of_regions_does_not_grow_with_their_length(spark):
+    def rows(longest):
+        nested = [("a", i * 10, i * 10 + longest) for i in range(500)]
+        b = spark.createDataFrame([*nested, ("a", 1_000_000, 1_000_001)], "contig string, start bigint, end bigint")
+        return region_index(b, 100).count()
+
+    assert rows(1) == rows(900_000) == 10_001
