@@ -861,26 +861,38 @@ def contig_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "norm_depth",
-    with_cte(
-        f""", c AS (SELECT row_id, chrom, pos AS lo, end2 AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')),
+def _norm_depth_sql(end: str) -> str:
+    return with_cte(
+        f""", c AS (SELECT row_id, chrom, pos AS lo, {end} AS hi FROM svs WHERE sv_type IN ('DEL', 'DUP', 'CNV')),
           j AS (SELECT row_id, cov, mapq, SUM(CASE WHEN mapq >= 55 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id) AS good
             FROM c JOIN depth d ON d.contig = c.chrom AND d.start < c.hi AND c.lo < d.stop)
           SELECT row_id, ROUND(quantile_cont(cov, 0.5) / (SELECT quantile_cont(cov, 0.5) FROM depth WHERE contig IN ('F', 'O')), 6) AS norm_cov
           FROM j WHERE good < {MIN_BINS} OR mapq >= 55 GROUP BY row_id""",
         "svs",
         "depth",
-    ).replace(") , c AS", "), c AS"),
-)
-def norm_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Median depth inside copy-number variants, relative to the autosomes."""
+    ).replace(") , c AS", "), c AS")
+
+
+def _norm_depth(spark: SparkSession, sf_dir: str, svs: DataFrame, reach: int) -> DataFrame:
     windows = bind.depth(spark, sf_dir)
     median = exact_quantiles(windows.filter(F.col("contig").isin("F", "O")), [], "cov", {"m": 0.5}).scalar()
-    ratio = an.depth_ratio(bind.svs(spark, sf_dir), windows, median, None, MIN_BINS, 600)
+    ratio = an.depth_ratio(svs, windows, median, None, MIN_BINS, reach)
     return ratio.select("row_id", F.round("norm_cov", 6).alias("norm_cov"))
 
 
+@register("norm_depth", _norm_depth_sql("end2"))
+def norm_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median depth inside copy-number variants, relative to the autosomes."""
+    return _norm_depth(spark, sf_dir, bind.svs(spark, sf_dir), an.REACH)
+
+
+@register("norm_depth_long", _norm_depth_sql("pos + sv_len * sv_len"))
+def norm_depth_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for variants of thousands of windows, most of which are too long for one task's block."""
+    svs = bind.svs(spark, sf_dir).withColumn("end2", F.col("pos") + F.col("sv_len") * F.col("sv_len"))
+    return _norm_depth(spark, sf_dir, svs, 1 << 15)
+
+
 @register(
     "centre_crop",
     with_cte(

@@ -33,26 +33,31 @@ class RangeCount:
     hi: Column
 
 
-def points_below(marks: DataFrame, by: Sequence[str], width: int = BIN_WIDTH) -> DataFrame:
-    """For every coordinate of ``marks``: ``(*by, _x, _below)``, the summed ``_n`` of smaller ones.
+def sums_below(marks: DataFrame, by: Sequence[str], columns: Sequence[str], width: int = BIN_WIDTH) -> DataFrame:
+    """For every coordinate of ``marks``: ``by``, ``_x``, and the sum of each of ``columns`` over smaller coordinates.
 
-    ``marks`` has the columns ``by``, ``_x`` (bigint) and ``_n``. Bounds enter with ``_n = 0``.
+    ``marks`` has the columns ``by``, ``_x`` (bigint) and ``columns``. Bounds enter with zeros.
     """
     by = list(by)
     # Joins below would infer these conditions for one use of ``per_x`` only, and it would be computed twice.
     known = marks.dropna(subset=[*by, "_x"])
     per_x = (
         known.groupBy(*by, "_x")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(*[F.sum(c).alias(c) for c in columns])
         .withColumn("_bin", int_div(F.col("_x"), width))
     )
     in_bin = W.partitionBy(*by, "_bin").orderBy("_x").rowsBetween(W.unboundedPreceding, -1)
-    local = per_x.select(*by, "_bin", "_x", F.coalesce(F.sum("_n").over(in_bin), F.lit(0)).alias("_local"))
+    local = per_x.select(*by, "_bin", "_x", *[F.coalesce(F.sum(c).over(in_bin), F.lit(0)).alias(f"_local_{c}") for c in columns])
     # One row per bin: bounded by the length of the coordinate axis, not by the number of points.
     earlier = W.partitionBy(*by).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = per_x.groupBy(*by, "_bin").agg(F.sum("_n").alias("_n"))
-    bases = bins.select(*by, "_bin", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    return local.join(bases, [*by, "_bin"]).select(*by, "_x", (F.col("_base") + F.col("_local")).alias("_below"))
+    bins = per_x.groupBy(*by, "_bin").agg(*[F.sum(c).alias(c) for c in columns])
+    bases = bins.select(*by, "_bin", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_base_{c}") for c in columns])
+    return local.join(bases, [*by, "_bin"]).select(*by, "_x", *[(F.col(f"_base_{c}") + F.col(f"_local_{c}")).alias(c) for c in columns])
+
+
+def points_below(marks: DataFrame, by: Sequence[str], width: int = BIN_WIDTH) -> DataFrame:
+    """For every coordinate of ``marks``: ``(*by, _x, _below)``, the summed ``_n`` of smaller ones."""
+    return sums_below(marks, by, ["_n"], width).withColumnRenamed("_n", "_below")
 
 
 def count_in_ranges(

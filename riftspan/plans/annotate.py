@@ -13,6 +13,7 @@ from riftspan.functions.interval import centre_crop, clamp_sub
 from riftspan.operators.blocked import drop_blocked
 from riftspan.operators.prefix import RangeCount, count_in_ranges
 from riftspan.operators.range_join import overlap_join
+from riftspan.operators.range_quantile import REACH, overlap_medians
 
 CNV_TYPES = ["DEL", "DUP", "CNV"]
 #: Windows with at least this mean mapping quality are preferred for depth.
@@ -132,29 +133,23 @@ def _cnv_sites(svs: DataFrame, limit: int | None, types: Sequence[str] = CNV_TYP
 
 
 def depth_ratio(
-    svs: DataFrame, windows: DataFrame, autosome_median: float | Column, limit: int | None, min_bins: int, bin_width: int = 10_000
+    svs: DataFrame, windows: DataFrame, autosome_median: float | Column, limit: int | None, min_bins: int, reach: int = REACH
 ) -> DataFrame:
     """``row_id``, ``norm_cov`` of copy-number variants that have depth windows.
 
     ``windows`` has ``contig``, ``start``, ``end``, ``cov``, ``mapq``. Only well-mapped windows are
-    used if there are at least ``min_bins`` of them. A variant has at most as many windows as its contig,
-    which bounds what the built-in exact percentile holds per group.
+    used if there are at least ``min_bins`` of them. Medians are taken without listing the windows of a variant.
     """
     cnvs, sites = _cnv_sites(svs, limit)
-    pairs = overlap_join(
-        windows.select("contig", "start", "end", F.col("cov").cast("double").alias("cov"), F.col("mapq").cast("double").alias("mapq")),
-        sites,
-        ["contig"],
-        ("start", "end"),
-        ("lo", "hi"),
-        bin_width,
-    )
-    good = F.col("mapq") >= GOOD_MAPQ
+    good = F.when(F.col("mapq").cast("double") >= GOOD_MAPQ, F.array(F.lit("all"), F.lit("good"))).otherwise(F.array(F.lit("all")))
+    items = windows.select("contig", F.explode(good).alias("series"), "start", "end", F.col("cov").cast("double").alias("value"))
+    found = overlap_medians(sites.select("contig", "lo", "hi"), items, "contig", reach)
+    well_mapped = F.col("series") == "good"
     median = F.lit(autosome_median) if isinstance(autosome_median, (int, float)) else autosome_median
-    per_site = pairs.groupBy("contig", "lo", "hi").agg(
-        F.count_if(good).alias("_good"),
-        F.percentile(F.when(good, F.col("cov")), 0.5).alias("_of_good"),
-        F.percentile("cov", 0.5).alias("_of_all"),
+    per_site = found.groupBy("contig", "lo", "hi").agg(
+        F.coalesce(F.max(F.when(well_mapped, F.col("n"))), F.lit(0)).alias("_good"),
+        F.max(F.when(well_mapped, F.col("median"))).alias("_of_good"),
+        F.max(F.when(~well_mapped, F.col("median"))).alias("_of_all"),
     )
     ratio = per_site.select(
         "contig",
