@@ -953,19 +953,29 @@ def roh_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    "baf_list",
-    _with_snvs(
+def _baf_list_sql(end: str) -> str:
+    text = _with_snvs(
         """ SELECT row_id, COALESCE(string_agg(CASE WHEN h.pos IS NULL THEN NULL WHEN a0 + a1 > 0 THEN printf('%.5f', CAST(a1 AS DOUBLE) / (a0 + a1)) ELSE 'NaN' END, ';' ORDER BY h.pos, ord), '') AS bafs
         FROM c LEFT JOIN h ON contig = chrom AND h.pos >= lo AND h.pos < hi WHERE c.sv_type IN ('DUP', 'CNV') GROUP BY row_id"""
-    ),
-)
+    )
+    return text.replace("end2 AS hi", f"{end} AS hi")
+
+
+@register("baf_list", _baf_list_sql("end2"))
 def baf_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allele fractions inside duplications and CNVs."""
     snvs = an.het_snvs(bind.variants(spark, sf_dir), ("ord",))
     return an.baf_lists(bind.svs(spark, sf_dir), snvs, ["ord"], None)
 
 
+@register("baf_list_long", _baf_list_sql("pos + sv_len * sv_len"))
+def baf_list_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for long variants that lie within each other."""
+    snvs = an.het_snvs(bind.variants(spark, sf_dir), ("ord",))
+    svs = bind.svs(spark, sf_dir).withColumn("end2", F.col("pos") + F.col("sv_len") * F.col("sv_len"))
+    return an.baf_lists(svs, snvs, ["ord"], None)
+
+
 # --- statistics ------------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from riftspan.operators.blocked import drop_blocked
 from riftspan.operators.prefix import RangeCount, count_in_ranges
 from riftspan.operators.range_join import overlap_join
 from riftspan.operators.range_quantile import REACH, overlap_medians
+from riftspan.operators.range_text import joined_in_ranges
 
 CNV_TYPES = ["DEL", "DUP", "CNV"]
 #: Windows with at least this mean mapping quality are preferred for depth.
@@ -208,18 +209,14 @@ def snv_counts(svs: DataFrame, snvs: DataFrame, limit: int | None, compat: bool
     )
 
 
-def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int | None, bin_width: int = 10_000) -> DataFrame:
+def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int | None) -> DataFrame:
     """``row_id``, ``bafs``: allele fractions inside duplications and CNVs, by position, joined by ``;``.
 
-    A list is one text by the format of the file; it holds at most the heterozygous SNVs of one contig of one sample.
+    A list is one text by the format of the file. Nested variants share the fragments of it that they have in common.
     """
     cnvs, sites = _cnv_sites(svs, limit, ["DUP", "CNV"])
-    points = snvs.withColumn("_stop", F.col("pos") + 1)
-    pairs = overlap_join(points, sites, ["contig"], ("pos", "_stop"), ("lo", "hi"), bin_width)
-    values = F.array_sort(F.collect_list(F.struct("pos", *order, "baf")))
-    per_site = pairs.groupBy("contig", "lo", "hi").agg(
-        F.array_join(F.transform(values, lambda v: F.format_string("%.5f", v["baf"])), ";").alias("bafs")
-    )
+    fraction = F.format_string("%.5f", F.col("baf"))
+    per_site = joined_in_ranges(sites.select("contig", "lo", "hi"), snvs, "contig", "pos", order, fraction, "bafs")
     return cnvs.join(per_site, ["contig", "lo", "hi"], "left").select(
         "row_id", F.coalesce("bafs", F.lit("")).alias("bafs")
     )
