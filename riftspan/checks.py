@@ -620,6 +620,23 @@ def sv_clusters_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cu.assign_clusters(bind.svs(spark, sf_dir), replace(HALF_OVERLAP, sample_overlap=0.5)).select("row_id", "cluster")
 
 
+_SETS_SQL = (
+    _with_labels("SELECT row_id, cluster FROM labels")
+    .replace("iv AS (SELECT *,", "iv AS (SELECT *, list_distinct(list_transform(range(0, row_id % 20 + 1), lambda k: (sv_len + k * k * 7) % 40)) AS samples,")
+    .replace(_OVERLAP_EDGES, _OVERLAP_EDGES + " AND 2 * len(list_intersect(a.samples, b.samples)) >= greatest(len(a.samples), len(b.samples))")
+)
+
+
+@register("sv_clusters_sets", _SETS_SQL)
+def sv_clusters_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters by overlap of variants with up to twenty samples, half of which must be the same."""
+    svs = bind.svs(spark, sf_dir)
+    sample = lambda k: F.concat(F.lit("S"), ((F.col("sv_len") + k * k * 7) % 40).cast("string"))
+    call = lambda k: F.get("calls", F.lit(0)).withField("sample", sample(k))
+    svs = svs.withColumn("calls", F.transform(F.sequence(F.lit(0).cast("long"), F.col("row_id") % 20), call))
+    return cu.assign_clusters(svs, replace(HALF_OVERLAP, sample_overlap=0.5)).select("row_id", "cluster")
+
+
 @register(
     "cluster_callers",
     _with_labels(

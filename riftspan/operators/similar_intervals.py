@@ -7,6 +7,8 @@ are similar to each other by construction; such a *tile* is linked as a star and
 its members. Tiles are compared by their bounding boxes, which mostly decides the question. An undecided
 pair of tiles is cut into quarters that are compared by their boxes in turn; only parts with
 at most ``COMPARED`` pairs of members between them are compared member by member.
+
+Where sets must be similar too, a tile holds one set, and tiles meet only where the prefixes of their sets do.
 """
 
 from __future__ import annotations
@@ -84,12 +86,39 @@ def _box_tests(min_overlap: float, max_shift: int | None) -> tuple[Column, Colum
     return always, maybe
 
 
-def _tile_pairs(tiles: DataFrame, by: Sequence[str], min_overlap: float, max_shift: int | None) -> DataFrame:
-    """Pairs of tiles that may hold similar members, each once, with ``_always``."""
+def with_prefixes(tiles: DataFrame, least: float) -> DataFrame:
+    """``tiles`` with ``_prefix``: the rarest elements of ``_set``, so many that sets which share enough meet in one of them.
+
+    Two sets share at least ``least`` of the larger one, so at least as much of either. Of a set of ``n`` elements at most
+    ``n - ceil(least * n)`` may be missing from the other; with one more of them, in an order that all sets keep to, the two
+    prefixes meet. Rare elements come first, so common ones join few sets. An empty set has a mark of its own.
+    """
+    sets = tiles.groupBy("_set").agg(F.count(F.lit(1)).alias("_uses"))
+    elements = sets.select("_set", "_uses", F.explode("_set").alias("_element"))
+    rarity = elements.groupBy("_element").agg(F.sum("_uses").alias("_n"))
+    token = F.struct("_n", F.col("_element").cast("string").alias("_element"))
+    ordered = elements.join(rarity, "_element").groupBy("_set").agg(F.array_sort(F.collect_list(token)).alias("_ordered"))
+    n = F.size("_ordered")
+    missing = n - F.greatest(F.ceil(n * F.lit(least - 1e-6)).cast("int"), F.lit(1))
+    prefixes = ordered.select("_set", F.slice("_ordered", 1, missing + 1).alias("_prefix"))
+    none = F.array(F.struct(F.lit(-1).cast("long").alias("_n"), F.lit("").alias("_element")))
+    return tiles.join(prefixes, "_set", "left").withColumn("_prefix", F.coalesce("_prefix", none))
+
+
+def _tile_pairs(
+    tiles: DataFrame, by: Sequence[str], min_overlap: float, max_shift: int | None, least_shared: float | None = None
+) -> DataFrame:
+    """Pairs of tiles that may hold similar members, each once, with ``_always``.
+
+    With ``least_shared``, tiles with prefixes of sets pair up only if those meet, in the first element that both have, and if
+    neither set is too small for the other.
+    """
     by = list(by)
-    left = tiles
+    left = tiles.drop("_set", "_prefix") if least_shared is None else tiles.withColumn("_token", F.explode("_prefix")).withColumn("_size", F.size("_set")).drop("_set")
+    own = [] if least_shared is None else [F.col("_prefix").alias("_other_prefix"), F.size("_set").alias("_other_size"), F.explode("_prefix").alias("_token")]
     right = tiles.select(
         *by,
+        *own,
         F.col("_level").alias("_rlevel"),
         F.col("_tile").alias("_other"),
         F.col("_members").alias("_others"),
@@ -130,12 +159,17 @@ def _tile_pairs(tiles: DataFrame, by: Sequence[str], min_overlap: float, max_shi
             ),
         )
     always, maybe = _box_tests(min_overlap, max_shift)
+    residual = (F.col("_tile") < F.col("_other")) & maybe
+    if least_shared is not None:
+        smaller, larger = (f("_size", "_other_size").cast("double") for f in (F.least, F.greatest))
+        residual = residual & (smaller >= larger * F.lit(least_shared - 1e-6))
+        residual = residual & (F.array_min(F.array_intersect("_prefix", "_other_prefix")) == F.col("_token"))
     joined = salted_join(
         left.drop("_level", "_cs", "_ce"),
         right.drop("_rlevel"),
-        [*by, "_lv", "_bin"],
+        [*by, "_lv", "_bin", *([] if least_shared is None else ["_token"])],
         ["_tile"],
-        residual=(F.col("_tile") < F.col("_other")) & maybe,
+        residual=residual,
     )
     compared = (F.col("_members") * F.col("_others")).cast("double")
     return joined.select("_tile", "_other", always.alias("_always"), compared.alias("_compared"))
@@ -210,8 +244,8 @@ def cluster_similar(
     """``df`` with the cluster of each row in ``name``: the least ``row_id`` among rows linked by similarity.
 
     Only rows with equal ``by`` columns are compared. If ``set_column`` (an array) is given, the
-    shared part of both sets must reach ``min_set_overlap`` as well. Empty intervals are similar to
-    nothing.
+    shared part of both sets must reach ``min_set_overlap`` of the larger one as well; a NULL set is empty, and two
+    empty sets share enough. Empty intervals are similar to nothing.
     """
     if min_overlap <= 0 and max_shift is None:
         raise ValueError("either a reciprocal overlap or a breakpoint distance must limit clustering")
@@ -221,7 +255,7 @@ def cluster_similar(
     cell = _cell(level, min_overlap, max_shift)
     placed = df.withColumns(
         {
-            **({"_set": F.array_sort(F.array_distinct(F.col(set_column)))} if set_column else {}),
+            **({"_set": F.coalesce(F.array_sort(F.array_distinct(F.col(set_column))), F.array().cast(df.schema[set_column].dataType))} if set_column else {}),
             "_level": level,
             "_cs": F.floor(start / cell).cast("long"),
             "_ce": F.floor(end / cell).cast("long"),
@@ -233,7 +267,10 @@ def cluster_similar(
         F.col(row_id).alias("_id"), *tile_key, start.alias("_s"), end.alias("_e")
     )
     tiles = reliable_checkpoint(_tiles(members, tile_by))
-    pairs = _tile_pairs(tiles, by, min_overlap, max_shift)
+    if set_column and min_set_overlap > 0:
+        pairs = _tile_pairs(reliable_checkpoint(with_prefixes(tiles, float(min_set_overlap))), by, min_overlap, max_shift, float(min_set_overlap))
+    else:
+        pairs = _tile_pairs(tiles, by, min_overlap, max_shift)
     if set_column:
         sets = tiles.select("_tile", "_set")
         shared = F.size(F.array_intersect("_set", "_other_set"))

@@ -15,7 +15,7 @@ from riftspan.operators.ordered import consecutive_runs, global_row_number, runn
 from riftspan.operators.prefix import count_overlaps
 from riftspan.operators.quantiles import exact_quantiles, exact_sum, integer_median, order_key
 from riftspan.operators.range_join import overlap_join
-from riftspan.operators.similar_intervals import cluster_similar
+from riftspan.operators.similar_intervals import cluster_similar, with_prefixes
 from riftspan.operators.skew import salted_join
 from riftspan.operators.statistics import summary, winsorize
 from riftspan.operators.windows import depth_by_window, window_spine
@@ -161,6 +161,41 @@ def test_clusters_equal_pairwise_linkage(spark, share, shift, compared):
     assert got == brute_components(edges)
 
 
+@pytest.mark.parametrize("least", [0.5, 0.7, 1.0, 0.01, 0.0])
+def test_clusters_of_similar_sets_equal_pairwise_linkage(spark, least):
+    rng = random.Random(9)
+    names = [f"s{i}" for i in range(30)]
+    weights = [1 / (i + 1) for i in range(30)]
+    rows = []
+    for i, c, s, e in intervals(rng, 200, hot_share=0.4, span=600, longest=200):
+        own = rng.choice([None, [], sorted(set(rng.choices(names, weights, k=rng.randrange(1, 20))))])
+        rows.append((i, c, s, max(e, s + 1), own * rng.choice([1, 2]) if own else own))
+    df = spark.createDataFrame(rows, "i bigint, c string, s bigint, e bigint, names array<string>")
+    found = cluster_similar(df, "i", ["c"], ("s", "e"), 0.6, None, "names", least).collect()
+
+    def enough(a, b):
+        a, b = set(a or ()), set(b or ())
+        larger = max(len(a), len(b))
+        return not larger or np.float32(len(a & b) / larger) >= np.float32(least)
+
+    edges = [(x[0], y[0]) for x in rows for y in rows if x[1] == y[1] and similar(x, y, 0.6, None) and enough(x[4], y[4])]
+    assert {r["i"]: r["cluster"] for r in found} == brute_components(edges)
+
+
+def test_sets_meet_by_their_rarest_elements(spark):
+    rng = random.Random(4)
+    sets = {tuple(sorted(rng.sample(range(40), rng.randrange(0, 12)))) for _ in range(300)}
+    for least in (0.3, 0.5, 0.9):
+        df = spark.createDataFrame([(list(s),) for s in sets], "_set array<int>")
+        prefix = {tuple(r["_set"]): {p["_element"] for p in r["_prefix"]} for r in with_prefixes(df, least).collect()}
+        assert prefix.keys() == sets
+        for a in sets:
+            for b in sets:
+                if a and b and len(set(a) & set(b)) >= least * max(len(a), len(b)):
+                    assert prefix[a] & prefix[b]
+        assert sum(map(len, prefix.values())) < sum(map(len, sets)) or least < 0.5
+
+
 def test_runs_and_totals_over_blocks(spark):
     rng = random.Random(6)
     values = [rng.choice("xy") for _ in range(500)]
