@@ -200,11 +200,28 @@ def region_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads overlapping listed regions; a read in two overlapping regions comes twice."""
     from riftspan.sources.regions import fetch_regions, parse_regions, region_table
 
-    listed = region_table(spark, parse_regions("F:1000-60000,P:500-9000,F:50000-900000000", compat=True))
+    listed = region_table(spark, parse_regions(_REGION_LIST, compat=True))
     rows = fetch_regions(bind.reads(spark, sf_dir), listed, "contig", F.col("pos"), F.col("stop"))
     return rows.select("region_ord", "qname", "contig", "pos", "stop")
 
 
+_REGION_LIST = "F:1000-60000,P:500-9000,F:50000-900000000"
+
+
+@register("region_fetch_staged", ORACLES["region_fetch"])
+def region_fetch_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a staged table, of which only files and row groups near the regions are read."""
+    from riftspan.session import new_table
+    from riftspan.sources.regions import fetch_regions, parse_regions, region_table
+    from riftspan.sources.staged import read_staged, stage
+
+    path = new_table(spark)
+    stage(bind.reads(spark, sf_dir, "qname", "contig", "pos", "stop"), path, "contig", F.col("pos"), F.col("stop"))
+    regions = parse_regions(_REGION_LIST, compat=True)
+    rows = fetch_regions(read_staged(spark, path, regions), region_table(spark, regions), "contig", F.col("pos"), F.col("stop"))
+    return rows.select("region_ord", "qname", "contig", "pos", "stop")
+
+
 @register(
     "blocked_anti",
     with_cte(

@@ -35,6 +35,7 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("output", help="output file or folder")
         return sub
 
+    add("stage", "write a table sorted by position, for fast reading of regions", with_regions=False)
     add("scan", "select reads with evidence and their mates")
     add("unique", "remove repeated alignments and number templates", with_regions=False)
     add("collect-pesr", "extract paired-end and split-read evidence")
@@ -81,6 +82,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     regions = parse_regions(listed, args.compat) if listed else None
     if args.command == "scan":
         tools.scan(spark, args.input, args.output, regions=regions, compat=args.compat, **common)
+    elif args.command == "stage":
+        tools.stage(spark, args.input, args.output, args.overwrite)
     elif args.command == "unique":
         tools.unique(spark, _spooled(spark, args.input), args.output, **common)
     elif args.command == "collect-pesr":

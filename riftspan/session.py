@@ -71,6 +71,13 @@ def drop_checkpoints(spark: SparkSession, keep: int = 0) -> None:
         system.delete(place, True)
 
 
+def new_table(spark: SparkSession) -> str:
+    """Path for a new table in the shared folder; it is deleted with the others."""
+    path = f"{_shared_folder(spark)}/riftspan-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table into the checkpoint folder of the session and return that table.
 
@@ -79,7 +86,6 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     as in a bare local session, a fresh temporary folder is used.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/riftspan-{uuid.uuid4().hex}"
-    _written.append(path)
+    path = new_table(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

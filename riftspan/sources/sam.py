@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from riftspan.functions.cigar import clip_columns, end_position
 from riftspan.sources.headers import Contig, alignment_contigs, contig_table
+from riftspan.sources.regions import Region
+from riftspan.sources.staged import is_staged, read_staged, staged_header
 from riftspan.sources.textio import ORDER, read_header, read_lines, without_header, write_lines
 
 #: Contig tables up to this size are broadcast.
@@ -14,7 +16,9 @@ BROADCAST_CONTIGS = 500_000
 
 
 def alignment_header(spark: SparkSession, path: str) -> list[str]:
-    """Header lines of a SAM or BAM file."""
+    """Header lines of a SAM or BAM file, or of one that was staged."""
+    if is_staged(spark, path):
+        return staged_header(spark, path)
     if path.endswith(".bam"):
         from riftspan.sources.bam import bam_header
 
@@ -64,8 +68,13 @@ def parse_alignments(lines: DataFrame, contigs: list[Contig]) -> DataFrame:
     )
 
 
-def read_alignments(spark: SparkSession, path: str, file_ord: int = 0) -> DataFrame:
-    """Alignment rows of a SAM or BAM file with ``end``, the exclusive end on the reference."""
+def read_alignments(spark: SparkSession, path: str, file_ord: int = 0, regions: list[Region] | None = None) -> DataFrame:
+    """Alignment rows of a SAM or BAM file with ``end``, the exclusive end on the reference.
+
+    Of a staged file, ``regions`` keeps what cannot overlap them from being read.
+    """
+    if is_staged(spark, path):
+        return read_staged(spark, path, regions).withColumn("file_ord", F.lit(file_ord))
     header = alignment_header(spark, path)
     if path.endswith(".bam"):
         from riftspan.sources.bam import read_bam_lines

@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from riftspan.functions.calls import clustered_genotype
 from riftspan.functions.text import short_float
 from riftspan.sources.headers import variant_samples
+from riftspan.sources.regions import Region
+from riftspan.sources.staged import is_staged, read_staged, staged_header
 from riftspan.sources.textio import ORDER, read_header, read_lines, without_header, write_lines
 
 
 def variant_header(spark: SparkSession, path: str) -> list[str]:
     """Header lines, the column line included."""
+    if is_staged(spark, path):
+        return staged_header(spark, path)
     if path.endswith(".bcf"):
         from riftspan.sources.bcf import bcf_header
 
@@ -58,8 +62,10 @@ def parse_variants(lines: DataFrame, samples: list[str]) -> DataFrame:
     )
 
 
-def read_variants(spark: SparkSession, path: str, file_ord: int = 0) -> DataFrame:
-    """Variant rows of a VCF or BCF file."""
+def read_variants(spark: SparkSession, path: str, file_ord: int = 0, regions: list[Region] | None = None) -> DataFrame:
+    """Variant rows of a VCF or BCF file. Of a staged file, ``regions`` keeps what cannot overlap them from being read."""
+    if is_staged(spark, path):
+        return read_staged(spark, path, regions).withColumn("file_ord", F.lit(file_ord))
     samples = variant_samples(variant_header(spark, path))
     if path.endswith(".bcf"):
         from riftspan.sources.bcf import read_bcf_lines

@@ -22,7 +22,7 @@ from riftspan.plans import unique as un
 from riftspan.plans.library import LibraryProperties, estimate_library, library_from_header
 from riftspan.session import reliable_checkpoint
 from riftspan.sources import headers as hd
-from riftspan.sources import sam, vcf
+from riftspan.sources import sam, staged, vcf
 from riftspan.sources.evidence_file import read_evidence, write_evidence
 from riftspan.sources.fasta import reference_windows
 from riftspan.sources.regions import Region, fetch_regions, read_bed, region_table, whole_contigs
@@ -64,12 +64,23 @@ def scan(
         blocked = read_bed(spark, config.blocked_regions_bed, [c.name for c in contigs])
     blocked_end = F.col("pos") + operation_count() if compat else F.col("end")
     table = region_table(spark, _alignment_regions(contigs, regions))
+    rows = sam.read_alignments(spark, path_in, regions=regions)
     kept = sc.scan_reads(rows, table, library, config, ORDER, blocked, blocked_end, compat)
     order = ["region_ord", "window_no", "pass", *ORDER] if compat else ["region_ord", *ORDER]
     new_header = hd.scan_header(header, library.median_isize, library.std_dev_isize, library.max_rlen)
     sam.write_alignments(kept, F.col("raw"), order, new_header, path_out, overwrite, single_file)
 
 
+def stage(spark: SparkSession, path_in: str, path_out: str, overwrite: bool = False) -> None:
+    """Write an alignment or variant file as a table in the order of position, which the other tools read by region."""
+    if path_in.endswith((".sam", ".bam")):
+        rows, header = sam.read_alignments(spark, path_in), sam.alignment_header(spark, path_in)
+        staged.stage(rows, path_out, "contig", F.col("pos"), F.greatest(F.col("end"), F.col("pos") + 1), header, overwrite)
+    else:
+        rows, header = vcf.read_variants(spark, path_in), vcf.variant_header(spark, path_in)
+        staged.stage(rows, path_out, "chrom", F.col("pos"), F.greatest(vcf.variant_end(), F.col("pos") + 1), header, overwrite)
+
+
 def unique(
     spark: SparkSession,
     path_in: str,
@@ -103,6 +114,7 @@ def collect_evidence(
     rows = sam.read_alignments(spark, path_in)
     library = library or library_from_header(header, config, compat) or estimate_library(rows, config, compat)
     tag = F.try_element_at(F.col("tags"), F.lit("xI")).cast("bigint")
+    rows = sam.read_alignments(spark, path_in, regions=regions)
     marked = rows.withColumn("read_id", F.coalesce(tag, F.raise_error(F.lit("read without tag xI")).cast("bigint")))
     table = region_table(spark, _alignment_regions(hd.alignment_contigs(header), regions))
     inside = fetch_regions(marked, table, "contig", F.col("pos"), F.greatest(F.col("end"), F.col("pos") + 1))
@@ -179,7 +191,7 @@ def standardize(
     header = vcf.variant_header(spark, path_in)
     contigs, samples = hd.variant_contigs(header), hd.variant_samples(header)
     table = region_table(spark, _variant_regions(contigs, regions))
-    rows = fetch_regions(vcf.read_variants(spark, path_in), table, "chrom", F.col("pos"), vcf.variant_end())
+    rows = fetch_regions(vcf.read_variants(spark, path_in, regions=regions), table, "chrom", F.col("pos"), vcf.variant_end())
     out = st.standardize(rows, tool, config.stdvcf_apply_filters, ("region_ord", *ORDER))
     vcf.write_variants(
         out,
@@ -215,7 +227,7 @@ def _numbered_variants(
     parsed = []
     for i, path in enumerate(paths):
         rows = fetch_regions(
-            vcf.read_variants(spark, path, i), region_table(spark, regions), "chrom", F.col("pos"), vcf.variant_end()
+            vcf.read_variants(spark, path, i, regions), region_table(spark, regions), "chrom", F.col("pos"), vcf.variant_end()
         )
         parsed.append(st.parse_standardized(rows, ("region_ord", *ORDER, "raw")))
     together = reduce(lambda a, b: a.unionByName(b), parsed)
