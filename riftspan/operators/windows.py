@@ -32,50 +32,82 @@ def window_spine(contigs: DataFrame, by: Sequence[str], length: str, window: int
 def depth_by_window(alignments: DataFrame, by: Sequence[str], window: int) -> DataFrame:
     """Base-wise depth statistics of every window that an alignment touches.
 
-    ``alignments`` has the columns ``by``, ``start``, ``end`` (half-open) and ``mapq``. Result:
+    ``alignments`` has the columns ``by``, ``start``, ``end`` (half-open, from zero) and ``mapq``. Result:
     ``window_id``, ``depth_sum``, ``depth_sq_sum`` (sums over positions of depth and its square) and
-    ``mapq_sum`` (mapping quality weighted by base). Depth changes are added up per position before
-    anything is gathered, so a window is at most ``window`` rows however deep it is.
+    ``mapq_sum`` (mapping quality weighted by base).
+
+    An alignment is two rows, its start and its end, however many windows it spans. Changes of depth are added up per position and
+    summed inside their window; the depth that a window begins with is carried in by running sums over windows, in two
+    levels. Windows without a change lie between two with one and have the depth in between.
     """
     by = list(by)
-    touched = alignments.filter(F.col("end") > F.col("start")).select(
+    start, end = (F.greatest(F.col(c).cast("long"), F.lit(0).cast("long")) for c in ("start", "end"))
+    mapq = F.col("mapq").cast("long")
+    changes = alignments.filter(end > start).dropna(subset=by).select(
         *by,
-        "start",
-        "end",
-        "mapq",
         F.explode(
-            F.sequence(
-                int_div(F.col("start"), window), int_div(F.col("end") - 1, window)
+            F.array(
+                F.struct(start.alias("at"), F.lit(1).alias("d"), mapq.alias("q")),
+                F.struct(end.alias("at"), F.lit(-1).alias("d"), (-mapq).alias("q")),
             )
-        ).alias("window_id"),
+        ).alias("_c"),
     )
-    base = F.col("window_id") * F.lit(window)
-    clipped = touched.select(
-        *by,
-        "window_id",
-        F.greatest(F.col("start") - base, F.lit(0)).cast("int").alias("_from"),
-        F.least(F.col("end") - base, F.lit(window)).cast("int").alias("_to"),
-        F.col("mapq").cast("long").alias("mapq"),
+    per_position = changes.groupBy(*by, F.col("_c.at").alias("_x")).agg(F.sum("_c.d").alias("_d"), F.sum("_c.q").alias("_q"))
+    placed = per_position.withColumn("window_id", int_div(F.col("_x"), window))
+    order = W.partitionBy(*by, "window_id").orderBy("_x")
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    run = F.coalesce(F.lead("_x").over(order), (F.col("window_id") + 1) * window) - F.col("_x")
+    runs = placed.select(
+        *by, "window_id", "_d", "_q", F.sum("_d").over(so_far).alias("_depth"), F.sum("_q").over(so_far).alias("_mapq"), run.alias("_run")
+    )
+    # What the changes of a window add inside it, and to all windows after it.
+    inside = (
+        runs.groupBy(*by, "window_id")
+        .agg(
+            F.sum("_d").alias("_d"),
+            F.sum("_q").alias("_q"),
+            F.sum(F.col("_depth") * F.col("_run")).alias("_sum"),
+            F.sum(F.col("_depth") * F.col("_depth") * F.col("_run")).alias("_sq"),
+            F.sum(F.col("_mapq") * F.col("_run")).alias("_msum"),
+        )
+        .withColumn("_chunk", int_div(F.col("window_id"), SPINE_CHUNK))
+        # The join below would infer this for one of its sides only, and all before would be computed twice.
+        .filter(F.col("_chunk").isNotNull())
     )
-    changes = clipped.select(
+    over_chunks = W.partitionBy(*by).orderBy("_chunk")
+    before = over_chunks.rowsBetween(W.unboundedPreceding, -1)
+    chunks = inside.groupBy(*by, "_chunk").agg(F.sum("_d").alias("_d"), F.sum("_q").alias("_q"), F.min("window_id").alias("_first"))
+    carried = chunks.select(
         *by,
-        "window_id",
-        F.explode(
-            F.array(
-                F.struct(F.col("_from").alias("at"), F.lit(1).alias("d"), ((F.col("_to") - F.col("_from")) * F.col("mapq")).alias("q")),
-                F.struct(F.col("_to").alias("at"), F.lit(-1).alias("d"), F.lit(0).cast("long").alias("q")),
-            )
-        ).alias("_c"),
+        "_chunk",
+        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_base_d"),
+        F.coalesce(F.sum("_q").over(before), F.lit(0)).alias("_base_q"),
+        F.lead("_first").over(over_chunks).alias("_next_chunk"),
+    )
+    in_chunk = W.partitionBy(*by, "_chunk").orderBy("window_id")
+    earlier = in_chunk.rowsBetween(W.unboundedPreceding, -1)
+    here = inside.select(
+        "*",
+        F.coalesce(F.sum("_d").over(earlier), F.lit(0)).alias("_in_d"),
+        F.coalesce(F.sum("_q").over(earlier), F.lit(0)).alias("_in_q"),
+        F.lead("window_id").over(in_chunk).alias("_next"),
+    ).join(carried, [*by, "_chunk"])
+    depth, quality = F.col("_base_d") + F.col("_in_d"), F.col("_base_q") + F.col("_in_q")
+    after, after_q = depth + F.col("_d"), quality + F.col("_q")
+    stop = F.coalesce("_next", "_next_chunk", F.col("window_id") + 1)
+    own = F.struct(
+        F.col("window_id").alias("window_id"),
+        (depth * window + F.col("_sum")).alias("depth_sum"),
+        (depth * depth * window + 2 * depth * F.col("_sum") + F.col("_sq")).alias("depth_sq_sum"),
+        (quality * window + F.col("_msum")).alias("mapq_sum"),
     )
-    per_position = changes.groupBy(*by, "window_id", F.col("_c.at").alias("_at")).agg(
-        F.sum("_c.d").alias("_d"), F.sum("_c.q").alias("_q")
+    between = F.when((after > 0) & (stop > F.col("window_id") + 1), F.sequence(F.col("window_id") + 1, stop - 1)).otherwise(
+        F.array().cast("array<bigint>")
     )
-    order = W.partitionBy(*by, "window_id").orderBy("_at")
-    depth = F.sum("_d").over(order.rowsBetween(W.unboundedPreceding, 0))
-    run = F.coalesce(F.lead("_at").over(order), F.lit(window)) - F.col("_at")
-    runs = per_position.select(*by, "window_id", depth.alias("_depth"), run.alias("_run"), "_q")
-    return runs.groupBy(*by, "window_id").agg(
-        F.sum(F.col("_depth") * F.col("_run")).alias("depth_sum"),
-        F.sum(F.col("_depth") * F.col("_depth") * F.col("_run")).alias("depth_sq_sum"),
-        F.sum("_q").alias("mapq_sum"),
+    rest = F.transform(
+        between,
+        lambda w: F.struct(
+            w.alias("window_id"), (after * window).alias("depth_sum"), (after * after * window).alias("depth_sq_sum"), (after_q * window).alias("mapq_sum")
+        ),
     )
+    return here.select(*by, F.explode(F.concat(F.array(own), rest)).alias("_w")).select(*by, "_w.*").filter("depth_sum > 0")

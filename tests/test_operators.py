@@ -18,6 +18,7 @@ from riftspan.operators.range_join import overlap_join
 from riftspan.operators.similar_intervals import cluster_similar, with_prefixes
 from riftspan.operators.skew import salted_join
 from riftspan.operators.statistics import summary, winsorize
+from riftspan.operators import windows
 from riftspan.operators.windows import depth_by_window, window_spine
 
 
@@ -329,3 +330,38 @@ def test_index_of_regions_does_not_grow_with_their_length(spark):
         return region_index(b, 100).count()
 
     assert rows(1) == rows(900_000) == 10_001
+
+
+def test_rows_of_depth_do_not_grow_with_the_length_of_reads(spark):
+    def widest(length):
+        reads = spark.range(2_000).selectExpr("'a' as contig", "id * 50 as start", f"id * 50 + {length} as end", "cast(30 as int) as mapq")
+        found = depth_by_window(reads, ["contig"], 100)
+        depth = {r["window_id"]: r["depth_sum"] for r in found.collect()}
+        span = range(max(depth) + 1)
+        expected = [sum(max(0, min(100 * w + 100, 50 * i + length) - max(100 * w, 50 * i)) for i in range(2_000)) for w in (*span[:3], *span[-3:])]
+        assert [depth.get(w, 0) for w in (*span[:3], *span[-3:])] == expected
+        plan = found._jdf.queryExecution().executedPlan()
+        text = plan.toString()
+        return text.count("Exchange hashpartitioning"), text.count("Generate explode")
+
+    assert widest(90) == widest(60_000)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 8192])
+def test_depth_is_carried_over_windows_and_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(windows, "SPINE_CHUNK", chunk)
+    rng = random.Random(chunk)
+    reads = [(rng.choice("ab"), s, s + rng.choice([0, 1, 9, 10, 30, 400]), rng.randrange(60)) for s in (rng.randrange(0, 700) for _ in range(60))]
+    reads += [(None, 1, 5, 3), ("c", 100_000, 100_005, 1), ("c", 0, 20, 1)]
+    df = spark.createDataFrame(reads, "contig string, start bigint, end bigint, mapq int")
+    got = {(r["contig"], r["window_id"]): (r["depth_sum"], r["depth_sq_sum"], r["mapq_sum"]) for r in depth_by_window(df, ["contig"], 10).collect()}
+    depth, quality = defaultdict(int), defaultdict(int)
+    for c, s, e, q in reads:
+        for p in range(s, e) if c else ():
+            depth[c, p] += 1
+            quality[c, p] += q
+    expected = defaultdict(lambda: (0, 0, 0))
+    for (c, p), d in depth.items():
+        a, b, m = expected[c, p // 10]
+        expected[c, p // 10] = (a + d, b + d * d, m + quality[c, p])
+    assert got == expected
