@@ -19,11 +19,13 @@ from riftspan.session import file_system, mounted_folder
 #: Row order of data read from files: input number, then (file, split), then row of the split.
 ORDER = ["file_ord", "block", "seq"]
 BLOCK = ["file_ord", "block"]
+#: Tables about files are broadcast up to so many rows.
+BROADCAST_FILES = 100_000
 #: Number in the name of a part that Spark wrote.
 PART_NUMBER = r"/part-(\d+)[^/]*$"
 
 
-def read_lines(spark: SparkSession, path: str, file_ord: int = 0) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], file_ord: int = 0) -> DataFrame:
     """Lines with the order columns, without any shuffle.
 
     Splits of a file are told apart by their offset. Inside a split, row ids grow with the rows. The parts of a
@@ -41,6 +43,31 @@ def read_lines(spark: SparkSession, path: str, file_ord: int = 0) -> DataFrame:
     )
 
 
+def files_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``file`` (as in the metadata of rows) and ``file_ord`` for the files of all paths, which may be folders of parts.
+
+    Files are listed on the driver, as for any scan; no job is run.
+    """
+    listed = [(_one_slash(file), i) for i, path in enumerate(paths) for file in spark.read.text(path).inputFiles()]
+    return small_if(spark.createDataFrame(listed, "file string, file_ord int"), len(listed))
+
+
+def small_if(table: DataFrame, rows: int) -> DataFrame:
+    """``table`` to be broadcast if it has few rows; else the planner decides."""
+    return F.broadcast(table) if rows <= BROADCAST_FILES else table
+
+
+def _one_slash(file: str) -> str:
+    """A scan lists files as ``file:///x``, and names them ``file:/x`` in the metadata of rows."""
+    return file.replace(":///", ":/", 1)
+
+
+def read_many(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of all files with the order columns, as one scan however many files there are."""
+    lines = read_lines(spark, list(dict.fromkeys(paths))).drop("file_ord").withColumn("file", F.regexp_replace("block.file", "^([^:]+):///", "$1:/"))
+    return lines.join(files_of(spark, paths), "file").select(*ORDER, "value")
+
+
 def without_header(lines: DataFrame, mark: str) -> DataFrame:
     """Drop lines that start with ``mark``.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.functions.calls import clustered_genotype
@@ -10,7 +12,7 @@ from riftspan.functions.text import short_float
 from riftspan.sources.headers import variant_samples
 from riftspan.sources.regions import Region
 from riftspan.sources.staged import is_staged, read_staged, staged_header
-from riftspan.sources.textio import ORDER, read_header, read_lines, without_header, write_lines
+from riftspan.sources.textio import ORDER, read_header, read_lines, read_many, small_if, without_header, write_lines
 
 
 def variant_header(spark: SparkSession, path: str) -> list[str]:
@@ -24,8 +26,11 @@ def variant_header(spark: SparkSession, path: str) -> list[str]:
     return read_header(spark, path, "#")
 
 
-def parse_variants(lines: DataFrame, samples: list[str]) -> DataFrame:
-    """Variant columns from VCF lines in ``value``; order columns and the line (``raw``) are kept."""
+def parse_variants(lines: DataFrame, samples: list[str] | Column) -> DataFrame:
+    """Variant columns from VCF lines in ``value``; order columns and the line (``raw``) are kept.
+
+    ``samples`` are the sample names of the file, or a column with those of each line.
+    """
     f = F.col("f")
 
     def text(i: int) -> Column:
@@ -45,9 +50,9 @@ def parse_variants(lines: DataFrame, samples: list[str]) -> DataFrame:
         fields = F.map_from_arrays(F.slice(keys, F.lit(1), shared), F.slice(values, F.lit(1), shared))
         return F.struct(sample.alias("sample"), fields.alias("fields"))
 
-    calls = F.transform(name_list(samples), call)
+    calls = F.transform(samples if isinstance(samples, Column) else name_list(samples), call)
     none = F.array().cast("array<string>")
-    return lines.select(*ORDER, "value", F.split("value", "\t").alias("f")).select(
+    return lines.withColumn("f", F.split("value", "\t")).select(
         *ORDER,
         text(0).alias("chrom"),
         (text(1).cast("bigint") - 1).alias("pos"),
@@ -76,6 +81,24 @@ def read_variants(spark: SparkSession, path: str, file_ord: int = 0, regions: li
     return parse_variants(lines, samples)
 
 
+def header_facts(spark: SparkSession, paths: Sequence[str]) -> list[Row]:
+    """``file_ord``, ``contigs`` (sorted names) and ``samples`` of many text files, by one job."""
+    lines = read_many(spark, paths).filter(F.col("value").startswith("#"))
+    contig = F.when(F.col("value").startswith("##contig=<"), F.regexp_extract("value", r"[<,]ID=([^,>]+)", 1))
+    names = F.when(F.col("value").startswith("#CHROM"), F.split("value", "\t"))
+    facts = lines.groupBy("file_ord").agg(F.sort_array(F.collect_set(contig)).alias("contigs"), F.first(names, ignorenulls=True).alias("f"))
+    none = F.array().cast("array<string>")
+    samples = F.when(F.size("f") > 9, F.slice("f", F.lit(10), F.size("f"))).otherwise(none)
+    return facts.select("file_ord", "contigs", F.coalesce(samples, none).alias("samples")).orderBy("file_ord").collect()
+
+
+def read_many_variants(spark: SparkSession, paths: Sequence[str], facts: Sequence[Row]) -> DataFrame:
+    """Variant rows of many text files: one scan, each line joined with the samples of its file."""
+    known = spark.createDataFrame([(f["file_ord"], f["samples"]) for f in facts], "file_ord int, samples array<string>")
+    lines = without_header(read_many(spark, paths), "#")
+    return parse_variants(lines.join(small_if(known, sum(len(f["samples"]) + 1 for f in facts)), "file_ord"), F.col("samples"))
+
+
 def write_variants(
     rows: DataFrame,
     line: Column,

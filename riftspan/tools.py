@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.config import Config
@@ -214,22 +214,50 @@ def _cluster_settings(name: str, config: Config):
     return presets[name]
 
 
-def check_contigs(contig_lists: list[list[hd.Contig]]) -> None:
+def check_contigs(contig_lists: list[list[str]]) -> None:
     """All inputs must declare the same contigs."""
-    if not contig_lists or any({c.name for c in cs} != {c.name for c in contig_lists[0]} for cs in contig_lists):
+    if not contig_lists or any(set(names) != set(contig_lists[0]) for names in contig_lists):
         raise InconsistentInput("input files differ in their contigs")
 
 
+def _is_text(spark: SparkSession, path: str) -> bool:
+    return not path.endswith(".bcf") and not staged.is_staged(spark, path)
+
+
+def _facts(spark: SparkSession, paths: list[str]) -> list[Row]:
+    """Contigs and samples of all inputs in their order; text files by one job, others one by one."""
+    text = [i for i, p in enumerate(paths) if _is_text(spark, p)]
+    found = {text[f["file_ord"]]: f for f in vcf.header_facts(spark, [paths[i] for i in text])} if text else {}
+    out = []
+    for i, path in enumerate(paths):
+        if i in text:
+            own = found.get(i)
+            out.append(Row(file_ord=i, contigs=own["contigs"] if own else [], samples=own["samples"] if own else []))
+        else:
+            header = vcf.variant_header(spark, path)
+            out.append(Row(file_ord=i, contigs=sorted({c.name for c in hd.variant_contigs(header)}), samples=hd.variant_samples(header)))
+    return out
+
+
 def _numbered_variants(
-    spark: SparkSession, paths: list[str], regions: list[Region]
+    spark: SparkSession, paths: list[str], regions: list[Region], facts: list[Row]
 ) -> DataFrame:
-    """Standardized variants of all files inside the regions, with ``row_id`` in input order."""
-    parsed = []
-    for i, path in enumerate(paths):
-        rows = fetch_regions(
-            vcf.read_variants(spark, path, i, regions), region_table(spark, regions), "chrom", F.col("pos"), vcf.variant_end()
-        )
-        parsed.append(st.parse_standardized(rows, ("region_ord", *ORDER, "raw")))
+    """Standardized variants of all files inside the regions, with ``row_id`` in input order.
+
+    All text files are one scan, so neither the plan nor the number of jobs grows with them.
+    """
+    text = [i for i, p in enumerate(paths) if _is_text(spark, p)]
+    read = []
+    if text:
+        own = [Row(file_ord=k, samples=facts[i]["samples"]) for k, i in enumerate(text)]
+        rows = vcf.read_many_variants(spark, [paths[i] for i in text], own)
+        if text != list(range(len(text))):
+            place = F.array(*[F.lit(i) for i in text])
+            rows = rows.withColumn("file_ord", F.get(place, F.col("file_ord")))
+        read.append(rows)
+    read += [vcf.read_variants(spark, paths[i], i, regions) for i in range(len(paths)) if i not in text]
+    table = region_table(spark, regions)
+    parsed = [st.parse_standardized(fetch_regions(r, table, "chrom", F.col("pos"), vcf.variant_end()), ("region_ord", *ORDER, "raw")) for r in read]
     together = reduce(lambda a, b: a.unionByName(b), parsed)
     from riftspan.operators.ordered import global_row_number
 
@@ -250,11 +278,11 @@ def cluster(
     """Cluster standardized variants of several files into one file with all samples."""
     guard_output(spark, path_out, overwrite)
     settings = _cluster_settings(setting, config)
-    all_headers = [vcf.variant_header(spark, p) for p in paths_in]
-    check_contigs([hd.variant_contigs(h) for h in all_headers])
-    contigs = hd.variant_contigs(all_headers[0])
-    samples = list(dict.fromkeys(s for h in all_headers for s in hd.variant_samples(h)))
-    variants = _numbered_variants(spark, paths_in, _variant_regions(contigs, regions))
+    facts = _facts(spark, paths_in)
+    check_contigs([f["contigs"] for f in facts])
+    contigs = hd.variant_contigs(vcf.variant_header(spark, paths_in[0]))
+    samples = list(dict.fromkeys(s for f in facts for s in f["samples"]))
+    variants = _numbered_variants(spark, paths_in, _variant_regions(contigs, regions), facts)
     records = cu.cluster_variants(variants.drop("raw"), settings, keep_other_types=not compat)
     kept = ["region_ord", "number", "chrom", "pos", "reference", "alt", "chrom2", "end2", "sv_type", "strands", "sv_len", "sv_id", "algorithms"]
     wide = cu.sample_matrix(records, kept, samples)
@@ -294,7 +322,7 @@ def annotate(
     if not compat and sample not in samples:
         raise InconsistentInput(f"sample {sample} is not in {path_in}")
     listed = _variant_regions(contigs, regions)
-    svs = _numbered_variants(spark, [path_in], listed)
+    svs = _numbered_variants(spark, [path_in], listed, [Row(file_ord=0, samples=samples)])
     blocked = None
     if config.blocked_regions_bed:
         blocked = read_bed(spark, config.blocked_regions_bed, [c.name for c in contigs])
