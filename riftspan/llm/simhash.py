@@ -11,8 +11,9 @@ A threshold t_i is probed by masks: the partition's bits without each choice of
 masked values form a bucket, and buckets of up to ``BUCKET`` fingerprints are compared in full, of
 which only a spanning forest leaves the task. A larger bucket is split by the same principle over the
 bits that still vary in it (T + 1 groups of bits, one of which must agree), again and again; a
-bucket of few varying bits is small, so this ends within a few rounds. No pairs of a group are listed, none
-are left out.
+bucket of few varying bits is small, so this ends within a few rounds. Beyond T = ``SPLIT_UP_TO`` such parts would hardly be smaller than
+the bucket. There a member of the bucket is linked with all within T bits of it, and the others are compared with
+all, a pair of tiles a task. No pairs of a group are listed, none are left out.
 
 Where documents are dropped, links only name candidates: a document goes if the exact similarity of its
 shingles to those of a document that stays is ``SIMILARITY`` or more.
@@ -44,6 +45,8 @@ WORDS, DISTANCE = 3, 2
 BUCKET = 1_000
 #: Bits whose 2^10 combinations bound a bucket in which only they vary.
 FEW_BITS = 10
+#: Largest distance at which large buckets are split.
+SPLIT_UP_TO = 3
 #: Cost of a probe row relative to that of a candidate pair.
 ROW_COST = 100.0
 #: Shingles tallied at once.
@@ -259,9 +262,11 @@ def linked(values: np.ndarray, buckets: np.ndarray, distance: int) -> np.ndarray
         one.append(near)
         other.append(near + shift)
         shift += 1
-    if not one:
-        return label
-    a, b = np.concatenate(one), np.concatenate(other)
+    return label if not one else forest(label, np.concatenate(one), np.concatenate(other))
+
+
+def forest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row that each is connected with by the edges ``(a, b)``."""
     while True:
         before = label.copy()
         least = np.minimum(label[a], label[b])
@@ -297,6 +302,65 @@ def _compare(distance: int):
     return run
 
 
+def _compare_tiles(distance: int):
+    """Forest edges between the rows of one side and those of the other in each unit; rows come sorted by bucket and unit."""
+
+    def edges(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = pa.Table.from_batches(held)
+        values, rest = unit.column("fp").to_numpy(), np.asarray(unit.column("rest"))
+        left, right = np.flatnonzero(rest), np.flatnonzero(~rest)
+        if not len(left) or not len(right):
+            return
+        bits = values.view(np.uint64)
+        a, b = np.nonzero(np.bitwise_count(bits[left][:, None] ^ bits[right]) <= distance)
+        label = forest(np.arange(len(values)), left[a], right[b])
+        found = np.flatnonzero(values[label] != values)
+        yield pa.RecordBatch.from_arrays([pa.array(values[found]), pa.array(values[label[found]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key = None
+        for batch in batches:
+            keys = list(zip(batch.column("bucket").to_pylist(), batch.column("unit").to_pylist()))
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for first, stop in zip(starts, [*starts[1:], len(keys)]):
+                if held and keys[first] != key:
+                    yield from edges(held)
+                    held = []
+                key = keys[first]
+                held.append(batch.slice(first, stop - first))
+        if held:
+            yield from edges(held)
+
+    return run
+
+
+def _star(large: DataFrame, distance: int, tile: int) -> DataFrame:
+    """Edges that connect what the pairs within large buckets connect.
+
+    What lies within the distance of one member is connected through it. Only the others, few where a bucket holds near
+    copies of a text, are compared with all of the bucket.
+    """
+    centres = large.groupBy("bucket").agg(F.min_by("fp", F.xxhash64("fp")).alias("centre"))
+    led = stored(large.join(centres, "bucket").withColumn("rest", F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) > distance))
+    star = led.filter("not rest and fp <> centre").select(F.col("fp").alias("a"), F.col("centre").alias("b"))
+    others = led.filter("rest")
+    if others.isEmpty():
+        return star
+    tiles = F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("bigint").alias("tiles")
+    sizes = led.groupBy("bucket").agg(tiles, F.ceil(F.count_if("rest") / F.lit(tile)).cast("bigint").alias("rests")).filter("rests > 0")
+    sized = led.join(sizes, "bucket")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        rows = rows.withColumn("_own", F.pmod(F.xxhash64("fp", F.lit(3)), F.col(own)))
+        return rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
+
+    left = dealt(sized.filter("rest"), "rests", "tiles").select("bucket", F.expr("_own * tiles + _other").alias("unit"), "fp", F.lit(True).alias("rest"))
+    right = dealt(sized, "tiles", "rests").select("bucket", F.expr("_other * tiles + _own").alias("unit"), "fp", F.lit(False).alias("rest"))
+    units = left.unionByName(right).repartition("bucket", "unit").sortWithinPartitions("bucket", "unit")
+    return star.unionByName(units.mapInArrow(_compare_tiles(distance), "a bigint, b bigint"))
+
+
 def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
     """Edges ``(a, b)`` that connect the same fingerprints as all pairs at most ``distance`` bits apart.
 
@@ -317,6 +381,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
         large = sized.filter(~compared)
         if large.isEmpty():
             return edges
+        if distance > SPLIT_UP_TO:
+            return edges.unionByName(_star(large.select("bucket", "fp"), distance, bucket))
         split = large.select("fp", "bucket", "varying").mapInArrow(_split_further(distance + 1), "bucket bigint, fp bigint")
         rows = split.distinct()
 
