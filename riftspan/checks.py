@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan import bind
@@ -840,6 +840,27 @@ def coverage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LETTERS = "length(regexp_replace(piece, '[^{0}]', '', 'g'))"
 
 
+@register(
+    "depth_counters",
+    with_cte(
+        f"""SELECT 'coverage' AS kind, COUNT(*) AS processed, COUNT(*) - COUNT(*) FILTER (WHERE (flag & 4) = 0 AND {_COUNTED_SQL}) AS skipped FROM reads
+        UNION ALL SELECT 'fragments', COUNT(*), COUNT(*) - COUNT(*) FILTER (WHERE {_COUNTED_SQL} AND ((flag & 1) = 0 OR tlen > 0)
+            AND NOT CAST(CAST(seq_len - clip_left - clip_right AS DOUBLE) / seq_len AS FLOAT) < CAST(0.6 AS FLOAT)) FROM reads""",
+        "reads",
+    ),
+)
+def depth_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads processed and skipped while windows of depth are computed."""
+    rows = bind.reads(spark, sf_dir).withColumn("end", F.col("stop"))
+    found = []
+    for settings in (SHORT_WINDOWS, FRAGMENTS):
+        counters = Observation()
+        windows = dp.depth_windows(dp.count_rows(rows, settings, counters), _contig_lengths(rows), settings)
+        windows.write.format("noop").mode("overwrite").save()
+        found.append((settings.count_kind, *(dp.counted_rows(counters) or (0, 0))))
+    return spark.createDataFrame(found, "kind string, processed bigint, skipped bigint")
+
+
 @register(
     "gc_content",
     f"""WITH pieces AS (SELECT doc_id, b AS window_id, substr(text, CAST(b * 100 + 1 AS BIGINT), 100) AS piece

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riftspan.config import DepthSettings
@@ -73,6 +74,28 @@ def coverage_windows(alignments: DataFrame, contigs: DataFrame, settings: DepthS
     )
 
 
+def count_rows(alignments: DataFrame, settings: DepthSettings, counters: Observation) -> DataFrame:
+    """``alignments``, of which the next action on them counts the rows ``processed`` and those ``skipped``, which add to no window.
+
+    The counts come with the action's own pass over the rows, and a task that is run again does not count twice.
+    """
+    if settings.count_kind == "coverage":
+        adds = coverage_row(settings.min_mapq)
+    else:
+        adds = fragment_row(settings.min_mapq, settings.min_unclipped)
+    skipped = F.count_if(~F.coalesce(adds, F.lit(False)))
+    return alignments.observe(counters, F.count(F.lit(1)).alias("processed"), skipped.alias("skipped"))
+
+
+def counted_rows(counters: Observation) -> tuple[int, int] | None:
+    """Rows processed and skipped by an action that has ended; None if its plan came to need no rows (nothing lies in the regions)."""
+    try:
+        found = counters.get
+    except Py4JJavaError:  # the observation has no values
+        return None
+    return found["processed"], found["skipped"]
+
+
 def depth_windows(alignments: DataFrame, contigs: DataFrame, settings: DepthSettings) -> DataFrame:
     """Windows of the configured kind; ``contigs`` has ``contig`` and ``length``."""
     kinds = {"coverage": coverage_windows, "fragments": fragment_windows}

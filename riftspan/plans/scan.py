@@ -10,6 +10,12 @@ from riftspan.functions.flags import PAIRED, has_flag
 from riftspan.functions.reads import interesting
 from riftspan.operators.blocked import drop_blocked
 from riftspan.plans.library import LibraryProperties
+from riftspan.session import reliable_checkpoint
+
+
+#: So many names are left to the planner alone, and beyond so many a filter of ``2^FILTER_BITS`` bits is of no use.
+FEW_NAMES, FILTER_BITS = 500_000, 26
+MOST_NAMES = (1 << FILTER_BITS) // 8
 
 
 def drop_blocked_reads(
@@ -33,10 +39,35 @@ def drop_blocked_reads(
 def with_mates(alignments: DataFrame, keep: Column) -> DataFrame:
     """All rows of every template that has at least one row satisfying ``keep``.
 
-    Names are made distinct before the shuffle. A name with very many rows only weighs on the left
-    side of the join, which adaptive execution splits.
+    The distinct names are written first, so the planner knows their true size and broadcasts them if they are few. Of
+    more names, a filter of bounded size keeps most other rows out of the shuffle; the exact join comes after it in any case. Of
+    more than ``MOST_NAMES`` the filter would let too much pass, and there is none. A name with very many
+    rows only weighs on the left side of the join, which adaptive execution splits.
     """
-    return alignments.join(alignments.filter(keep).select("qname").distinct(), "qname", "left_semi")
+    names = reliable_checkpoint(alignments.filter(keep).select("qname").distinct())
+    n = names.count()
+    likely = might_have_name(alignments, names, n) if FEW_NAMES < n <= MOST_NAMES else alignments
+    return likely.join(names, "qname", "left_semi")
+
+
+def might_have_name(alignments: DataFrame, names: DataFrame, n: int) -> DataFrame:
+    """All rows whose name is one of the ``n`` distinct ``names``, and at most about one in eight of the others.
+
+    A name sets one bit of at least eight per name. Tasks set the bits of their names in words of 64, which are merged by
+    word; the words with a bit set are at most ``2^FILTER_BITS / 64`` rows, and so may be broadcast.
+    """
+    bits = min(FILTER_BITS, max(10, (8 * n).bit_length()))
+
+    def slot(name: str) -> Column:
+        return F.expr(f"shiftrightunsigned(xxhash64({name}), {64 - bits})")
+
+    words = (
+        names.select(slot("qname").alias("_slot"))
+        .groupBy(F.expr("_slot div 64").alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(_slot % 64 as int))")).alias("_bits"))
+    )
+    hit = (F.expr("_slot div 64") == F.col("_word")) & (F.expr("shiftrightunsigned(_bits, cast(_slot % 64 as int)) & 1L") == 1)
+    return alignments.withColumn("_slot", slot("qname")).join(F.broadcast(words), hit, "left_semi").drop("_slot")
 
 
 def is_interesting(library: LibraryProperties, config: Config) -> Column:

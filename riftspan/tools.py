@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riftspan.config import Config
@@ -29,6 +30,9 @@ from riftspan.sources.regions import Region, fetch_regions, read_bed, region_tab
 from riftspan.sources.textio import BLOCK, ORDER, guard_output, write_lines
 
 
+log = logging.getLogger(__name__)
+
+
 def _alignment_regions(contigs: list[hd.Contig], regions: list[Region] | None) -> list[Region]:
     return regions if regions is not None else whole_contigs([(c.name, c.length) for c in contigs])
 
@@ -147,7 +151,8 @@ def collect_depth(
     w = settings.window_length
     wanted = [r.contig for r in regions] if regions is not None else [c.name for c in contigs]
     table = hd.contig_table(spark, contigs).filter(F.col("contig").isin(wanted))
-    rows = sam.read_alignments(spark, path_in).filter(F.col("contig").isin(wanted))
+    counters = Observation()
+    rows = dp.count_rows(sam.read_alignments(spark, path_in).filter(F.col("contig").isin(wanted)), settings, counters)
     windows = dp.depth_windows(rows, table, settings)
     if regions is not None:
         places = region_table(spark, regions)
@@ -159,6 +164,7 @@ def collect_depth(
         windows = dp.with_composition(windows, reference_windows(spark, config.path_reference_fasta, w))
     # Used twice, for the medians in the header and for the rows.
     stored = reliable_checkpoint(windows)
+    log.info("%d alignments processed, %d skipped", *(dp.counted_rows(counters) or (0, 0)))
     known = {r["name"]: r["median"] for r in dp.depth_medians(stored, dp.AUTOSOMES, dp.ALLOSOMES).collect()}
     for contig in contigs:
         if contig.name in dp.AUTOSOMES + dp.ALLOSOMES:
