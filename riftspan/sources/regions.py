@@ -69,12 +69,13 @@ def fetch_regions(rows: DataFrame, regions: DataFrame, contig: str, start: Colum
 def read_bed(spark: SparkSession, path: str, contigs: list[str]) -> DataFrame:
     """Regions ``(contig, start, end)``; a short line or an unknown contig is an error."""
     fields = F.split("value", "\t")
-    known = F.array(*[F.lit(c) for c in contigs])
+    known = spark.createDataFrame([(c,) for c in contigs], "_known string").distinct()
     lines = spark.read.text(path).select("value", fields.alias("f"))
+    checked = lines.join(known, F.get("f", F.lit(0)) == F.col("_known"), "left")
     bad = F.when(F.size("f") < 3, F.concat(F.lit("too few fields: "), F.col("value"))).when(
-        ~F.array_contains(known, F.get("f", F.lit(0))), F.concat(F.lit("unknown contig: "), F.get("f", F.lit(0)))
+        F.col("_known").isNull(), F.concat(F.lit("unknown contig: "), F.get("f", F.lit(0)))
     )
-    first_bad = lines.select(bad.alias("bad")).filter("bad IS NOT NULL").first()
+    first_bad = checked.select(bad.alias("bad")).filter("bad IS NOT NULL").first()
     if first_bad is not None:
         raise InvalidBedFile(first_bad["bad"])
     return lines.select(
