@@ -5,16 +5,17 @@ whose paths agree so far as templates:
 
 1. Variable segments become a wildcard: the children of a node are one wildcard branch if there are
    many of them for its urls (``VARIABLE`` distinct segments at least, and fewer than ``REPEATS`` urls each on average).
-2. Statistically similar branches merge: of the other children, those whose labelled share of
-   rejected urls is within ``Z`` standard errors of their siblings' and whose own children look alike
-   (same kind of next segment) become one branch, named after the first of them.
+2. Statistically similar branches merge: of the other children with at least ``LEAST`` labels, those whose labelled share of
+   rejected urls is within ``Z`` standard errors of that of the others' labels, ``LEAST`` at least, and whose own children look alike
+   (same kind of next segment) become one branch, named after the first of them. A child with fewer labels stays itself.
 
 Segments are first told apart by kind: digits, hexadecimal, dates, other. Paths are followed to their
 ends. From ``LEVELS`` segments on, a path alone below its node has nothing to be told apart from: its template is the node, the rest of the path
 as it is, and ``/**``. A template's labelled urls give its purity, smoothed
-towards the share of the template above it, and so on up to the host and to all urls. A template whose smoothed share of
-rejected urls is over ``REJECT`` is rejected with all its urls. Below ``LEVELS``, a template with just the labels of the one above
-is passed over, or else a long way would count them again at every step. Labels are the rules' own verdicts, or any given table.
+towards the share of the template above it, and so on up to the host and to all urls. On the way down each label counts once: a step takes
+those labels of its template that the next step does not have, so a way without forks changes nothing, however long. A template whose smoothed
+share of rejected urls is over ``REJECT`` is rejected with all its urls, if it or a template above it, the host aside, has labels
+at all. Labels are the rules' own verdicts, or any given table.
 
 Counting is by host and template with partial sums, so a host with a third of all urls is spread over all tasks. Nothing is
 collected or broadcast but the rules.
@@ -37,6 +38,8 @@ from riftspan.llm.common import only, stored, table
 LEVELS = 4
 #: Distinct segments from which a position can be variable, and urls a segment from which it is not.
 VARIABLE, REPEATS = 20, 20.0
+#: Labels on either side that it takes to find branches similar.
+LEAST = 5
 #: Standard errors within which branches are similar.
 Z = 2.0
 #: Weight, in labelled urls, of the share of the template above.
@@ -129,10 +132,12 @@ def _grow(urls: DataFrame, level: int) -> DataFrame:
     fixed = marked.filter(~F.col("variable"))
     alike = ["host", "node", "kind", "shape"]
     pooled = fixed.groupBy(*alike).agg(F.sum("seen").alias("_seen"), F.sum("bad").alias("_bad"))
+    others, others_bad = F.col("_seen") - F.col("seen"), F.col("_bad") - F.col("bad")
     share = (F.col("_bad") + 0.5) / (F.col("_seen") + 1)
-    own = (F.col("bad") + 0.5) / (F.col("seen") + 1)
-    error = F.sqrt(share * (1 - share) / (F.col("seen") + 1))
-    compared = fixed.join(pooled, alike).withColumn("similar", F.abs(own - share) <= Z * error)
+    error = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1.0), F.col("seen")) + F.try_divide(F.lit(1.0), others)))
+    apart = F.abs(F.try_divide(F.col("bad"), F.col("seen")) - F.try_divide(others_bad, others))
+    similar = (F.col("seen") >= LEAST) & (others >= LEAST) & (apart <= Z * error)
+    compared = fixed.join(pooled, alike).withColumn("similar", F.coalesce(similar, F.lit(False)))
     named = compared.filter("similar").groupBy(*alike).agg(F.min("segment").alias("first"), F.count(F.lit(1)).alias("merged"))
     settled = compared.join(named, alike, "left").select(
         "host", "node", "segment", F.when(F.col("similar") & (F.col("merged") > 1), F.concat("first", F.lit("|~"))).otherwise(F.col("segment")).alias("branch")
@@ -181,7 +186,8 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, DataFra
 
 
 def smoothed_shares(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """``(host, path, template, rejected_share)``: each template's share of rejected urls, smoothed by those above it."""
+    """``(host, path, template, rejected_share, labelled)``: each template's share of rejected urls, smoothed by those above it, and whether
+    it or a template above it, the host aside, has labels."""
     paths, sums = templates(urls, levels)
     sums = stored(sums)
     everything = sums.filter("depth = 0").agg(F.sum("seen").alias("s"), F.sum("bad").alias("b")).first()
@@ -191,15 +197,16 @@ def smoothed_shares(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
     path_sums = steps.join(sums, ["host", "template", "depth"]).groupBy("host", "leaf").agg(
         F.sort_array(F.collect_list(F.struct("depth", "seen", "bad"))).alias("sums")
     )
-    none = F.struct(F.lit(start).cast("double").alias("p"), F.lit(-1).cast("bigint").alias("seen"), F.lit(-1).cast("bigint").alias("bad"))
-
-    def smoothed(above: Column, s: Column) -> Column:
-        again = (s["depth"] > levels) & (s["seen"] == above["seen"]) & (s["bad"] == above["bad"])
-        p = F.when(again, above["p"]).otherwise((s["bad"] + F.lit(PRIOR) * above["p"]) / (s["seen"] + F.lit(PRIOR)))
-        return F.struct(p.alias("p"), s["seen"].alias("seen"), s["bad"].alias("bad"))
-
-    share = F.aggregate("sums", none, smoothed, lambda x: x["p"])
-    leaves = path_sums.select("host", F.col("leaf").alias("template"), share.alias("rejected_share"))
+    # Each step takes the labels that the next one does not have.
+    net = F.transform(
+        "sums",
+        lambda x, i: F.struct(
+            (x["seen"] - F.coalesce(F.get("sums", i + 1)["seen"], F.lit(0))).alias("seen"), (x["bad"] - F.coalesce(F.get("sums", i + 1)["bad"], F.lit(0))).alias("bad")
+        ),
+    )
+    share = F.aggregate(net, F.lit(start).cast("double"), lambda p, x: (x["bad"] + F.lit(PRIOR) * p) / (x["seen"] + F.lit(PRIOR)))
+    evidence = F.exists("sums", lambda x: (x["depth"] > 0) & (x["seen"] > 0))
+    leaves = path_sums.select("host", F.col("leaf").alias("template"), share.alias("rejected_share"), evidence.alias("labelled"))
     return paths.select("host", "path", "template").join(leaves, ["host", "template"])
 
 
@@ -216,7 +223,7 @@ def judge(pages: DataFrame, rules: list[Rule], labels: DataFrame | None = None,
     if labels is not None:
         urls = urls.unionByName(only(labels, "host", "path", "label"))
     shares = smoothed_shares(urls, levels)
-    by_method = F.when(F.col("rejected_share") > REJECT, "block").otherwise("allow")
+    by_method = F.when(F.col("labelled") & (F.col("rejected_share") > REJECT), "block").otherwise("allow")
     return ruled.join(shares, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", by_method).alias("verdict"), "template", "rejected_share"
     )
