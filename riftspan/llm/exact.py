@@ -12,8 +12,8 @@
    of one. Were the bitmap ever full, more texts would be shuffled; the result stays the same.
 4. The groups are joined back to the stored rows, one row per block and text.
 
-Defined results: a null text counts as empty; rows that repeat id and text are one document, which
-is returned once though ``group_size`` counts its rows; a null id is smaller than no other id, so it
+Defined results: a null text counts as empty; rows that repeat id and text are returned as often as
+they occur and share their fate (all are ``kept`` or none is), and ``group_size`` counts each; a null id is smaller than no other id, so it
 stays only if no other row of that length does; an empty table gives an empty result; further
 columns are passed over.
 """
@@ -236,14 +236,13 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: st
             (F.col("group_size").isNull() | (F.col("keep_id").eqNullSafe(F.col("r.id")) & (F.col("keep_chars") == F.col("r.chars")))).alias("kept"),
             "sha",
         )
-        .distinct()
     )
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of equal texts; rows and columns are otherwise as they were."""
     marked = docs.withColumn("_mark", F.xxhash64("text"))
-    kept = stored(exact_duplicates(docs).filter("kept").select(F.col("id").alias("_id"), F.col("mark").alias("_kept_mark"), "group_size"))
+    kept = stored(exact_duplicates(docs).filter("kept").select(F.col("id").alias("_id"), F.col("mark").alias("_kept_mark")).distinct())
     out = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_kept_mark")))
     out = out.select(*docs.columns)
     repeats = marked.groupBy("doc_id", "_mark").count().filter("count > 1").limit(1).count()
