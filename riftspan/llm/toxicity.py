@@ -1,26 +1,33 @@
 """Toxicity of texts whose words may be disguised.
 
 1. A character language model (Kneser-Ney trigrams) is counted over all texts of the corpus.
-2. Words with signs of disguise become a lattice: a character may stand for itself, for a letter it
-   looks like, for a repetition of the letter before, or for nothing; a run of single characters
-   set apart by white space is one such lattice. Viterbi decoding finds the reading that the language
-   model and the channel costs together make likeliest. Other words are read as they stand.
+2. Words that may be disguised (a look-alike, a doubled letter, a sign inside) become a lattice: a
+   character may stand for itself, for a letter it looks like, for a repetition of the letter before,
+   for the end of a word, or for nothing; a run of groups of one or two characters set apart by any
+   white space is one such lattice, and runs of single characters in it are once more. Viterbi decoding, which keeps every state, finds the reading that
+   the language model and the channel costs together make likeliest, with and without repetitions.
+   A word is also read as it stands and as the parts between its signs, since most doubled letters,
+   hyphens and commas are meant.
 3. The restored words of labelled rows give evidence: for each word, and for each beginning of five
    letters, the log-odds of toxic rows at the cautious end of its confidence interval. A text's
    evidence is the sum over its distinct words; the score is evidence / (evidence + threshold), with
    the threshold that separates the learning rows best.
 
-Each distinct word is decoded once per task. Documents are independent, so nothing is shuffled but
-counts. Defined results: null or empty texts have score 0; repeated rows give repeated results; if no
-toxic row can be learned from, all scores are 0; other columns are passed over.
+Distinct words are decoded about once per task. Documents are independent, so nothing is shuffled but
+counts. Defined results: null or empty texts have score 0; repeated rows give repeated results; very
+long texts and words are decoded whole, in time and memory proportional to their length; of equally
+likely readings the one found first in the order of the fixed tables counts; if no toxic row can be
+learned from, all scores are 0; other columns are passed over.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +43,13 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¡": "i", "#": "h", "*": "aeiou",
 }
 
-#: Costs in nats of the channel: a look-alike, a repeated letter, a sign put in between, a look-alike that means nothing, a digit left as it is.
-SUBSTITUTED, REPEATED, INSERTED, IDLE, KEPT = 1.0, 0.7, 1.5, 10.0, 12.0
-#: Readings kept at each position of a lattice.
-BEAM = 24
+#: Costs in nats of the channel: a look-alike, a repeated letter, a sign put in between, a sign that ends a word, a look-alike that means nothing,
+#: a digit left as it is. White space in a lattice may be nothing or the end of a word at no cost.
+SUBSTITUTED, REPEATED, INSERTED, BROKEN, IDLE, KEPT = 1.0, 0.7, 1.5, 4.0, 10.0, 12.0
 #: Learning rows: about so many labelled rows, chosen by a hash of the id.
 LEARNING_ROWS = 20_000
-#: Words remembered by a task.
-REMEMBERED = 500_000
+#: Characters of words remembered by a task, and of the longest word that is.
+REMEMBERED, LONGEST = 6_000_000, 100
 #: Letters of a word's beginning that count as evidence of their own.
 BEGINNING = 5
 #: Rows in which a toxic word must occur.
@@ -51,11 +57,20 @@ LEAST_ROWS = 3
 #: Standard errors taken off a feature's log-odds, and the log-odds that must then be left.
 CAUTION, LEAST_EVIDENCE = 2.5, 0.7
 
+#: The last two classes of a trigram's code.
+PAIR = (1 << 2 * BITS) - 1
 WORD = re.compile(r"\S+")
+#: Three or more groups of one or two characters in a row.
+SPACED = re.compile(r"(?<!\S)\S{1,2}(?:\s+\S{1,2}){2,}(?!\S)")
 #: Three or more single characters in a row.
-SPACED = re.compile(r"(?<!\S)\S(?:[^\S\n]{1,3}\S){2,}(?!\S)")
-#: A look-alike between letters or at their edge, a letter three times in a row, or letters set apart by signs.
-DISGUISED = re.compile(r"[^\W\d_][^\w\s]*[0-9@$!|+(<€£¡#*]+[^\w\s]*[^\W\d_]|^[0-9@$!|+(<€£¡]+[^\W\d_]|[^\W\d_][0-9@$€£]+\W*$|([^\W\d_])\1\1|[^\W\d_](?:[\W_][^\W\d_]){2}")
+SINGLE = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+#: Surely disguised: a look-alike between letters or at their edge, a letter three times in a row, or letters set apart by signs.
+DISGUISED = re.compile(r"[^\W\d_][^\w\s]*[0-9@$!|+(<€£¡#*]+[^\w\s]*[^\W\d_]|^[0-9@$!|+(<€£¡]+[^\W\d_]|[^\W\d_][0-9@$€£]+\W*$|([^\W\d_])\1\1|[^\W\d_](?:[\W_]+[^\W\d_]){2}")
+#: Perhaps disguised: a doubled letter, a sign between letters, or look-alikes only.
+PERHAPS = re.compile(r"([^\W\d_])\1|[^\W\d_][\W_]+[^\W\d_]|^(?=.*[@$€£])[0-9@$!|+(<€£¡#*]{3,}$")
+#: A character twice in a row.
+DOUBLED = re.compile(r"(\S)\1")
+SIGNS = re.compile(r"[\W_]+")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 
@@ -72,68 +87,125 @@ class Lattice:
         codes = np.arange(1 << 3 * BITS)
         return Lattice(model.log_probability(codes).astype(np.float32).reshape(CLASSES, CLASSES, CLASSES), classes)
 
-    def readings(self, c: str) -> list[tuple[str, float]]:
-        """What a character may stand for, with costs; an empty text is nothing at all."""
+    @cached_property
+    def costs(self) -> array:
+        """The table as plain numbers, by class << 14 | class << 7 | class."""
+        return array("f", (-self.table).ravel().tobytes())
+
+    @cached_property
+    def class_of(self) -> bytes:
+        """Classes as plain numbers."""
+        return self.classes.tobytes()
+
+    @cached_property
+    def options(self) -> dict[str, list[tuple[str, int, float]]]:
+        """Readings of the characters met so far."""
+        return {}
+
+    def readings(self, c: str) -> list[tuple[str, int, float]]:
+        """What a character may stand for, with classes and costs; an empty text is nothing at all, a blank the end of a word."""
         if c.isspace():
-            return [("", 0.0)]
-        if c.isalpha():
-            return [(c, 0.0)]
-        like = [(x, SUBSTITUTED) for x in LOOKS_LIKE.get(c, "")]
-        return [*like, ("", IDLE if like else INSERTED), *[(c, KEPT)] * c.isdigit()]
-
-    def decode(self, text: str) -> str:
-        """The likeliest reading."""
-        table = self.table
-        beam: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+            found = [("", 0.0), (" ", 0.0)]
+        elif c.isalpha():
+            found = [(c, 0.0)]
+        else:
+            like = [(x, SUBSTITUTED) for x in LOOKS_LIKE.get(c, "")]
+            found = [*like, ("", IDLE if like else INSERTED), *[(c, KEPT)] * c.isdigit(), *[(" ", BROKEN)] * (not like)]
+        return [(x, self.class_of[ord(x)] if x else 0, price) for x, price in found]
+
+    def decode(self, text: str, repeats: bool = True) -> str:
+        """The likeliest reading; without ``repeats`` every letter is meant.
+
+        A state is the last two classes and the last letter, of which there are a bounded number however long the text is.
+        Paths are chains that share their beginnings.
+        """
+        costs, known = self.costs, self.options
+        states: dict[tuple[int, str], tuple[float, tuple | None]] = {(0, ""): (0.0, None)}
         for c in text.lower():
-            options = self.readings(c)
-            ahead: dict[tuple[int, int, str], tuple[float, str]] = {}
-            for (a, b, last), (cost, out) in beam.items():
-                for letter, price in options:
-                    if letter == "":
-                        key, value = (a, b, last), (cost + price, out)
-                    else:
-                        k = int(self.classes[ord(letter)])
-                        key, value = (b, k, letter), (cost + price - float(table[a, b, k]), out + letter)
-                    if key not in ahead or value < ahead[key]:
-                        ahead[key] = value
-                    if letter and letter == last:  # the same letter once more, said only once
-                        key, value = (a, b, last), (cost + price + REPEATED, out)
-                        if key not in ahead or value < ahead[key]:
-                            ahead[key] = value
-            beam = dict(sorted(ahead.items(), key=lambda x: x[1])[:BEAM])
-        return min((cost - float(table[a, b, 0]), out) for (a, b, _), (cost, out) in beam.items())[1]
+            options = known.get(c)
+            if options is None:
+                options = known[c] = self.readings(c)
+            ahead: dict[tuple[int, str], tuple[float, tuple | None]] = {}
+            for key, (cost, path) in states.items():
+                context, last = key
+                for letter, kind, price in options:
+                    spent = cost + price
+                    if letter:
+                        total = spent + costs[context << BITS | kind]
+                        new = ((context << BITS | kind) & PAIR, letter)
+                        if new not in ahead or total < ahead[new][0]:
+                            ahead[new] = (total, (path, letter))
+                        if letter != last or not repeats or letter == " ":
+                            continue
+                        spent += REPEATED  # the same letter once more, said only once
+                    if key not in ahead or spent < ahead[key][0]:
+                        ahead[key] = (spent, path)
+            states = ahead
+        path = min(((cost + costs[context << BITS], path) for (context, _), (cost, path) in states.items()), key=lambda x: x[0])[1]
+        out = []
+        while path is not None:
+            path, letter = path
+            out.append(letter)
+        return "".join(reversed(out))
 
 
 class Restorer:
-    """Restored words of texts; each distinct word is looked at once."""
+    """Readings of the words of texts; a distinct word is looked at once as long as it is remembered."""
 
     def __init__(self, lattice: Lattice) -> None:
         self.lattice = lattice
-        self.known: dict[str, str] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
+        self.room = REMEMBERED
 
-    def word(self, w: str) -> str:
-        """One word without its signs at the edges, restored if it looks disguised."""
-        found = self.known.get(w)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
+    def _remember(self, w: str, found: tuple[str, ...]) -> tuple[str, ...]:
+        if len(w) <= LONGEST:
+            self.room -= len(w)
+            if self.room < 0:
                 self.known.clear()
-            found = self.lattice.decode(w) if DISGUISED.search(w) else EDGES.sub("", w)
+                self.room = REMEMBERED
             self.known[w] = found
         return found
 
+    def word(self, w: str) -> tuple[str, ...]:
+        """Readings of a word: as it stands (without signs at the edges), as the parts that signs set apart, and decoded."""
+        found = self.known.get(w)
+        if found is not None:
+            return found
+        plain = EDGES.sub("", w)
+        if not (PERHAPS.search(w) or DISGUISED.search(w)):
+            return self._remember(w, (plain,))
+        return self._remember(w, (plain, *(x for x in SIGNS.split(plain) if x != plain), *self.decoded(w)))
+
+    def decoded(self, w: str) -> list[str]:
+        """Words of the likeliest readings."""
+        found = self.lattice.decode(w).split()
+        return found + self.lattice.decode(w, repeats=False).split() if DOUBLED.search(w) else found
+
+    def spaced(self, run: str) -> tuple[str, ...]:
+        """Words that a run of short groups reads as."""
+        key = " ".join(run.split())
+        found = self.known.get(key)
+        return found if found is not None else self._remember(key, tuple(self.decoded(key)))
+
     def words(self, text: str) -> set[str]:
-        """Distinct restored words of a text, runs of single characters read as words too."""
-        word = self.word
-        out = {word(w) for w in set(text.lower().split())}
-        out.update(word(m.group()) for m in SPACED.finditer(text.lower()) if any(map(str.isalpha, m.group())))
+        """Distinct words of a text by all readings."""
+        low = text.lower()
+        out: set[str] = set()
+        for w in set(low.split()):
+            out.update(self.word(w))
+        for m in SPACED.finditer(low):
+            run = m.group()
+            for own in {run, *(x.group() for x in SINGLE.finditer(run))}:
+                if any(map(str.isalpha, own)):
+                    out.update(self.spaced(own))
         out.discard("")
         return out
 
     def restored(self, text: str) -> str:
-        """A text with its disguised words restored."""
-        joined = SPACED.sub(lambda m: self.word(m.group().lower()) if any(map(str.isalpha, m.group())) else m.group(), text)
-        return WORD.sub(lambda m: self.word(m.group().lower()) if DISGUISED.search(m.group().lower()) else m.group(), joined)
+        """A text with the words restored that are surely disguised."""
+        decode = self.lattice.decode
+        joined = SINGLE.sub(lambda m: decode(" ".join(m.group().split())) if any(map(str.isalpha, m.group())) else m.group(), text)
+        return WORD.sub(lambda m: decode(m.group()) if DISGUISED.search(m.group().lower()) else m.group(), joined)
 
 
 def features(words: set[str]) -> set[str]:

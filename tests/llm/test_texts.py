@@ -2,6 +2,8 @@
 
 import collections
 import hashlib
+import itertools
+import math
 import random
 import re
 
@@ -15,7 +17,7 @@ from odd import TEXTS, documents  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from riftspan.llm import attribution, charlm, exact, language, pieces, simhash, toxicity  # noqa: E402
-from riftspan.llm.common import shared, stored  # noqa: E402
+from riftspan.llm.common import opened, shared, stored  # noqa: E402
 
 
 def test_rice_codes_round_trip():
@@ -44,7 +46,8 @@ def test_exact_duplicates_equal_brute_force(spark):
     for texts in (TEXTS, many):
         found = exact.exact_duplicates(documents(spark, texts).repartition(5)).collect()
         got = [(r["id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["sha"]).hex()) for r in found]
-        assert len(got) == len(set(got))
+        assert len(got) == len(texts)
+        assert collections.Counter(r[0] for r in got) == collections.Counter(i for i, _ in texts)
         assert set(got) == brute_exact(texts)
 
 
@@ -250,12 +253,50 @@ def test_disguises_are_seen_through(spark):
     assert all(got[i]["score"] >= 0.5 for i in (1, 2, 3, 4)), got
     assert all(got[i]["score"] < 0.5 for i in (5, 6, 7)), got
     assert got[1]["restored"] == "a stupid remark" and got[2]["restored"] == "an idiot here"
+    forms = [
+        "iddiioott", "sttuuppiidd", "i--d--i--o--t", "m..o..r..o..n", "stu-pid", "idi.ot", "st_upid", "i    d    i    o    t", "i\nd\ni\no\nt",
+        "st up id", "y o u a r e a n i d i o t", "a s t u p i d i d i o t", "s t u p i d   i d i o t", "what,idiot", "1d!0+",
+    ]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_texts(documents(spark, list(enumerate(forms))), model, box).collect()}
+    restorer = toxicity.Restorer(opened(box))
+    assert not [(forms[i], restorer.words(forms[i])) for i, s in got.items() if s < 0.5]
+    kind = ["walk along the river", "talk about the wea-ther", "p e o p l e walk", "weather, weather", "is it on or up in", "1 2 3 4 k", "$$$ 100"]
+    got = toxicity.score_texts(documents(spark, list(enumerate(kind))), model, box).collect()
+    assert all(r["score"] < 0.5 for r in got), got
     left = toxicity.without_toxic(documents(spark, TEXTS + [(50, "you idiot, stupid")]), labels.filter("false"))
     assert left.count() == 12 and left.columns == documents(spark).columns
     odd = toxicity.score_texts(documents(spark), model, shared(spark, toxicity.corpus_lattice(documents(spark, []))))
     assert odd.count() == len(TEXTS)
 
 
+def test_decoding_finds_the_likeliest_path():
+    """Against all readings of short words, listed one by one."""
+    rng = random.Random(9)
+    table = np.log(np.random.default_rng(5).dirichlet(np.ones(charlm.CLASSES), (charlm.CLASSES, charlm.CLASSES))).astype(np.float32)
+    lattice = toxicity.Lattice(table, charlm.class_table())
+
+    def cost(path):
+        total, a, b, last = 0.0, 0, 0, ""
+        for letter, kind, price, again in path:
+            total += price
+            if letter and again:
+                if letter != last or letter == " ":
+                    return math.inf
+                total += toxicity.REPEATED
+            elif letter:
+                total -= float(table[a, b, kind])
+                a, b, last = b, kind, letter
+        return total - float(table[a, b, 0])
+
+    for _ in range(40):
+        w = "".join(rng.choice("ab1*0-. ss") for _ in range(rng.randrange(1, 5)))
+        options = [[(*o, again) for o in lattice.readings(c) for again in ((False, True) if o[0] else (False,))] for c in w]
+        best = min(cost(path) for path in itertools.product(*options))
+        close = {"".join(x[0] for x in path if not x[3]) for path in itertools.product(*options) if cost(path) <= best + 1e-4}
+        assert lattice.decode(w) in close, w
+    assert len(lattice.decode("ab" * 20_000)) == 40_000
+
+
 @pytest.mark.parametrize("rule", attribution.RULES)
 def test_boundary_tokens_go_where_the_rule_says(rule):
     rng = random.Random(rule)
