@@ -179,7 +179,9 @@ class Restorer:
     def decoded(self, w: str) -> list[str]:
         """Words of the likeliest readings."""
         found = self.lattice.decode(w).split()
-        return found + self.lattice.decode(w, repeats=False).split() if DOUBLED.search(w) else found
+        if w.isalpha() or not DOUBLED.search(w):  # letters without repetitions can only be read as they stand
+            return found
+        return found + self.lattice.decode(w, repeats=False).split()
 
     def spaced(self, run: str) -> tuple[str, ...]:
         """Words that a run of short groups reads as."""
