@@ -171,6 +171,8 @@ class Restorer:
         found = self.known.get(w)
         if found is not None:
             return found
+        if w.isalpha():  # can only be disguised by repetition, and has no signs
+            return self._remember(w, (w, *self.decoded(w)) if DOUBLED.search(w) else (w,))
         plain = EDGES.sub("", w)
         if not (PERHAPS.search(w) or DISGUISED.search(w)):
             return self._remember(w, (plain,))
