@@ -5,20 +5,23 @@
    at most, so long texts keep soft memberships.
 2. Rates r minimise  sum_k (S_k - T_k)^2 / (2 T_k B) + (damping / 2) sum_d n_d (r_d - 1)^2 / N  over r >= ``least``,
    where S_k = sum_d r_d n_d p_dk are the expected tokens of a domain, T_k its target, B the budget and n_d the
-   tokens of a document, by projected gradient steps with momentum. A step needs the K sums S only: one
-   aggregation over a compact table (id, tokens, p, rate) per step. Rates between two
+   tokens of a document, by accelerated projected gradient steps. A step needs the K sums S and the size of the
+   projected gradient: one aggregation over a compact table (id, tokens, p, rate) per step. Rates between two
    steps are a column expression of the gradients so far, and are written out every few steps. Steps end when
-   totals are close to their targets, or no longer move (where targets cannot be met).
+   totals are close to their targets, or when the projected gradient is small (where targets cannot be met, or
+   classes are told apart too weakly to meet them). `domain_gaps` says how far totals are from their targets.
 3. A document is taken floor(r + u) times with u uniform from a hash of its id, so that expected
    totals stay as fitted.
 
 DataFrame functions only. Defined results: null texts count as empty; a document without words has
 the prior as posterior and no tokens; rows with null domain teach nothing; without labelled rows or
-tokens all rates are 1; rows that repeat id and text are one document; further columns are passed over.
+tokens all rates are 1; rows that repeat id and text are one document; further columns are passed over;
+a domain without tokens has the target 0 and no gap.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 
 from riftspan.llm.common import labelled_sample, only, stored, table
 
+LOG = logging.getLogger(__name__)
+
 #: Hash buckets of words; classifier tables have so many entries a domain.
 BUCKETS = 4_096
 #: Labelled rows that the classifier learns from, about; chosen by a hash of the id.
@@ -34,10 +39,10 @@ LEARNING_ROWS = 20_000
 EVIDENCE_WORDS = 30.0
 #: Weight of staying near rate 1.
 DAMPING = 1e-4
-#: Most gradient steps, steps between written rates, the relative gap of totals at which to stop, and their change.
-STEPS, WRITTEN_EVERY, CLOSE, STILL = 48, 8, 5e-3, 1e-4
-#: How much of its last move a rate goes on by before the gradient is taken.
-MOMENTUM = 0.5
+#: Most gradient steps (a warning says if they run out), and steps between written rates.
+STEPS, WRITTEN_EVERY = 256, 8
+#: The relative gap of totals at which to stop, and the projected gradient (root mean square over tokens) at which they stay.
+CLOSE, STILL = 2e-3, 1e-4
 #: Target weights are the corpus' own shares to this power.
 FLATTENING = 0.7
 
@@ -99,37 +104,60 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, damp
     k_all = range(len(targets))
     budget = sum(targets)
     start = F.lit(max(1.0, least))
-    state = stored(members.withColumns({"rate": start, "before": start}))
-    sums = [F.sum(F.col("rate") * F.col("tokens") * F.col("p")[k]).alias(f"s{k}") for k in k_all]
+    state = stored(members.withColumns({"rate": start, "before": start, "moved": F.lit(0.0)}))
+    moves = F.sum(F.col("tokens") * F.col("moved") * F.col("moved")).alias("moved")
 
-    def totals(df: DataFrame) -> list[float]:
-        row = df.agg(*sums).first()
-        return [row[f"s{k}"] or 0.0 for k in k_all]
+    def totals(df: DataFrame) -> tuple[list[float], float]:
+        row = df.agg(*_sums(len(targets)), moves).first()
+        return [row[f"s{k}"] or 0.0 for k in k_all], row["moved"] or 0.0
 
-    now = totals(state)
+    now, _ = totals(state)
     everything = sum(now) / max(1.0, least)
     if not budget or not everything:
-        return state.drop("before")
+        return state.drop("before", "moved")
+
+    def distance(sums: list[float]) -> float:
+        return sum((s - t) ** 2 / t for s, t in zip(sums, targets) if t > 0)
+
     # In the metric of token shares no eigenvalue of the fit exceeds the largest row sum of its matrix, since memberships add up to 1.
     steepest = max(everything * s / max(1.0, least) / (budget * t) for s, t in zip(now, targets) if t > 0)
     rate_step = 1.0 / (steepest + damping)
-    current, last = state, now
+    current, last, pace = state, now, 1.0
     for step in range(1, steps + 1):
         if max(abs(s - t) / t for s, t in zip(now, targets) if t > 0) < CLOSE:
             break
+        # Rates go on by part of their last move before the gradient is taken, the longer the more.
+        longer = (1.0 + math.sqrt(1.0 + 4.0 * pace * pace)) / 2.0
+        momentum, pace = round((pace - 1.0) / longer, 12), longer
         # Totals are linear in the rates, so those of the rates gone on by the momentum need no pass of their own.
-        ahead = [s + MOMENTUM * (s - b) for s, b in zip(now, last)]
+        ahead = [s + momentum * (s - b) for s, b in zip(now, last)]
         # d/dr_d of the fit, per token and in units of 1/N; rounded so that a retried sum gives the same steps
         gradient = [round((s - t) / t * everything / budget, 12) if t > 0 else 0.0 for s, t in zip(ahead, targets)]
-        went_on = current.withColumn("ahead", F.col("rate") + F.lit(MOMENTUM) * (F.col("rate") - F.col("before")))
-        moved = F.col("ahead") - F.lit(rate_step) * (_dot(gradient) + F.lit(damping) * (F.col("ahead") - 1.0))
-        current = went_on.select(*members.columns, F.greatest(F.lit(float(least)), moved).alias("rate"), F.col("rate").alias("before"))
+        went_on = current.withColumn("ahead", F.col("rate") + F.lit(momentum) * (F.col("rate") - F.col("before")))
+        lower = F.col("ahead") - F.lit(rate_step) * (_dot(gradient) + F.lit(damping) * (F.col("ahead") - 1.0))
+        fitted = went_on.select(*members.columns, F.greatest(F.lit(float(least)), lower).alias("rate"), F.col("rate").alias("before"), "ahead")
+        current = fitted.withColumn("moved", F.col("rate") - F.col("ahead")).drop("ahead")
         if step % WRITTEN_EVERY == 0:
             current = stored(current)
-        last, now = now, totals(current)
-        if max(abs(s - b) / t for s, b, t in zip(now, last, targets) if t > 0) < STILL:
+        last, (now, move) = now, totals(current)
+        if distance(now) > distance(last):  # the momentum carried too far
+            pace = 1.0
+        if math.sqrt(move / everything) / rate_step < STILL:
             break
-    return stored(current.drop("before"))
+    else:
+        LOG.warning("mixing: %d steps did not reach the targets; see domain_gaps", steps)
+    return stored(current.drop("before", "moved"))
+
+
+def _sums(domains: int) -> list[Column]:
+    """Expected token totals by domain."""
+    return [F.sum(F.col("rate") * F.col("tokens") * F.col("p")[k]).alias(f"s{k}") for k in range(domains)]
+
+
+def domain_gaps(rated: DataFrame, targets: list[float]) -> list[float | None]:
+    """By how much of its target each domain's expected total misses it; None where the target is 0."""
+    row = rated.agg(*_sums(len(targets))).first()
+    return [((row[f"s{k}"] or 0.0) - t) / t if t > 0 else None for k, t in enumerate(targets)]
 
 
 def flattened_targets(shares: list[float], power: float, every_document: bool) -> list[float]:
@@ -181,11 +209,13 @@ def mixed(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Domain, expected share, rate and copies of every document, under a budget of the corpus' own size."""
+    """Domain, its gap to the target, expected share, rate and copies of every document, under a budget of the corpus' own size."""
     docs = table(spark, sf_dir, "documents")
-    names, _, rated = mix(docs, by_language_and_quality(docs, table(spark, sf_dir, "labels")))
+    names, targets, rated = mix(docs, by_language_and_quality(docs, table(spark, sf_dir, "labels")))
     domain = F.array(*[F.lit(n) for n in names])
+    gaps = F.array(*[F.lit(g).cast("double") for g in domain_gaps(rated, targets)])
     top = F.array_max("p")
+    at = F.array_position("p", top).cast("int") - 1
     return rated.select(
-        F.col("id").alias("doc_id"), "tokens", F.get(domain, F.array_position("p", top).cast("int") - 1).alias("domain"), top.alias("posterior"), "rate", "copies"
+        F.col("id").alias("doc_id"), "tokens", F.get(domain, at).alias("domain"), top.alias("posterior"), "rate", "copies", F.get(gaps, at).alias("domain_gap")
     )

@@ -189,3 +189,33 @@ def test_mixing_of_odd_documents(spark):
     mixed = mixing.mixed(docs, tags)
     assert mixed.columns == docs.columns
     assert {r["doc_id"] for r in mixed.collect()} == {i for i, _ in texts}
+
+
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_the_fit_ends_at_the_optimum_of_the_same_problem(spark, least):
+    rng = np.random.default_rng(3)
+    n = rng.integers(20, 300, 400).astype(float)
+    share = np.clip(rng.normal(0.9, 0.05, 400), 0.8, 0.98)
+    group = rng.choice(2, 400, p=[0.8, 0.2])
+    p = np.zeros((400, 4))
+    p[np.arange(400), 2 * group], p[np.arange(400), 2 * group + 1] = share, 1 - share
+    targets = mixing.flattened_targets((n @ p).tolist(), 0.7, least > 0)
+    members = spark.createDataFrame([(i, i, int(n[i]), p[i].tolist()) for i in range(400)], "id long, mark long, tokens long, p array<double>")
+    rated = mixing.fit_rates(members, targets, least=least)
+    rate = np.array([r["rate"] for r in rated.orderBy("id").collect()])
+
+    def objective(r):
+        s, t = (r * n) @ p, np.array(targets)
+        return ((s - t) ** 2 / t).sum() / (2 * t.sum()) + mixing.DAMPING / 2 * (n * (r - 1) ** 2).sum() / n.sum()
+
+    # The optimum by plain small steps of the same problem, as many as it takes.
+    plain, t = np.ones(400), np.array(targets)
+    size = 1 / (max(n @ p / t) * n.sum() / t.sum() + mixing.DAMPING)
+    for _ in range(20_000):
+        gradient = p @ (((plain * n) @ p - t) / t) * n.sum() / t.sum() + mixing.DAMPING * (plain - 1)
+        plain = np.maximum(least, plain - size * gradient)
+    assert (rate >= least).all()
+    assert objective(rate) <= objective(plain) * 1.02 + 1e-5
+    gaps = mixing.domain_gaps(rated, targets)
+    assert gaps == pytest.approx(list(((rate * n) @ p - t) / t), abs=1e-9)
+    assert mixing.domain_gaps(rated, [*targets[:3], 0.0])[3] is None
