@@ -25,15 +25,17 @@ BROADCAST_FILES = 100_000
 PART_NUMBER = r"/part-(\d+)[^/]*$"
 
 
-def read_lines(spark: SparkSession, path: str | list[str], file_ord: int = 0) -> DataFrame:
-    """Lines with the order columns, without any shuffle.
+def read_lines(spark: SparkSession, path: str | list[str], file_ord: int = 0, separator: str = "\n") -> DataFrame:
+    """Lines with the order columns, without any shuffle; with another ``separator``, the texts between its occurrences.
 
     Splits of a file are told apart by their offset. Inside a split, row ids grow with the rows. The parts of a
     folder are in the order of their numbers, which their names as text are not beyond 100,000 parts.
     """
     file = F.col("_metadata.file_path")
     part = F.regexp_extract(file, PART_NUMBER, 1)
-    return spark.read.text(path).select(
+    # Spark's own line ends include those with a carriage return.
+    lines = spark.read.text(path) if separator == "\n" else spark.read.text(path, lineSep=separator)
+    return lines.select(
         F.lit(file_ord).alias("file_ord"),
         F.struct(
             F.when(part != "", part.cast("long")).alias("part"), file.alias("file"), F.col("_metadata.file_block_start").alias("start")

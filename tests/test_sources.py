@@ -12,7 +12,7 @@ from riftspan.errors import InvalidBedFile, InvalidRegion, OutputExists
 from riftspan.plans.library import estimate_library
 from riftspan.sources import headers as hd
 from riftspan.sources import sam
-from riftspan.sources.fasta import read_fasta, reference_windows
+from riftspan.sources.fasta import _fragments, read_fasta, reference_windows
 from riftspan.sources.multijoin import multijoin
 from riftspan.sources.regions import Region, parse_region, parse_regions, read_bed
 from riftspan.sources.textio import in_part_order
@@ -123,6 +123,29 @@ def test_reference_windows_of_a_contig_on_one_line(spark, write):
         assert gc == pytest.approx(sum(map(piece.count, "GC")) / sum(map(piece.count, "ACGT")), rel=1e-6)
 
 
+@pytest.mark.parametrize("end", ["", "\n", "TGCA", "TGCA\n", "\r\n", "T"])
+def test_a_contig_on_one_line_is_read_by_several_tasks(spark, tmp_path, end):
+    rng = random.Random(12)
+    seqs = {"a": "TGCA" + "".join(rng.choices("ACGT", k=40_000)), "xTGCA>y": "TGCA>"[:4] * 50 + "N" * 300, "c": "".join(rng.choices("ACGTacgt", k=9_000)) + "TGTGCA"}
+    text = ">a with TGCA twice: TGCA\n" + seqs["a"] + "\n\n>xTGCA>y\r\n" + seqs["xTGCA>y"] + "\n>empty\n>c\n" + seqs["c"]
+    path = tmp_path / "r.fa"
+    path.write_bytes((text + end).encode())
+    seqs["c"] += end.strip()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = read_fasta(spark, str(path)).collect()
+        starts = _fragments(spark, str(path), "TGCA").filter("text <> ''").select("block.start").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, seq in seqs.items():
+        assert "".join(r["bases"] for r in sorted((r for r in rows if r["contig"] == name), key=lambda r: r["offset"])) == seq
+    assert {r["contig"] for r in rows} == set(seqs)
+    assert starts > 8 and max(len(r["bases"]) for r in rows if r["contig"] == "a") < 4_000  # small letters hold no cut
+    with pytest.raises(ValueError):
+        read_fasta(spark, str(path), "TT")
+
+
 @pytest.mark.parametrize("kind", ["coverage", "fragments"])
 def test_windows_end_with_the_contig(spark, write, tmp_path, kind):
     rows = [s.read("t", 99, "alpha", pos, "90M", "=", pos + 200, 290, mapq=60, tags=("RG:Z:sample",)) for pos in (1, 930, 980)]
