@@ -2,9 +2,9 @@
 
 Models are counted over all learning rows. A text gets the language whose model gives the lowest
 cross-entropy per character. The score turns the lead over the other languages into a probability
-with a temperature fitted on learning rows, and a text is marked ``rejected`` if that probability is
+with a temperature fitted on all learning rows, and a text is marked ``rejected`` if that probability is
 under one half or its cross-entropy is beyond what all but a thousandth of the learning rows of that
-language have.
+language have. Both are found by a second pass over the learning rows, of which the driver gets sums and limits only.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected; ties go
 to the first language by name; without learning rows everything is ``und``; repeated rows give
@@ -19,12 +19,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riftspan.llm.charlm import KneserNey, class_table, cross_entropies, fit_models, letters, trigram_counts
-from riftspan.llm.common import bounded_sample, held_out, only, opened, shared, table, texts_of
+from riftspan.llm.common import held_out, only, opened, shared, stored, table, texts_of
+from riftspan.operators.quantiles import exact_quantiles
 
-#: Learning rows, chosen by a hash of their id, on which score and rejection are calibrated.
-CALIBRATION_ROWS = 4_000
+#: Temperatures that are tried on all learning rows.
+TEMPERATURES = 2.0 ** np.arange(-6, 7)
+#: Share of a language's learning rows whose cross-entropy is within its limit.
+WITHIN = 0.999
 UNKNOWN = "und"
 
 
@@ -63,17 +67,34 @@ def train(labelled: DataFrame, classes) -> LanguageModels:
     fitted = fit_models(trigram_counts(rows, "lang", classes))
     names = sorted(fitted)
     models = [fitted[n] for n in names]
-    sample = bounded_sample(labelled.filter("lang is not null and text is not null"), "doc_id", CALIBRATION_ROWS).select("lang", "text").collect() if names else []
-    texts, truth = [r["text"] for r in sample], np.array([names.index(r["lang"]) for r in sample], int)
-    if not texts:
-        return LanguageModels(names, models, 1.0, np.full(len(names), np.inf))
-    entropy, n = cross_entropies(texts, models, classes.value)
-    grid = 2.0 ** np.arange(-6, 7)
-    lead = (entropy - entropy.min(1, keepdims=True)) * np.sqrt(np.maximum(n, 1))[:, None]
-    loss = [np.mean(np.log(np.exp(-lead * t).sum(1)) + lead[np.arange(len(texts)), truth] * t) for t in grid]
-    own = entropy[np.arange(len(texts)), truth]
-    limits = np.array([np.quantile(own[truth == k], 0.999) if (truth == k).any() else np.inf for k in range(len(names))])
-    return LanguageModels(names, models, float(grid[int(np.argmin(loss))]), limits)
+    if not names:
+        return LanguageModels(names, models, 1.0, np.empty(0))
+    return calibrated(rows, names, models, classes)
+
+
+def calibrated(rows: DataFrame, names: list[str], models: list[KneserNey], classes) -> LanguageModels:
+    """The models with temperature and limits from all of ``rows`` (``lang``, ``text``); rows of a language without a model say nothing."""
+    box = shared(rows.sparkSession, models)
+    number = {name: k for k, name in enumerate(names)}
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = opened(box)
+        total = np.zeros(len(TEMPERATURES))
+        for batch in batches:
+            texts, truth = texts_of(batch, "text"), np.array([number[name] for name in batch.column("lang").to_pylist()], int)
+            entropy, n = cross_entropies(texts, fitted, classes.value)
+            lead = (entropy - entropy.min(1, keepdims=True)) * np.sqrt(np.maximum(n, 1))[:, None]
+            at = np.arange(len(texts)), truth
+            total += [np.sum(np.log(np.exp(-lead * t).sum(1)) + lead[at] * t) for t in TEMPERATURES]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(entropy[at]), pa.nulls(len(texts), pa.list_(pa.float64()))], names=["lang", "own", "loss"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.float64()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["lang", "own", "loss"])
+
+    known = rows.select(F.col("lang").cast("string").alias("lang"), "text").filter(F.col("lang").isin(names))
+    judged = stored(known.mapInArrow(judge, "lang string, own double, loss array<double>"))
+    loss = judged.filter("loss is not null").agg(*[F.sum(F.get("loss", F.lit(i))) for i in range(len(TEMPERATURES))]).first()
+    found = exact_quantiles(judged.filter("lang is not null"), ["lang"], "own", {"most": WITHIN})
+    most = {r["lang"]: r["most"] for r in found.collect()}
+    return LanguageModels(names, models, float(TEMPERATURES[int(np.argmin(loss))]), np.array([most[name] for name in names]))
 
 
 def identify(docs: DataFrame, models: LanguageModels, classes, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

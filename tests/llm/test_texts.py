@@ -242,6 +242,24 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in language.identify(documents(spark), nothing, classes).collect()} == {"und"}
 
 
+def test_languages_are_calibrated_on_every_learning_row(spark):
+    rng = random.Random(5)
+    words = {"en": ["the", "house", "and", "with", "river"], "de": ["das", "haus", "und", "mit", "fluss"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 8))), lang) for i in range(9_000) for lang in ("en", "de")]
+    rows += [(9_500, "qxjz", "en"), (9_501, "1234", "xx"), (9_502, None, "de")]
+    classes = spark.sparkContext.broadcast(charlm.class_table())
+    models = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), classes)
+    assert models.names == ["de", "en"]
+    taught = [(text, lang) for _, text, lang in rows if text and lang in models.names]
+    entropy, n = charlm.cross_entropies([text for text, _ in taught], models.models, classes.value)
+    truth = np.array([models.names.index(lang) for _, lang in taught])
+    own = entropy[np.arange(len(taught)), truth]
+    assert np.allclose(models.limits, [np.quantile(own[truth == k], 0.999) for k in range(2)], rtol=1e-12)
+    lead = (entropy - entropy.min(1, keepdims=True)) * np.sqrt(np.maximum(n, 1))[:, None]
+    loss = [np.mean(np.log(np.exp(-lead * t).sum(1)) + lead[np.arange(len(taught)), truth] * t) for t in language.TEMPERATURES]
+    assert models.temperature == language.TEMPERATURES[int(np.argmin(loss))]
+
+
 def test_disguises_are_seen_through(spark):
     clean = "people walk along the river and talk about the weather "
     toxic = "people say you are a stupid idiot and a worthless moron "
