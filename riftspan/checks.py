@@ -943,7 +943,7 @@ def norm_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("norm_depth_long", _norm_depth_sql("pos + sv_len * sv_len"))
 def norm_depth_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for variants of thousands of windows, most of which are too long for one task's block."""
+    """The same for variants of thousands of windows, most of which are too long for blocks of the first level."""
     svs = bind.svs(spark, sf_dir).withColumn("end2", F.col("pos") + F.col("sv_len") * F.col("sv_len"))
     return _norm_depth(spark, sf_dir, svs, 1 << 15)
 

@@ -5,8 +5,9 @@ from two prefix counts per value interval, one over starts and one over ends, an
 the digits of the values.
 
 Ranges of up to ``reach`` lie within a block of twice that length. There both sequences are wavelet matrices in the memory of a task, and all
-ranges of the block go down bit by bit at once. Longer ranges go down together on Spark, four bits a round: each asks for the digits
-of its node at its two ends, whatever its length. Rows moved are those of items and ranges per round.
+ranges of the block go down bit by bit at once. Ranges up to 8 times as long do the same in blocks that are so much longer, unless
+a block holds too many items for a task. All other ranges go down together on Spark, four bits a round: each asks for the digits
+of its node at its two ends, whatever its length. Rows moved are those of items per width of blocks in use, or of items and ranges per round.
 """
 
 from __future__ import annotations
@@ -21,10 +22,14 @@ from riftspan.operators.ordered import global_row_number
 from riftspan.operators.prefix import sums_below
 from riftspan.session import reliable_checkpoint
 
-#: Longest range that is answered within one block.
+#: Longest range that is answered within one block of the first level.
 REACH = 1 << 18
 #: Ranges of one block that one task answers; a block of more is dealt over several.
 RANGES_PER_TASK = 1_000_000
+#: Blocks grow by this power of two a level, and there are so many levels above the first.
+WIDER_BITS, WIDER_LEVELS = 3, 1
+#: Items that a block above the first level may hold; ranges of one with more go down in rounds.
+ITEMS_PER_BLOCK = 250_000
 #: Bits that long ranges go down in a round.
 DIGIT = 4
 
@@ -101,13 +106,45 @@ def _in_block(items: pa.Table, ranges: pa.Table) -> pa.Table:
 _FOUND = pa.schema([("grp", pa.string()), ("series", pa.string()), ("lo", pa.int64()), ("hi", pa.int64()), ("n", pa.int64()), ("median", pa.float64())])
 
 
-def _short(ranges: DataFrame, items: DataFrame, reach: int, most: int) -> DataFrame:
-    """Ranges of up to ``reach``: block ``b`` holds what touches ``[b * reach, (b + 2) * reach)``."""
-    first = F.greatest(int_div(F.col("start"), reach) - 1, F.lit(0).cast("long"))
-    last = int_div(F.greatest(F.col("end") - 1, F.lit(0).cast("long")), reach)
-    laid_out = items.withColumn("block", F.explode(F.sequence(first, last)))
-    asked = ranges.withColumn("block", int_div(F.greatest(F.col("lo"), F.lit(0).cast("long")), reach))
-    key = ["grp", "block"]
+def _width(reach: int) -> F.Column:
+    width = F.lit(reach).cast("long")
+    for k in range(1, WIDER_LEVELS + 1):
+        width = F.when(F.col("level") >= k, F.lit(reach << WIDER_BITS * k).cast("long")).otherwise(width)
+    return width
+
+
+def _blocks_touched(start: F.Column, end: F.Column, width: F.Column) -> F.Column:
+    zero = F.lit(0).cast("long")
+    return F.sequence(F.greatest(int_div(start, width) - 1, zero), int_div(F.greatest(end - 1, zero), width))
+
+
+def _level(reach: int) -> F.Column:
+    """The first level of which a block may hold the range; one more than there are if none may."""
+    length, level = F.col("hi") - F.col("lo"), F.lit(WIDER_LEVELS + 1)
+    for k in range(WIDER_LEVELS, -1, -1):
+        level = F.when(length <= reach << WIDER_BITS * k, k).otherwise(level)
+    return level
+
+
+def _crowded(items: DataFrame, reach: int, levels: list[int]) -> DataFrame:
+    """``grp``, ``level``, ``block`` of the blocks above the first level with more than ``ITEMS_PER_BLOCK`` items of a series; few by that bound."""
+    # Cells of the first level decide the blocks of all, so items are counted by them first.
+    zero = F.lit(0).cast("long")
+    cells = items.groupBy("grp", "series", int_div(F.greatest(F.col("start"), zero), reach).alias("_f"), int_div(F.greatest(F.col("end") - 1, zero), reach).alias("_l")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    at = cells.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels])))
+    block = F.explode(_blocks_touched(F.col("_f"), F.col("_l") + 1, _width(1)))
+    per_block = at.select("grp", "series", "level", block.alias("block"), "_n").groupBy("grp", "series", "level", "block").agg(F.sum("_n").alias("_n"))
+    return per_block.filter(F.col("_n") > ITEMS_PER_BLOCK).select("grp", "level", "block").distinct()
+
+
+def _short(ranges: DataFrame, items: DataFrame, reach: int, levels: list[int], most: int) -> DataFrame:
+    """Ranges within a block: block ``b`` of a level holds what touches ``[b * width, (b + 2) * width)``."""
+    laid_out = items.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels])))
+    laid_out = laid_out.withColumn("block", F.explode(_blocks_touched(F.col("start"), F.col("end"), _width(reach))))
+    asked = ranges
+    key = ["grp", "level", "block"]
     if most > RANGES_PER_TASK:
         parts = asked.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / F.lit(RANGES_PER_TASK)).cast("int").alias("_parts"))
         asked = asked.join(parts, key).withColumn("part", F.pmod(F.xxhash64("lo", "hi"), F.col("_parts")).cast("int"))
@@ -192,17 +229,26 @@ def overlap_medians(ranges: DataFrame, items: DataFrame, group: str, reach: int
 
     ``ranges`` has ``group``, ``lo``, ``hi`` and no row twice; ``items`` has ``group``, ``series`` (a few names), ``start``, ``end`` and a double ``value``.
     ``n`` counts all overlapping items, the median goes over those with a value (the mean of the middle two), and is NULL if there is
-    none. Empty ranges and items overlap nothing.
+    none. Empty ranges and items overlap nothing. ``reach`` is half the length of a block of the first level.
     """
     ranges = ranges.select(F.col(group).cast("string").alias("grp"), F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
     ranges = ranges.filter("grp is not null and hi > lo")
     items = items.select(
         F.col(group).cast("string").alias("grp"), "series", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "value"
     ).filter(F.col("end") > F.col("start"))
-    is_long = (F.col("hi") - F.col("lo") > reach) | (F.col("lo") < 0)
-    per_block = ranges.groupBy("grp", int_div(F.col("lo"), reach), is_long.alias("_long")).count()
-    most, long = per_block.agg(F.max(F.when(~F.col("_long"), F.col("count"))), F.sum(F.when(F.col("_long"), F.col("count")))).first()
-    found = _short(ranges.filter(~is_long), items, reach, most or 0)
-    if long:
-        found = found.unionByName(_long(ranges.filter(is_long), items).select(*found.columns))
+    ranges = ranges.withColumn("level", _level(reach)).withColumn("block", int_div(F.greatest(F.col("lo"), F.lit(0).cast("long")), _width(reach)))
+    is_long = (F.col("level") > WIDER_LEVELS) | (F.col("lo") < 0)
+    used = ranges.filter(~is_long).groupBy("grp", "level", "block").count().groupBy("level").agg(F.max("count")).collect()  # a row per level
+    levels = sorted(level for level, _ in used)
+    if wider := [level for level in levels if level]:
+        crowded = reliable_checkpoint(_crowded(items, reach, wider).withColumn("_crowded", F.lit(True)))
+        ranges = ranges.join(F.broadcast(crowded), ["grp", "level", "block"], "left")
+        is_long = is_long | F.col("_crowded").isNotNull()
+    found = None
+    if levels:
+        found = _short(ranges.filter(~is_long), items, reach, levels, max(most for _, most in used))
+    long = ranges.filter(is_long).select("grp", "lo", "hi")
+    if not levels or not long.isEmpty():
+        rest = _long(long, items).select("grp", "series", "lo", "hi", "n", "median")
+        found = rest if found is None else found.unionByName(rest)
     return found.select(F.col("grp").alias(group), "lo", "hi", "series", "n", "median")

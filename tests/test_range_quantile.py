@@ -81,3 +81,21 @@ def test_rows_moved_do_not_grow_with_the_length_of_ranges(spark, monkeypatch):
 
     short, long = rows(1_000), rows(100_000)
     assert len(short) == len(long) and all(b <= 2 * a for a, b in zip(short, long))
+
+
+def test_ranges_of_a_few_blocks_need_no_rounds(spark, monkeypatch):
+    rng = random.Random(3)
+    items = [i for i in some_items(rng, 400, 2000) if i[4] is not None]
+    ranges = list({("a", s, s + rng.choice([60, 65, 300, 512])) for s in (rng.randrange(0, 2000) for _ in range(80))})
+    a = spark.createDataFrame(ranges, "contig string, lo bigint, hi bigint")
+    b = spark.createDataFrame(items, "contig string, series string, start bigint, end bigint, value double")
+    expected = {k: n for k, (n, _) in listed(ranges, items).items()}
+
+    def counts():
+        return {(r["contig"], r["lo"], r["hi"], r["series"]): r["n"] for r in overlap_medians(a, b, "contig", 64).collect()}
+
+    rounds, in_rounds = range_quantile._long, []
+    monkeypatch.setattr(range_quantile, "_long", lambda ranges, items: in_rounds.append(ranges.count()) or rounds(ranges, items))
+    assert counts() == expected and in_rounds == []
+    monkeypatch.setattr(range_quantile, "ITEMS_PER_BLOCK", 40)  # now some blocks hold too much for a task
+    assert counts() == expected and 0 < in_rounds[0] < len(ranges)
