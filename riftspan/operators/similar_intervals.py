@@ -116,9 +116,12 @@ def _tile_pairs(
     by = list(by)
     if least_shared is not None:
         # Hashes of elements take their place: a few pairs more may meet, and those are judged by their sets afterwards.
-        tiles = tiles.withColumn("_prefix", F.transform("_prefix", lambda t: F.xxhash64(t["_element"])))
-    left = tiles.drop("_set", "_prefix") if least_shared is None else tiles.withColumn("_token", F.explode("_prefix")).withColumn("_size", F.size("_set")).drop("_set")
-    own = [] if least_shared is None else [F.col("_prefix").alias("_other_prefix"), F.size("_set").alias("_other_size"), F.explode("_prefix").alias("_token")]
+        tiles = tiles.withColumn("_prefix", F.array_distinct(F.transform("_prefix", lambda t: F.hash(t["_element"]))))
+        tiles = tiles.withColumn("_size", F.size("_set"))
+        # A pair counts in the least hash that both have, so a row needs those below its own only.
+        below = F.filter("_prefix", lambda t: t < F.col("_token"))
+    left = tiles.drop("_set", "_prefix") if least_shared is None else tiles.withColumn("_token", F.explode("_prefix")).withColumn("_below", below).drop("_set", "_prefix")
+    own = [] if least_shared is None else [F.col("_prefix"), F.col("_size").alias("_other_size"), F.explode("_prefix").alias("_token")]
     right = tiles.select(
         *by,
         *own,
@@ -130,6 +133,8 @@ def _tile_pairs(
         F.col("e0").alias("f0"),
         F.col("e1").alias("f1"),
     )
+    if least_shared is not None:
+        right = right.withColumn("_other_below", below).drop("_prefix")
     if max_shift is not None:
         # Starts differ by at most max_shift, plus as much again for the extent of a tile.
         width = 2 * max_shift + 1
@@ -169,7 +174,7 @@ def _tile_pairs(
     if least_shared is not None:
         smaller, larger = (f("_size", "_other_size").cast("double") for f in (F.least, F.greatest))
         residual = residual & (smaller >= larger * F.lit(least_shared - 1e-6))
-        residual = residual & (F.array_min(F.array_intersect("_prefix", "_other_prefix")) == F.col("_token"))
+        residual = residual & ~F.arrays_overlap("_below", "_other_below")
     joined = salted_join(
         left.drop("_level", "_cs", "_ce"),
         right.drop("_rlevel") if max_shift is not None else right,

@@ -365,3 +365,19 @@ def test_depth_is_carried_over_windows_and_chunks(spark, monkeypatch, chunk):
         a, b, m = expected[c, p // 10]
         expected[c, p // 10] = (a + d, b + d * d, m + quality[c, p])
     assert got == expected
+
+
+def test_pairs_of_tiles_are_sought_from_one_side(spark, monkeypatch):
+    from riftspan.operators import similar_intervals
+
+    laid_out, joined = [], similar_intervals.salted_join
+
+    def counted(heavy, light, *args, **kwargs):
+        if "_other" in light.columns:
+            laid_out.append(light.count())
+        return joined(heavy, light, *args, **kwargs)
+
+    monkeypatch.setattr(similar_intervals, "salted_join", counted)
+    rows = spark.range(100).selectExpr("id", "'a' as contig", "id * 150 as s", "id * 150 + 200 + id % 2 * 200 as e")
+    clusters = cluster_similar(rows, "id", ["contig"], ("s", "e"), 0.5, None)
+    assert clusters.count() == 100 and laid_out[0] <= 600
