@@ -14,7 +14,7 @@ from riftspan.operators.blocked import drop_blocked
 from riftspan.operators.prefix import RangeCount, count_in_ranges
 from riftspan.operators.range_join import overlap_join
 from riftspan.operators.range_quantile import REACH, overlap_medians
-from riftspan.operators.range_text import joined_in_ranges
+from riftspan.operators.range_text import with_joined
 
 CNV_TYPES = ["DEL", "DUP", "CNV"]
 #: Windows with at least this mean mapping quality are preferred for depth.
@@ -212,14 +212,12 @@ def snv_counts(svs: DataFrame, snvs: DataFrame, limit: int | None, compat: bool
 def baf_lists(svs: DataFrame, snvs: DataFrame, order: list[str], limit: int | None) -> DataFrame:
     """``row_id``, ``bafs``: allele fractions inside duplications and CNVs, by position, joined by ``;``.
 
-    A list is one text by the format of the file. Nested variants share the fragments of it that they have in common.
+    A list is one text by the format of the file. It is made in the row it belongs to and not moved after.
     """
-    cnvs, sites = _cnv_sites(svs, limit, ["DUP", "CNV"])
+    cnvs, _ = _cnv_sites(svs, limit, ["DUP", "CNV"])
     fraction = F.format_string("%.5f", F.col("baf"))
-    per_site = joined_in_ranges(sites.select("contig", "lo", "hi"), snvs, "contig", "pos", order, fraction, "bafs")
-    return cnvs.join(per_site, ["contig", "lo", "hi"], "left").select(
-        "row_id", F.coalesce("bafs", F.lit("")).alias("bafs")
-    )
+    listed = with_joined(cnvs.drop("sv_type"), snvs, "contig", "pos", order, fraction, "bafs")
+    return listed.select("row_id", F.coalesce("bafs", F.lit("")).alias("bafs"))
 
 
 def homozygosity_run(sv_len: Column, left: Column, within: Column, right: Column) -> Column:

@@ -1,12 +1,14 @@
 """Joined texts of ranges against plain joining, and the number of fragments that ranges take."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from riftspan.operators import range_text
-from riftspan.operators.range_text import joined_in_ranges, pieces, range_pieces
+from riftspan.operators.range_text import joined_in_ranges, pieces, range_pieces, with_joined
+from riftspan.plans.annotate import baf_lists
 
 
 @pytest.mark.parametrize("top", [5, 1, 0])
@@ -42,3 +44,34 @@ def test_ten_thousand_nested_ranges_take_few_fragments(spark):
     ranges = spark.range(10_000).select(F.lit("a").alias("contig"), F.col("id").alias("lo"), (300_000 - F.col("id")).alias("hi"))
     taken = range_pieces(ranges, numbered, "contig", "pos", 5).groupBy("lo").count().agg(F.sum("count"), F.max("count")).first()
     assert taken[1] <= 2 * 7 * 5 + 100_000 // 8**5 and taken[0] <= 10_000 * 60  # listing pairs would be 900 million rows
+
+
+@pytest.mark.parametrize("bits", [(12, 15), (2, 4), (0, 3)])
+def test_rows_of_all_lengths_get_their_lists(spark, monkeypatch, bits):
+    monkeypatch.setattr(range_text, "BLOCK_BITS", bits)
+    rng = random.Random(3)
+    items = [(rng.choice("ab"), rng.randrange(400), i, rng.choice([None, f"t{i}"])) for i in range(300)]
+    ranges = [(rng.choice("abc"), s, s + rng.choice([0, 1, 3, 20, 90, 500])) for s in (rng.randrange(-20, 420) for _ in range(120))]
+    ranges += ranges[:30] + [(None, 1, 5), ("a", None, 5), ("a", 1, None)]
+    a = spark.createDataFrame([(i, *r) for i, r in enumerate(ranges)], "id int, contig string, lo bigint, hi bigint")
+    b = spark.createDataFrame(items, "contig string, pos bigint, ord int, text string")
+    got = {r["id"]: r["list"] for r in with_joined(a, b, "contig", "pos", ["ord"], F.col("text"), "list").collect()}
+    expected = {}
+    for i, (g, lo, hi) in enumerate(ranges):
+        own = [] if None in (g, lo, hi) else sorted((p, o, t or "") for c, p, o, t in items if c == g and lo <= p < hi)
+        expected[i] = ";".join(t for *_, t in own if t) if own else None
+    assert got == expected
+
+
+def test_lists_are_not_shuffled(spark):
+    rows = spark.range(60).selectExpr("id AS row_id", "'DUP' AS sv_type", "'a' AS chrom", "id AS pos", "id + 50 AS end2")
+    snvs = spark.range(100).selectExpr("'a' AS contig", "id AS pos", "id AS ord", "double(id) / 100 AS baf")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lists = baf_lists(rows, snvs, ["ord"], None)
+        plan = lists._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert moved and not any(c.startswith("bafs#") for columns in moved for c in columns.split(", "))
+        assert lists.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
