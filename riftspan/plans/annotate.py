@@ -11,8 +11,8 @@ from riftspan.config import Config
 from riftspan.functions.calls import allele_index
 from riftspan.functions.interval import centre_crop, clamp_sub
 from riftspan.operators.blocked import drop_blocked
+from riftspan.operators.pair_support import count_supported
 from riftspan.operators.prefix import RangeCount, count_in_ranges
-from riftspan.operators.range_join import overlap_join
 from riftspan.operators.range_quantile import REACH, overlap_medians
 from riftspan.operators.range_text import with_joined
 
@@ -26,7 +26,7 @@ _WINDOW = "struct<pair:tinyint,side:tinyint,contig:string,lo:bigint,hi:bigint,st
 def search_windows(max_dist: int, slack: int, compat: bool = False) -> Column:
     """Stranded windows around both ends in which supporting reads are sought.
 
-    Sides 1 and 2 of the same ``pair`` must both be hit by a read. Each window reaches ``max_dist`` to
+    Sides 1 and 2 of the same ``pair`` must both be hit by a read; they follow each other. Each window reaches ``max_dist`` to
     the side its reads come from and ``slack`` beyond the breakpoint. Types and strands without a
     rule have no windows, or raise an error if ``compat``.
     """
@@ -78,7 +78,7 @@ def drop_blocked_evidence(evidence: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def facing_evidence(evidence: DataFrame) -> DataFrame:
-    """Evidence by the strand of windows it supports, one row per template, place and strand.
+    """Evidence by the strand of windows it supports, a row per strand; copies are kept.
 
     Pairs count by the strand of the read; a read clipped at the right supports forward windows, at
     the left reverse ones, at both ends either.
@@ -94,7 +94,7 @@ def facing_evidence(evidence: DataFrame) -> DataFrame:
     signal = F.when(F.col("kind") == "PairedRead", 0).when(F.col("is_first"), 1).otherwise(2).cast("byte")
     return evidence.select(
         "read_id", signal.alias("signal"), "contig", "start", "end", F.explode(strands).alias("strand")
-    ).distinct()
+    )
 
 
 def evidence_counts(
@@ -102,25 +102,11 @@ def evidence_counts(
 ) -> DataFrame:
     """``row_id``, ``pe_count``, ``sr_count`` for variants with support: templates seen on both sides.
 
-    Copies of a variant are searched once. Evidence is joined to windows by contig, strand and bin.
+    Copies of a variant are searched once.
     """
     place = ["chrom", "pos", "chrom2", "end2", "sv_type", "strands"]
     sites = svs.groupBy(*place).agg(F.min("row_id").alias("site"))
-    windows = sites.select("site", F.explode(search_windows(max_dist, slack, compat)).alias("_w")).select(
-        "site", "_w.*"
-    )
-    hits = overlap_join(
-        facing_evidence(evidence),
-        windows,
-        ["contig", "strand"],
-        ("start", "end"),
-        ("lo", "hi"),
-        max_dist + slack,
-    )
-    both = hits.groupBy("site", "pair", "signal", "read_id").agg(F.bit_or("side").alias("_sides")).filter("_sides = 3")
-    per_site = both.groupBy("site").agg(
-        F.count_if(F.col("signal") == 0).alias("pe_count"), F.count_if(F.col("signal") > 0).alias("sr_count")
-    )
+    per_site = count_supported(facing_evidence(evidence), sites, search_windows(max_dist, slack, compat), max_dist + slack)
     counted = sites.join(per_site, "site").drop("site")
     return svs.select("row_id", *place).join(counted, place).select("row_id", "pe_count", "sr_count")
 
