@@ -348,7 +348,8 @@ def _star(large: DataFrame, distance: int, tile: int) -> DataFrame:
     if others.isEmpty():
         return star
     tiles = F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("bigint").alias("tiles")
-    sizes = led.groupBy("bucket").agg(tiles, F.ceil(F.count_if("rest") / F.lit(tile)).cast("bigint").alias("rests")).filter("rests > 0")
+    # Written, so that the planner knows how few buckets there are and broadcasts these if anything, not their rows.
+    sizes = stored(led.groupBy("bucket").agg(tiles, F.ceil(F.count_if("rest") / F.lit(tile)).cast("bigint").alias("rests")).filter("rests > 0"))
     sized = led.join(sizes, "bucket")
 
     def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
@@ -372,7 +373,8 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
         sizes = rows.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("n"), F.expr("bit_or(fp) ^ bit_and(fp)").alias("varying")
         ).filter("n > 1")
-        sized = stored(rows.join(sizes, "bucket"))
+        # The planner takes a fingerprint for one row, however many masks there are, and would broadcast them all.
+        sized = stored(rows.hint("merge").join(sizes, "bucket"))
         # Each bucket of this size is whole in one task and in one run of rows.
         compared = (F.col("n") <= bucket) | (F.bit_count("varying") <= FEW_BITS)
         small = sized.filter(compared).select("bucket", "fp").repartition("bucket").sortWithinPartitions("bucket", "fp")

@@ -58,3 +58,30 @@ def test_links_beyond_the_centre_equal_brute_force(spark, bucket):
     values = np.unique(np.concatenate(groups))
     expected = brute(values)
     assert len(expected) > 20 and classes(spark, values, bucket=bucket) == expected
+
+
+def broadcast_columns(plan):
+    """Names of the columns on the broadcast side of each broadcast join of a plan."""
+    children = [plan.children().apply(i) for i in range(plan.children().length())]
+    found = [names for child in children for names in broadcast_columns(child)]
+    if plan.nodeName().startswith("Broadcast") and plan.nodeName().endswith("HashJoin"):
+        output = children[plan.buildSide().toString() == "BuildRight"].output()
+        found.append({output.apply(i).name() for i in range(output.length())})
+    return found
+
+
+@pytest.mark.parametrize("bucket", [20, 1_000])
+def test_fingerprints_are_never_broadcast_by_bucket(spark, monkeypatch, bucket):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.integers(0, 2**63, 3_000, dtype=np.uint64), flipped(rng, np.uint64(0x0123456789ABCDEF), 300, 9)])
+    distinct = stored(spark.createDataFrame([(int(v),) for v in np.unique(values).view(np.int64)], "fp bigint"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) >= 1 << 20
+    planned = []
+
+    def seen(df):
+        planned.append(df._jdf.queryExecution().sparkPlan())
+        return stored(df)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    seen(simhash.links(distinct, 11, bucket))
+    assert planned and not [names for plan in planned for names in broadcast_columns(plan) if "fp" in names]
