@@ -381,3 +381,42 @@ def test_pairs_of_tiles_are_sought_from_one_side(spark, monkeypatch):
     rows = spark.range(100).selectExpr("id", "'a' as contig", "id * 150 as s", "id * 150 + 200 + id % 2 * 200 as e")
     clusters = cluster_similar(rows, "id", ["contig"], ("s", "e"), 0.5, None)
     assert clusters.count() == 100 and laid_out[0] <= 600
+
+
+@pytest.mark.parametrize("crowd", [0, 12, 512])
+@pytest.mark.parametrize("share,shift", [(0.4, None), (0.0, 15)])
+def test_similar_sets_in_crowded_places_equal_pairwise_linkage(spark, monkeypatch, crowd, share, shift):
+    from riftspan.operators import similar_intervals
+
+    monkeypatch.setattr(similar_intervals, "CROWD", crowd)
+    rng = random.Random(crowd)
+    rows = []
+    for i, c, s, e in intervals(rng, 200, hot_share=0.3, span=4000, longest=300):
+        s, e = s - 1000, max(e, s + 1) - 1000  # on both sides of zero
+        rows.append((i, rng.choice([c, c, None]), s, e, sorted(rng.sample("abcdefghij", rng.randrange(6)))))
+    df = spark.createDataFrame(rows, "i bigint, c string, s bigint, e bigint, names array<string>")
+    found = cluster_similar(df, "i", ["c"], ("s", "e"), share, shift, "names", 0.5).collect()
+
+    def linked(x, y):
+        a, b = set(x[4]), set(y[4])
+        near = x[1] is not None and x[1] == y[1] and similar(x, y, share, shift)
+        return near and (not (a or b) or len(a & b) / max(len(a), len(b)) >= 0.5)
+
+    expected = brute_components([(x[0], y[0]) for x in rows for y in rows if linked(x, y)])
+    assert {r["i"]: r["cluster"] for r in found} == {**{x[0]: x[0] for x in rows}, **expected}
+
+
+def test_sets_where_tiles_are_few_are_laid_out_once_a_place(spark, monkeypatch):
+    from riftspan.operators import similar_intervals
+
+    laid_out, joined = [], similar_intervals.salted_join
+
+    def counted(heavy, light, *args, **kwargs):
+        if "_other" in light.columns:
+            laid_out.append(heavy.count() + light.count())
+        return joined(heavy, light, *args, **kwargs)
+
+    monkeypatch.setattr(similar_intervals, "salted_join", counted)
+    rows = spark.range(100).selectExpr("id", "'a' as contig", "id * 150 as s", "id * 150 + 200 as e", "transform(sequence(0, 9), k -> (k + id) % 40) as names")
+    clusters = cluster_similar(rows, "id", ["contig"], ("s", "e"), 0.5, None, "names", 0.5)
+    assert clusters.count() == 100 and laid_out[0] <= 400
